@@ -34,5 +34,13 @@ def with_load_time(df: DataFrame, ts: str = TS) -> DataFrame:
 
 
 def with_record_date(df: DataFrame, ts: str = TS) -> DataFrame:
-    """Add the partition column of warehouse reviews."""
+    """Add the day of the timestamp, as warehouse reviews store it."""
     return df.withColumn(RECORD_DATE, F.col(ts).cast("date"))
+
+
+def clustered(df: DataFrame, key: str, ts: str = TS) -> DataFrame:
+    """Shuffle the rows into narrow time ranges, so that a file holds few days.
+
+    The key's hash is the second range column: a moment that holds many of the rows is split.
+    """
+    return df.repartitionByRange(F.col(ts), F.xxhash64(key)).sortWithinPartitions(ts)

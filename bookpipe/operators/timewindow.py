@@ -21,7 +21,7 @@ def within(df: DataFrame, low: str, high: str, ts: str = TS) -> DataFrame:
 
     Both bounds are strict, so a row exactly on a bound is outside; that is the stated meaning of
     the daily rankings. The bounds are folded to literals of the column's own type and pushed to
-    the scan. Where the table is partitioned by record date, other days are not read at all.
+    the scan. Where the table has a record date, row groups of other days are skipped by it.
     """
     kind = df.schema[ts].dataType
     inside = (F.col(ts) > F.lit(low).cast(kind)) & (F.col(ts) < F.lit(high).cast(kind))

@@ -5,40 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookpipe.operators.latest import BROADCAST_KEYS
-
 _SPREAD = "__key_hash"
 
 
-def _match(target: DataFrame, staging: DataFrame, key: str, how: str,
-           staged_rows: int | None) -> DataFrame:
-    if staged_rows is not None and staged_rows <= BROADCAST_KEYS:
-        return target.join(F.broadcast(staging.select(key)), key, how)
-    # Too many staged keys, or an unknown number, for a broadcast hint. The distinct step stops
-    # copies of one staged key from gathering. The hash as a second join column makes Spark shuffle
-    # the distinct keys once more, directly below the join: only then can adaptive execution split
-    # a hot key of the target.
+def _match(target: DataFrame, staging: DataFrame, key: str, how: str, few: bool = False) -> DataFrame:
+    if few:
+        return target.join(F.broadcast(staging.select(key)), key, how).select(target.columns)
+    # The distinct step stops copies of one staged key from gathering. The hash as a second join
+    # column makes Spark shuffle the distinct keys once more, directly below the join: only then
+    # can adaptive execution split a hot key of the target.
     keys = staging.select(key).distinct().withColumn(_SPREAD, F.xxhash64(key))
     return (
-        target.withColumn(_SPREAD, F.xxhash64(key)).join(keys, [key, _SPREAD], how).drop(_SPREAD)
+        target.withColumn(_SPREAD, F.xxhash64(key)).join(keys, [key, _SPREAD], how)
         .select(target.columns)
     )
 
 
-def replaced(target: DataFrame, staging: DataFrame, key: str, staged_rows: int | None = None) -> DataFrame:
+def replaced(target: DataFrame, staging: DataFrame, key: str) -> DataFrame:
     """Target rows that the upsert will delete."""
-    return _match(target, staging, key, "left_semi", staged_rows).select(target.columns)
+    return _match(target, staging, key, "left_semi")
+
+
+def replaced_keys(target: DataFrame, staging: DataFrame, key: str) -> DataFrame:
+    """Keys that the upsert will delete, once each. Reads and shuffles nothing but keys."""
+    return replaced(target.select(key), staging, key).distinct()
 
 
-def survivors(target: DataFrame, staging: DataFrame, key: str, staged_rows: int | None = None) -> DataFrame:
-    """Target rows that the upsert will keep. Rows with a null key match nothing and survive."""
-    return _match(target, staging, key, "left_anti", staged_rows).select(target.columns)
+def survivors(target: DataFrame, staging: DataFrame, key: str, few: bool = False) -> DataFrame:
+    """Target rows that the upsert will keep. Rows with a null key match nothing and survive.
+
+    ``few`` says that the staged keys were counted and can be broadcast: the target is then
+    filtered in place, without a shuffle.
+    """
+    return _match(target, staging, key, "left_anti", few)
 
 
-def upsert(target: DataFrame, staging: DataFrame, key: str, staged_rows: int | None = None) -> DataFrame:
+def upsert(target: DataFrame, staging: DataFrame, key: str) -> DataFrame:
     """Survivors plus all staged rows; both sides in the target's columns.
 
-    Applying the same staging twice changes nothing. Give ``staged_rows`` if the count is known:
-    up to ``BROADCAST_KEYS`` the target is then filtered in place, without a shuffle.
+    Applying the same staging twice changes nothing.
     """
-    return survivors(target, staging, key, staged_rows).unionByName(staging)
+    return survivors(target, staging, key).unionByName(staging)

@@ -8,14 +8,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookpipe.operators.align import align, with_load_time, with_record_date
+from bookpipe.operators.align import align, clustered, with_load_time, with_record_date
 from bookpipe.operators.latest import BROADCAST_KEYS
 from bookpipe.operators.quality import gate
 from bookpipe.operators.timewindow import day_bounds
-from bookpipe.operators.upsert import upsert
+from bookpipe.operators.upsert import replaced_keys, survivors
 from bookpipe.plans.analytics import SUBJECTS, best, popular_by_average, popular_by_count
 from bookpipe.plans.clean import clean
-from bookpipe.schemas import ENTITIES, RECORD_DATE, Entity
+from bookpipe.schemas import ENTITIES, Entity
 from bookpipe.sources.processed import (
     read_processed, read_processed_csv, write_processed, write_processed_csv)
 from bookpipe.sources.raw import landing_report, read_raw
@@ -73,26 +73,29 @@ def stage(spark: SparkSession, zones: Zones, entity: Entity) -> None:
 
 
 def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity) -> None:
-    """Upsert the staging table into the warehouse table."""
+    """Upsert the staging table into the warehouse table.
+
+    The keys to replace are found first, from the key columns alone. Few of them are broadcast, so
+    that the kept rows are filtered in place and stay clustered; only the new rows move. With more
+    of them the target is shuffled.
+    """
     staged = spark.table(f"{zones.layers.staging}.{entity.name}")
-    table = f"{zones.layers.warehouse}.{entity.name}"
-    count = staged.count()
-    if count == 0:
+    if staged.isEmpty():
         return
-    rows = align(staged, entity.warehouse, entity.renames)
-    target = spark.table(table)
-    if entity.partition_by is None:
-        publish(upsert(target, rows, entity.key, count), table)
-        return
-    # New rows are gathered by day before they are written. Kept rows already lie by day and stay
-    # so if the staged keys are broadcast; otherwise the upsert shuffled them and all are gathered.
-    # The rebalance splits a day that is too big for one task.
-    rows = with_record_date(rows)
-    if count <= BROADCAST_KEYS:
-        merged = upsert(target, rows.hint("rebalance", RECORD_DATE), entity.key, count)
+    table = f"{zones.layers.warehouse}.{entity.name}"
+    target, rows = spark.table(table), align(staged, entity.warehouse, entity.renames)
+    if entity.dated:
+        rows = with_record_date(rows)
+    keys = replaced_keys(target, rows, entity.key).checkpoint()
+    few = keys.count() <= BROADCAST_KEYS
+    kept = survivors(target, keys, entity.key, few)
+    if not entity.dated:
+        merged = kept.unionByName(rows)
+    elif few:
+        merged = kept.unionByName(clustered(rows, entity.key))
     else:
-        merged = upsert(target, rows, entity.key, count).hint("rebalance", RECORD_DATE)
-    publish(merged, table, entity.partition_by)
+        merged = clustered(kept.unionByName(rows), entity.key)
+    publish(merged, table)
 
 
 def rank_day(spark: SparkSession, layers: Layers, ds: str) -> None:

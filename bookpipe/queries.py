@@ -252,8 +252,7 @@ def table_schemas(spark, folder):
     for name, rows in contents.items():
         table = f"{layers.warehouse}.{name}"
         layout = ENTITIES[name].warehouse
-        stored = spark.table(table).select(layout.names)
-        publish(upsert(stored, rows, ENTITIES[name].key), table)
+        publish(upsert(spark.table(table).select(layout.names), rows, ENTITIES[name].key), table)
         stored = spark.table(table)
         filled = stored.agg(*[F.count(column).alias(column) for column in layout.names])
         reports.append(filled.unpivot([], layout.names, "column_name", "filled_rows").select(

@@ -15,8 +15,7 @@ SETTINGS = {
     # size, so the same setting fits a small and a large input.
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Tasks that write a few days each need no sort by day.
-    "spark.sql.maxConcurrentOutputFileWriters": "16",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
 }

@@ -45,19 +45,19 @@ def create_tables(spark: SparkSession, layers: Layers) -> None:
         name = f"{layers.warehouse}.{entity.name}"
         if not spark.catalog.tableExists(name):
             empty = spark.createDataFrame([], entity.warehouse)
-            publish(with_record_date(empty) if entity.partition_by else empty, name, entity.partition_by)
+            publish(with_record_date(empty) if entity.dated else empty, name)
     for name, layout in ANALYTICS.items():
         empty = spark.createDataFrame([], StructType(list(layout.fields)).add("ds", "date"))
         empty.write.mode("ignore").partitionBy("ds").saveAsTable(f"{layers.analytics}.{name}")
 
 
-def publish(df: DataFrame, table: str, partition_by: str | None = None) -> None:
+def publish(df: DataFrame, table: str) -> None:
     """Store the rows as a new version of the table and make it the current one."""
     spark = df.sparkSession
     database, name = table.split(".")
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
     stored = f"{database}.{name}__{stamp}"
-    df.write.saveAsTable(stored, format="parquet", partitionBy=partition_by)
+    df.write.format("parquet").saveAsTable(stored)
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {stored}")
     versions = sorted(entry.name for entry in spark.catalog.listTables(database, f"{name}__*"))
     for old in versions[:-KEPT_VERSIONS]:
