@@ -18,7 +18,7 @@ from bookpipe.plans.clean import clean
 from bookpipe.schemas import ENTITIES, Entity
 from bookpipe.sources.processed import (
     read_processed, read_processed_csv, write_processed, write_processed_csv)
-from bookpipe.sources.raw import landing_report, read_raw
+from bookpipe.sources.raw import WHOLE_FILE_BYTES, landing_report, read_raw
 from bookpipe.sources.tables import Layers, create_databases, create_tables, publish, replace_day
 
 log = logging.getLogger(__name__)
@@ -41,19 +41,24 @@ class Zones:
         return f"{self.root.rstrip('/')}/{zone}/{entity.name}"
 
 
-def select_sources(spark: SparkSession, landing: str) -> set[str]:
-    """Registered sources found in the landing zone; others are skipped, and some of them logged."""
+def select_sources(spark: SparkSession, landing: str) -> dict[str, int]:
+    """Registered sources in the landing zone with the size of their largest file.
+
+    Others are skipped, and some of them logged.
+    """
     report = landing_report(spark, landing)
     for row in report.where(~F.col("selected")).select("source").limit(20).collect():
         log.warning("no transformation is defined for %s", row.source)
-    return {row.source for row in report.where("selected").select("source").collect()}
+    return {row.source: row.largest_file
+            for row in report.where("selected").select("source", "largest_file").collect()}
 
 
-def process(spark: SparkSession, zones: Zones, entity: Entity, present: bool) -> None:
+def process(spark: SparkSession, zones: Zones, entity: Entity, largest_file: int | None) -> None:
     """Raw source to processed zone. The text is parsed once, into a columnar working copy."""
-    if present:
+    if largest_file is not None:
         working = zones.folder("working", entity)
-        raw = read_raw(spark, f"{zones.landing.rstrip('/')}/{entity.source}", entity)
+        raw = read_raw(spark, f"{zones.landing.rstrip('/')}/{entity.source}", entity,
+                       large=largest_file > WHOLE_FILE_BYTES)
         with_load_time(raw).write.mode("overwrite").parquet(working)
         rows = clean(spark.read.parquet(working), entity, stored=True)
     else:
@@ -134,7 +139,7 @@ def run_batch(spark: SparkSession, zones: Zones, ds: str) -> bool:
         return False
     create_databases(spark, zones.layers.all, zones.root)
     for entity in ENTITIES.values():
-        process(spark, zones, entity, entity.source in found)
+        process(spark, zones, entity, found.get(entity.source))
     for entity in ENTITIES.values():
         stage(spark, zones, entity)
     create_tables(spark, zones.layers)

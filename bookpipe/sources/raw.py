@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from bookpipe.schemas import SOURCES, Entity
+from bookpipe.sources.records import csv_records, parse_records
 
-RAW_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "header": True}
+RAW_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "header": "true"}
+# Files up to this size are read by one task each.
+WHOLE_FILE_BYTES = 512 * 1024 * 1024
 
 
 def landing_report(spark: SparkSession, landing: str) -> DataFrame:
@@ -47,17 +48,21 @@ def raw_schema(spark: SparkSession, path: str, entity: Entity) -> StructType:
     return StructType(fields)
 
 
-def read_raw(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, entity: Entity, large: bool = False) -> DataFrame:
     """Typed rows of one CSV source; a value that does not parse is null, not a failure.
 
-    Quotes are escaped by doubling and quoted values may hold line breaks.
+    Quotes are escaped by doubling and quoted values may hold line breaks. For that, Spark's reader
+    takes each file in one task. With ``large``, files are split instead; the rows are the same.
     """
     schema = raw_schema(spark, path, entity)
-    rows = (
-        spark.read.schema(schema).options(**RAW_OPTIONS)
-        .option("mode", "PERMISSIVE").option("multiLine", True).option("enforceSchema", False)
-        .csv(path)
-    )
+    if large:
+        rows = parse_records(csv_records(spark, path), schema, RAW_OPTIONS)
+    else:
+        rows = (
+            spark.read.schema(schema).options(**RAW_OPTIONS)
+            .option("multiLine", True).option("enforceSchema", False)
+            .csv(path)
+        )
     return rows.select([
         F.col(field.name).cast("timestamp_ntz").alias(field.name)
         if isinstance(field.dataType, TimestampType) else F.col(field.name)
