@@ -24,7 +24,7 @@ def latest(df: DataFrame, key: str, ts: str = TS) -> DataFrame:
     of a hot key to one task. Hashing on both columns spreads such a key over its timestamps, and
     if most of them tie, adaptive execution splits the row side of the join.
     """
-    return df.join(latest_lookup(df, key, ts), [key, ts], "left_semi")
+    return df.join(latest_lookup(df, key, ts), [key, ts], "left_semi").select(df.columns)
 
 
 def superseded(df: DataFrame, key: str, ts: str = TS) -> DataFrame:

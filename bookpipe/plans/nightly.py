@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,12 +16,13 @@ from bookpipe.operators.latest import BROADCAST_KEYS
 from bookpipe.operators.quality import gate
 from bookpipe.operators.timewindow import day_bounds
 from bookpipe.operators.upsert import replaced_keys, survivors
-from bookpipe.plans.analytics import SUBJECTS, best, popular_by_average, popular_by_count
+from bookpipe.plans.analytics import SUBJECTS, Subject, best, popular_by_average, popular_by_count
 from bookpipe.plans.clean import clean
 from bookpipe.schemas import ENTITIES, Entity
 from bookpipe.sources.processed import (
     read_processed, read_processed_csv, write_processed, write_processed_csv)
-from bookpipe.sources.raw import WHOLE_FILE_BYTES, landing_report, read_raw
+from bookpipe.sources.raw import WHOLE_FILE_BYTES, landing_report, listing, read_raw
+from bookpipe.session import shuffles_for
 from bookpipe.sources.tables import Layers, create_databases, create_tables, publish, replace_day
 
 log = logging.getLogger(__name__)
@@ -103,18 +107,18 @@ def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity) -> None:
     publish(merged, table)
 
 
-def rank_day(spark: SparkSession, layers: Layers, ds: str) -> None:
-    """Replace the six analytics tables' rows of one day."""
+def rank_subject(spark: SparkSession, layers: Layers, subject: Subject, ds: str) -> None:
+    """Replace one subject's rankings of the day. The best ones are found in what was just written."""
+    reviews, dimension = (spark.table(f"{layers.warehouse}.{name}") for name in ("reviews", subject.entity))
+    by_count, by_average, both = (f"{layers.analytics}.{name}" for name in (subject.by_count, subject.by_average, subject.best))
     low, high = day_bounds(ds)
-    reviews = spark.table(f"{layers.warehouse}.reviews")
-    for subject in SUBJECTS.values():
-        dimension = spark.table(f"{layers.warehouse}.{subject.entity}")
-        names = {kind: f"{layers.analytics}.{getattr(subject, kind)}" for kind in ("by_count", "by_average", "best")}
-        replace_day(popular_by_count(reviews, dimension, subject, low, high), names["by_count"], ds)
-        replace_day(popular_by_average(reviews, dimension, subject, low, high), names["by_average"], ds)
-        of_day = {kind: spark.table(names[kind]).where(F.col("ds") == F.lit(ds).cast("date"))
-                  for kind in ("by_count", "by_average")}
-        replace_day(best(of_day["by_average"], of_day["by_count"], subject), names["best"], ds)
+    replace_day(popular_by_count(reviews, dimension, subject, low, high), by_count, ds)
+    replace_day(popular_by_average(reviews, dimension, subject, low, high), by_average, ds)
+
+    def of_day(table: str) -> DataFrame:
+        return spark.table(table).where(F.col("ds") == F.lit(ds).cast("date"))
+
+    replace_day(best(of_day(by_average), of_day(by_count), subject), both, ds)
 
 
 def warehouse_tables(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
@@ -127,6 +131,13 @@ def popular_tables(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
     return {name: spark.table(name) for name in names}
 
 
+def _each(spark: SparkSession, step: Callable, items: Iterable) -> None:
+    """Run a step for all items at once: small entities fill the gaps of the big one."""
+    with ThreadPoolExecutor(len(ENTITIES)) as pool:
+        for _ in pool.map(inheritable_thread_target(spark)(step), items):
+            pass
+
+
 def run_batch(spark: SparkSession, zones: Zones, ds: str) -> bool:
     """Run everything for the day ``ds``; false if the landing zone holds no registered source.
 
@@ -137,15 +148,17 @@ def run_batch(spark: SparkSession, zones: Zones, ds: str) -> bool:
     if not found:
         log.warning("no registered source in %s", zones.landing)
         return False
-    create_databases(spark, zones.layers.all, zones.root)
-    for entity in ENTITIES.values():
-        process(spark, zones, entity, found.get(entity.source))
-    for entity in ENTITIES.values():
-        stage(spark, zones, entity)
-    create_tables(spark, zones.layers)
-    for entity in ENTITIES.values():
-        load_warehouse(spark, zones, entity)
-    gate(warehouse_tables(spark, zones.layers))
-    rank_day(spark, zones.layers, ds)
-    gate(popular_tables(spark, zones.layers))
+    layers = zones.layers
+    create_databases(spark, layers.all, zones.root)
+    stored = listing(spark, zones.landing).unionByName(listing(spark, f"{zones.root.rstrip('/')}/{layers.warehouse}"))
+    stored_bytes = stored.agg(F.sum("length")).first()[0]
+    entities = ENTITIES.values()
+    with shuffles_for(spark, stored_bytes):
+        _each(spark, lambda entity: process(spark, zones, entity, found.get(entity.source)), entities)
+        _each(spark, lambda entity: stage(spark, zones, entity), entities)
+        create_tables(spark, layers)
+        _each(spark, lambda entity: load_warehouse(spark, zones, entity), entities)
+        gate(warehouse_tables(spark, layers))
+        _each(spark, lambda subject: rank_subject(spark, layers, subject, ds), SUBJECTS.values())
+        gate(popular_tables(spark, layers))
     return True

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -11,8 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     # Splits a hot join key over several tasks; see operators.latest and operators.upsert.
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Start with many small shuffle partitions; adaptive execution merges them to the advisory
-    # size, so the same setting fits a small and a large input.
+    # Adaptive execution merges small shuffle partitions to the advisory size but never splits plain
+    # ones; see shuffles_for.
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
@@ -29,6 +31,33 @@ def build_session(app_name: str = "bookpipe", **overrides: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Stored bytes per initial shuffle partition; rows are several times larger in a shuffle than in
+# compressed files. The number of partitions is limited, as every map task keeps one block for each.
+BYTES_PER_PARTITION = 64 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
+
+def partitions_for(stored_bytes: int, least: int) -> int:
+    """Initial shuffle partitions for an input of that size."""
+    return max(least, min(MOST_PARTITIONS, -(-stored_bytes // BYTES_PER_PARTITION)))
+
+
+@contextmanager
+def shuffles_for(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
+    """Start shuffles with enough partitions for the input; adaptive execution merges the surplus."""
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    least = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(INITIAL_PARTITIONS, str(partitions_for(stored_bytes, least)))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder all executors can reach, under the session's checkpoint directory.
 

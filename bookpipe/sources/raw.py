@@ -14,17 +14,23 @@ RAW_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "h
 WHOLE_FILE_BYTES = 512 * 1024 * 1024
 
 
+def listing(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, length) of every file below a folder. Contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return files.select("path", "length")
+
+
 def landing_report(spark: SparkSession, landing: str) -> DataFrame:
     """(source, selected, files, bytes, largest_file) for everything in the landing zone.
 
     A source is a file or a folder of files directly below the landing zone. Names outside the
-    registry are reported and not selected. Only the listing is read, not the contents.
+    registry are reported and not selected.
     """
     zone = landing.rstrip("/").split(":")[-1].lstrip("/")
     inside = rf"^[^/]*/+\Q{zone}\E/+"
     source = F.split_part(F.regexp_replace("path", inside, ""), F.lit("/"), F.lit(1))
     return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing)
+        listing(spark, landing)
         .groupBy(source.alias("source"))
         .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
              F.max("length").alias("largest_file"))

@@ -14,8 +14,8 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from bookpipe.operators.align import align, with_record_date
-from bookpipe.schemas import ANALYTICS, ENTITIES
+from bookpipe.operators.align import align
+from bookpipe.schemas import ANALYTICS, ENTITIES, RECORD_DATE
 
 # Versions kept after a switch: the current one and the one before, for readers still using it.
 KEPT_VERSIONS = 2
@@ -44,26 +44,39 @@ def create_tables(spark: SparkSession, layers: Layers) -> None:
     for entity in ENTITIES.values():
         name = f"{layers.warehouse}.{entity.name}"
         if not spark.catalog.tableExists(name):
-            empty = spark.createDataFrame([], entity.warehouse)
-            publish(with_record_date(empty) if entity.dated else empty, name)
+            columns = _ddl(entity.warehouse) + (f", {RECORD_DATE} date" if entity.dated else "")
+            stored = _new_version(name)
+            spark.sql(f"CREATE TABLE {stored} ({columns}) USING parquet")
+            _switch(spark, name, stored)
     for name, layout in ANALYTICS.items():
-        empty = spark.createDataFrame([], StructType(list(layout.fields)).add("ds", "date"))
-        empty.write.mode("ignore").partitionBy("ds").saveAsTable(f"{layers.analytics}.{name}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {layers.analytics}.{name} ({_ddl(layout)}, ds date) "
+                  "USING parquet PARTITIONED BY (ds)")
 
 
-def publish(df: DataFrame, table: str) -> None:
-    """Store the rows as a new version of the table and make it the current one."""
-    spark = df.sparkSession
-    database, name = table.split(".")
-    stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    stored = f"{database}.{name}__{stamp}"
-    df.write.format("parquet").saveAsTable(stored)
+def _ddl(layout: StructType) -> str:
+    return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in layout)
+
+
+def _new_version(table: str) -> str:
+    return f"{table}__{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
+
+
+def _switch(spark: SparkSession, table: str, stored: str) -> None:
+    """Make a stored version the current one and drop versions that are no longer needed."""
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {stored}")
+    database, name = table.split(".")
     versions = sorted(entry.name for entry in spark.catalog.listTables(database, f"{name}__*"))
     for old in versions[:-KEPT_VERSIONS]:
         spark.sql(f"DROP TABLE {database}.{old}")
 
 
+def publish(df: DataFrame, table: str) -> None:
+    """Store the rows as a new version of the table and make it the current one."""
+    stored = _new_version(table)
+    df.write.format("parquet").saveAsTable(stored)
+    _switch(df.sparkSession, table, stored)
+
+
 def replace_day(df: DataFrame, table: str, ds: str) -> None:
     """Replace one day of an analytics table, also by nothing. Other days stay as they are."""
     spark = df.sparkSession

@@ -1,0 +1,78 @@
+"""Text and date expressions against plain Python."""
+
+from datetime import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from bookpipe.functions.dates import cut_to_millis, parse_posted_date
+from bookpipe.functions.text import remove_extra_spaces
+
+TEXTS = ["  a  b\t c\n", "a b", "a b", "a\u0085b", "a\x1cb", "a​b", "", " \n ", None,
+         "\x1f x \x1d　y z ", "a\x00 b", "one"]
+
+
+def split_join(text):
+    return None if text is None else " ".join(text.split())
+
+
+def test_remove_extra_spaces(spark):
+    df = spark.createDataFrame([(text,) for text in TEXTS], "text string")
+    got = [row[0] for row in df.select(remove_extra_spaces(F.col("text"))).collect()]
+    assert got == [split_join(text) for text in TEXTS]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=30), min_size=40, max_size=80))
+def test_remove_extra_spaces_on_any_text(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {row[0]: row[1] for row in df.select("i", remove_extra_spaces(F.col("text"))).collect()}
+    assert got == {i: split_join(text) for i, text in enumerate(texts)}
+
+
+DATES = {
+    "Wed Nov 20 10:31:35 -0800 2013": datetime(2013, 11, 20, 10, 31, 35),
+    "Wed nov 2 9:1:5 -0800 2013": datetime(2013, 11, 2, 9, 1, 5),
+    "\tWed Nov  20 10:31:35 -0800 2013 ": datetime(2013, 11, 20, 10, 31, 35),
+    "any Feb 29 00:00:00 any 2024 more": datetime(2024, 2, 29),
+    "Sun Mar 10 02:30:00 -0800 2024": datetime(2024, 3, 10, 2, 30),
+    "Fri Feb 29 00:00:00 -0800 2023": None,
+    "garbage": None,
+    "": None,
+    "Wed Foo 20 10:31:35 -0800 2013": None,
+    "Wed November 20 10:31:35 -0800 2013": None,
+    "Wed Nov 20 10:31:35 2013": None,
+    "Wed Nov 20 10:31 -0800 2013": None,
+    "Wed Nov 20 10:31:35:1 -0800 2013": None,
+    "Wed Nov 20 10:31:60 -0800 2013": None,
+    "Wed Nov 20 24:00:00 -0800 2013": None,
+    "Wed Nov x 10:31:35 -0800 2013": None,
+    "Wed Nov 20 10:31:35 -0800 99999999999": None,
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_parse_posted_date(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(text,) for text in [*DATES, None]], "text string")
+        got = {row[0]: row[1] for row in df.select("text", parse_posted_date(F.col("text"))).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {**DATES, None: None}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_cut_to_millis(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    moments = [datetime(2024, 3, 10, 2, 30, 1, 999999), datetime(1960, 1, 1, 0, 0, 0, 1), datetime(2024, 1, 1), None]
+    try:
+        df = spark.createDataFrame([(moment,) for moment in moments], "m timestamp_ntz")
+        got = [row[0] for row in df.select(cut_to_millis(F.col("m"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [m and m.replace(microsecond=m.microsecond // 1000 * 1000) for m in moments]

@@ -1,0 +1,134 @@
+"""The physical plans: what is pushed, pruned, broadcast and split."""
+
+import re
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from bookpipe import fixtures as fx
+from bookpipe.operators.align import clustered, with_record_date
+from bookpipe.operators.latest import latest, latest_stored
+from bookpipe.operators.timewindow import day_window
+from bookpipe.operators.upsert import survivors
+from bookpipe.plans.analytics import AUTHORS, popular_by_count
+from bookpipe.queries import QUERIES
+from bookpipe.schemas import TS
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture
+def tiny_skew(spark):
+    """Treat partitions of some kilobytes as skewed."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_ranking_plan(spark, sf_dir):
+    df = popular_by_count(fx.activity(spark, sf_dir), fx.active_dimension(spark, sf_dir), AUTHORS,
+                          "2024-01-10 00:00:00", "2024-01-11 00:00:00")
+    text = plan(df)
+    assert "TakeOrderedAndProject" in text and "BroadcastHashJoin" in text
+    assert "SortMergeJoin" not in text and "Python" not in text
+    scan = next(line for line in text.split("\n") if "FileScan" in line and "events" in line)
+    assert "GreaterThan(ts" in scan and "LessThan(ts" in scan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in scan
+    assert text.count("partial_count") == 1
+
+
+def test_cleaning_runs_without_python(spark, sf_dir):
+    for name in ("clean_text", "parse_datetime", "latest_reviews", "latest_authors"):
+        assert "Python" not in plan(QUERIES[name](spark, sf_dir))
+
+
+def test_latest_hashes_on_key_and_timestamp(spark, sf_dir, no_broadcast):
+    text = plan(latest(fx.ratings(spark, sf_dir), "review_id"))
+    assert "Window" not in text and "LeftSemi" in text
+    assert re.search(r"hashpartitioning\(review_id#\d+L, record_create_timestamp#\d+", text)
+
+
+def test_latest_stored_moves_no_wide_rows(spark, sf_dir):
+    text = plan(latest_stored(fx.ratings(spark, sf_dir), "review_id"))
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text
+    assert "hashpartitioning" not in text
+
+
+def test_few_replaced_keys_filter_the_target_in_place(spark, sf_dir):
+    rows = fx.ratings(spark, sf_dir)
+    text = plan(survivors(rows, rows.limit(5), "review_id", few=True))
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+def skewed(spark, rows=40_000):
+    """A third of the rows share one key and one timestamp."""
+    hot = (F.col("id") % 3) == 0
+    return spark.range(0, rows, 1, 8).select(
+        F.when(hot, 7).otherwise(F.col("id") + 1000).alias("k"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+         + F.make_dt_interval(secs=F.when(hot, 0).otherwise(F.col("id")))).alias(TS),
+        F.sha2(F.col("id").cast("string"), 512).alias("payload"))
+
+
+def test_a_hot_tied_key_is_split(spark, tiny_skew):
+    df = latest(skewed(spark), "k")
+    assert len(df.collect()) == 40_000
+    assert "skew=true" in plan(df)
+
+
+def test_a_hot_target_key_is_split(spark, tiny_skew):
+    staged = spark.range(2000).select((F.col("id") * 3 + 1000).alias("k"))
+    df = survivors(skewed(spark), staged, "k")
+    expected = {row.k for row in skewed(spark).select("k").collect()} - {row.k for row in staged.collect()}
+    got = [row.k for row in df.collect()]
+    assert set(got) == expected and got.count(7) == 13_334
+    assert "skew=true" in plan(df)
+
+
+def test_a_hot_moment_is_split_by_clustering(spark):
+    sizes = [row[0] for row in clustered(skewed(spark), "payload").groupBy(F.spark_partition_id()).count()
+             .select("count").collect()]
+    assert max(sizes) < 20_000
+
+
+def test_record_date_skips_row_groups(spark, tmp_path):
+    rows = spark.range(0, 400_000, 1, 1).select(
+        "id", (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id") * 5)).alias(TS))
+    path = str(tmp_path / f"reviews-{uuid.uuid4().hex}")
+    with_record_date(rows).write.option("parquet.block.size", 256 * 1024).parquet(path)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = day_window(spark.read.parquet(path), "2024-01-10")
+        assert len(df.collect()) == 86_400 // 5 - 1
+
+        def scans(node):
+            if "FileSourceScan" in node.getClass().getName():
+                yield node
+            for i in range(node.children().size()):
+                yield from scans(node.children().apply(i))
+
+        read = [scan.metrics().apply("numOutputRows").value() for scan in scans(df._jdf.queryExecution().executedPlan())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert read[0] < 200_000
