@@ -7,33 +7,26 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from bookpipe.functions.text import remove_extra_spaces
+from bookpipe.functions.text import WHITESPACE
 
-# English month abbreviations.
-MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+# The words of a posted date: weekday, month, day, time, offset, year; more may follow.
+_GAP, _WORD = f"[{WHITESPACE}]++", f"[^{WHITESPACE}]++"
+_POSTED = _GAP.join([f"(?Us)^[{WHITESPACE}]*+{_WORD}", f"({_WORD})", "([0-9]++)", "([0-9]++:[0-9]++:[0-9]++)",
+                     _WORD, f"([0-9]++)(?![^{WHITESPACE}]).*$|^.*$"])
+# Other text matches the last branch and leaves all parts empty, which does not parse.
+_ORDERED, _ORDERED_FORMAT = "$4 $1 $2 $3 Z", "y MMM d H:m:s X"
 
 
 def parse_posted_date(text: Column) -> Column:
     """``Wed Nov 20 10:31:35 -0800 2013`` as the zone-free timestamp 2013-11-20 10:31:35.
 
     The weekday and the offset are ignored: the result is the wall clock that was written down.
-    Anything else, such as missing words or an unknown month, gives null. Built from the parts and
-    not by a pattern, because weekday names cannot be parsed and the session zone must not matter.
+    Anything else, such as missing words or an unknown month, gives null. The words are put in
+    order first, because weekday names cannot be parsed, and read as UTC, so that the session zone
+    does not matter. The input appears once in the expression and is computed once.
     """
-    words = F.split(remove_extra_spaces(text), " ")
-    clock = F.split(F.get(words, F.lit(3)), ":")
-    month = F.array_position(F.array(*[F.lit(name) for name in MONTHS]),
-                             F.lower(F.get(words, F.lit(1))))
-
-    def number(part: Column) -> Column:
-        return part.try_cast("int")
-
-    second = number(F.get(clock, F.lit(2)))
-    moment = F.try_make_timestamp_ntz(
-        number(F.get(words, F.lit(5))), month.cast("int"), number(F.get(words, F.lit(2))),
-        number(F.get(clock, F.lit(0))), number(F.get(clock, F.lit(1))), second.cast("decimal(16,6)"))
-    # Second 60 would roll over into the next minute; a calendar date has none.
-    return F.when((F.size(clock) == 3) & (second < 60), moment)
+    moment = F.try_to_timestamp(F.regexp_replace(text, _POSTED, _ORDERED), F.lit(_ORDERED_FORMAT))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.unix_seconds(moment))
 
 
 def cut_to_millis(moment: Column) -> Column:

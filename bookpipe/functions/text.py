@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four ASCII separator controls.
-_WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+# Inside a character class with Unicode matching: white space plus the ASCII separator controls.
+WHITESPACE = r"\s\x1c-\x1f"
 
 
 def remove_extra_spaces(text: Column) -> Column:
     """Every run of white space becomes one space; none is left at the ends. Null stays null."""
-    return F.trim(F.regexp_replace(text, _WHITESPACE_RUN, " "))
+    return F.trim(F.regexp_replace(text, f"(?U)[{WHITESPACE}]+", " "))

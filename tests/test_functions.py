@@ -39,6 +39,12 @@ DATES = {
     "any Feb 29 00:00:00 any 2024 more": datetime(2024, 2, 29),
     "Sun Mar 10 02:30:00 -0800 2024": datetime(2024, 3, 10, 2, 30),
     "Fri Feb 29 00:00:00 -0800 2023": None,
+    "Thu Jul 04 05:06:07 +0000 0999": datetime(999, 7, 4, 5, 6, 7),
+    "Sun Oct 31 01:30:00 \u2003 +0100 2021\n and\nmore": datetime(2021, 10, 31, 1, 30),
+    "2013 Nov 20 10:31:35 Z": None,
+    "x\n2013 Nov 20 10:31:35 Z": None,
+    "Wed Nov 20 10:31:35.5 -0800 2013": None,
+    "Wed Nov 20 10:31:35 -0800 2013x": None,
     "garbage": None,
     "": None,
     "Wed Foo 20 10:31:35 -0800 2013": None,
