@@ -38,9 +38,14 @@ def with_record_date(df: DataFrame, ts: str = TS) -> DataFrame:
     return df.withColumn(RECORD_DATE, F.col(ts).cast("date"))
 
 
-def clustered(df: DataFrame, key: str, ts: str = TS) -> DataFrame:
-    """Shuffle the rows into narrow time ranges, so that a file holds few days.
+def clustered(df: DataFrame, column: str) -> DataFrame:
+    """Shuffle the rows into narrow ranges of a column, so that filters on it skip most files.
 
-    The key's hash is the second range column: a moment that holds many of the rows is split.
+    The row number is the second range column: a value that holds many of the rows is split.
     """
-    return df.repartitionByRange(F.col(ts), F.xxhash64(key)).sortWithinPartitions(ts)
+    row = "__row"
+    return (
+        df.withColumn(row, F.monotonically_increasing_id())
+        .repartitionByRange(column, row).drop(row)
+        .sortWithinPartitions(column)
+    )

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookpipe.operators.ranking import enrich, overlap, top_groups
+from bookpipe.operators.ranking import enrich, overlap, settle, top_groups
 from bookpipe.operators.timewindow import within
 
 
@@ -62,18 +62,30 @@ BOOKS = Subject(
 SUBJECTS = {subject.entity: subject for subject in (AUTHORS, BOOKS)}
 
 
-def popular_by_count(reviews: DataFrame, dimension: DataFrame, subject: Subject,
-                     low: str, high: str, n: int = 10) -> DataFrame:
-    """Top ``n`` by number of reviews strictly between the bounds, with the subject's columns."""
-    top = top_groups(within(reviews, low, high), subject.key, F.count("review_id"), COUNT, n)
-    return enrich(top, dimension, subject.key, COUNT, subject.columns, n)
+def _popular(reviews: DataFrame, dimension: DataFrame, subject: Subject, measure: Column, name: str,
+             window: tuple[str, str], n: int, settled: bool) -> DataFrame:
+    key = subject.key
+    top = top_groups(within(reviews, *window), key, measure, name, n)
+    if settled:
+        top, keys = settle(top, n)
+        dimension = dimension.where(F.col(key).isin(keys))
+    return enrich(top, dimension, key, name, subject.columns, n)
 
 
-def popular_by_average(reviews: DataFrame, dimension: DataFrame, subject: Subject,
-                       low: str, high: str, n: int = 10) -> DataFrame:
+def popular_by_count(reviews: DataFrame, dimension: DataFrame, subject: Subject, low: str, high: str,
+                     n: int = 10, settled: bool = False) -> DataFrame:
+    """Top ``n`` by number of reviews strictly between the bounds, with the subject's columns.
+
+    ``settled`` computes the ranking at once, so that its keys reach the scan of the dimension: in
+    a table clustered by key that leaves a few row groups of it to read.
+    """
+    return _popular(reviews, dimension, subject, F.count("review_id"), COUNT, (low, high), n, settled)
+
+
+def popular_by_average(reviews: DataFrame, dimension: DataFrame, subject: Subject, low: str, high: str,
+                       n: int = 10, settled: bool = False) -> DataFrame:
     """Top ``n`` by mean review rating; missing ratings do not count."""
-    top = top_groups(within(reviews, low, high), subject.key, F.avg("review_rating"), subject.average, n)
-    return enrich(top, dimension, subject.key, subject.average, subject.columns, n)
+    return _popular(reviews, dimension, subject, F.avg("review_rating"), subject.average, (low, high), n, settled)
 
 
 def best(by_average: DataFrame, by_count: DataFrame, subject: Subject) -> DataFrame:

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from bookpipe.operators.align import align, clustered, with_load_time, with_record_date
@@ -18,15 +18,17 @@ from bookpipe.operators.timewindow import day_bounds
 from bookpipe.operators.upsert import replaced_keys, survivors
 from bookpipe.plans.analytics import SUBJECTS, Subject, best, popular_by_average, popular_by_count
 from bookpipe.plans.clean import clean
-from bookpipe.schemas import ENTITIES, Entity
-from bookpipe.sources.processed import (
-    read_processed, read_processed_csv, write_processed, write_processed_csv)
+from bookpipe.schemas import ENTITIES, SOURCES, TS, Entity
+from bookpipe.sources.processed import read_processed_csv, write_processed, write_processed_csv
 from bookpipe.sources.raw import WHOLE_FILE_BYTES, landing_report, listing, read_raw
 from bookpipe.session import shuffles_for
-from bookpipe.sources.tables import Layers, create_databases, create_tables, publish, replace_day
+from bookpipe.sources.tables import Layers, create_databases, create_tables, publish, publish_folder, replace_day
 
 log = logging.getLogger(__name__)
 
+# Sources outside the registry that are named in the log.
+LOGGED_SOURCES = 20
+
 
 @dataclass(frozen=True)
 class Zones:
@@ -45,24 +47,24 @@ class Zones:
         return f"{self.root.rstrip('/')}/{zone}/{entity.name}"
 
 
-def select_sources(spark: SparkSession, landing: str) -> dict[str, int]:
-    """Registered sources in the landing zone with the size of their largest file.
-
-    Others are skipped, and some of them logged.
-    """
-    report = landing_report(spark, landing)
-    for row in report.where(~F.col("selected")).select("source").limit(20).collect():
-        log.warning("no transformation is defined for %s", row.source)
-    return {row.source: row.largest_file
-            for row in report.where("selected").select("source", "largest_file").collect()}
+def select_sources(spark: SparkSession, landing: str) -> dict[str, Row]:
+    """Registered sources in the landing zone with their sizes; others are skipped, some logged."""
+    report = landing_report(spark, landing).orderBy(F.desc("selected"), "source").limit(len(SOURCES) + LOGGED_SOURCES)
+    found = {}
+    for row in report.collect():
+        if row.selected:
+            found[row.source] = row
+        else:
+            log.warning("no transformation is defined for %s", row.source)
+    return found
 
 
-def process(spark: SparkSession, zones: Zones, entity: Entity, largest_file: int | None) -> None:
+def process(spark: SparkSession, zones: Zones, entity: Entity, source: Row | None) -> None:
     """Raw source to processed zone. The text is parsed once, into a columnar working copy."""
-    if largest_file is not None:
+    if source is not None:
         working = zones.folder("working", entity)
         raw = read_raw(spark, f"{zones.landing.rstrip('/')}/{entity.source}", entity,
-                       large=largest_file > WHOLE_FILE_BYTES)
+                       large=source.largest_file > WHOLE_FILE_BYTES)
         with_load_time(raw).write.mode("overwrite").parquet(working)
         rows = clean(spark.read.parquet(working), entity, stored=True)
     else:
@@ -75,10 +77,12 @@ def process(spark: SparkSession, zones: Zones, entity: Entity, largest_file: int
 
 
 def stage(spark: SparkSession, zones: Zones, entity: Entity) -> None:
-    """Replace the staging table by the processed zone."""
-    folder = zones.folder("processed", entity)
-    rows = read_processed_csv(spark, folder, entity.staging) if zones.processed_csv else read_processed(spark, folder)
-    publish(rows, f"{zones.layers.staging}.{entity.name}")
+    """Replace the staging table by the processed zone. Parquet is used where it lies."""
+    folder, table = zones.folder("processed", entity), f"{zones.layers.staging}.{entity.name}"
+    if zones.processed_csv:
+        publish(read_processed_csv(spark, folder, entity.staging), table)
+    else:
+        publish_folder(spark, folder, table)
 
 
 def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity) -> None:
@@ -86,7 +90,8 @@ def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity) -> None:
 
     The keys to replace are found first, from the key columns alone. Few of them are broadcast, so
     that the kept rows are filtered in place and stay clustered; only the new rows move. With more
-    of them the target is shuffled.
+    of them the target is shuffled. Reviews are clustered by time, for the daily rankings; the
+    other tables by key, for the rankings' attributes.
     """
     staged = spark.table(f"{zones.layers.staging}.{entity.name}")
     if staged.isEmpty():
@@ -98,12 +103,11 @@ def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity) -> None:
     keys = replaced_keys(target, rows, entity.key).checkpoint()
     few = keys.count() <= BROADCAST_KEYS
     kept = survivors(target, keys, entity.key, few)
-    if not entity.dated:
-        merged = kept.unionByName(rows)
-    elif few:
-        merged = kept.unionByName(clustered(rows, entity.key))
+    order = TS if entity.dated else entity.key
+    if few:
+        merged = kept.unionByName(clustered(rows, order))
     else:
-        merged = clustered(kept.unionByName(rows), entity.key)
+        merged = clustered(kept.unionByName(rows), order)
     publish(merged, table)
 
 
@@ -112,8 +116,8 @@ def rank_subject(spark: SparkSession, layers: Layers, subject: Subject, ds: str)
     reviews, dimension = (spark.table(f"{layers.warehouse}.{name}") for name in ("reviews", subject.entity))
     by_count, by_average, both = (f"{layers.analytics}.{name}" for name in (subject.by_count, subject.by_average, subject.best))
     low, high = day_bounds(ds)
-    replace_day(popular_by_count(reviews, dimension, subject, low, high), by_count, ds)
-    replace_day(popular_by_average(reviews, dimension, subject, low, high), by_average, ds)
+    replace_day(popular_by_count(reviews, dimension, subject, low, high, settled=True), by_count, ds)
+    replace_day(popular_by_average(reviews, dimension, subject, low, high, settled=True), by_average, ds)
 
     def of_day(table: str) -> DataFrame:
         return spark.table(table).where(F.col("ds") == F.lit(ds).cast("date"))
@@ -150,8 +154,8 @@ def run_batch(spark: SparkSession, zones: Zones, ds: str) -> bool:
         return False
     layers = zones.layers
     create_databases(spark, layers.all, zones.root)
-    stored = listing(spark, zones.landing).unionByName(listing(spark, f"{zones.root.rstrip('/')}/{layers.warehouse}"))
-    stored_bytes = stored.agg(F.sum("length")).first()[0]
+    warehouse = listing(spark, f"{zones.root.rstrip('/')}/{layers.warehouse}").agg(F.sum("length")).first()[0]
+    stored_bytes = sum(row.bytes for row in found.values()) + (warehouse or 0)
     entities = ENTITIES.values()
     with shuffles_for(spark, stored_bytes):
         _each(spark, lambda entity: process(spark, zones, entity, found.get(entity.source)), entities)

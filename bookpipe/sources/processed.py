@@ -46,6 +46,3 @@ def write_processed(df: DataFrame, path: str) -> None:
         for field in df.schema
     ]).write.mode("overwrite").parquet(path)
 
-
-def read_processed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -11,7 +11,7 @@ from bookpipe.sources.records import csv_records, parse_records
 
 RAW_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "header": "true"}
 # Files up to this size are read by one task each.
-WHOLE_FILE_BYTES = 512 * 1024 * 1024
+WHOLE_FILE_BYTES = 256 * 1024 * 1024
 
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:

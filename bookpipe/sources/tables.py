@@ -77,6 +77,11 @@ def publish(df: DataFrame, table: str) -> None:
     _switch(df.sparkSession, table, stored)
 
 
+def publish_folder(spark: SparkSession, folder: str, table: str) -> None:
+    """Make the parquet files of a folder the table, without a copy."""
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM parquet.`{folder}`")
+
+
 def replace_day(df: DataFrame, table: str, ds: str) -> None:
     """Replace one day of an analytics table, also by nothing. Other days stay as they are."""
     spark = df.sparkSession

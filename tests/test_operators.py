@@ -142,6 +142,16 @@ def test_large_n_needs_no_broadcast(spark):
     assert bag(got) == Counter([(1, 1, "A1"), (2, 1, "A2")])
 
 
+def test_settled_rankings_are_the_same(spark):
+    df = reviews(spark, [(k, k % 15, k, float(k), NOON) for k in range(60)])
+    for popular in (popular_by_count, popular_by_average):
+        assert bag(popular(df, authors(spark, range(4, 15)), AUTHORS, *WIDE, settled=True)) == bag(
+            popular(df, authors(spark, range(4, 15)), AUTHORS, *WIDE))
+    assert popular_by_count(df.limit(0), authors(spark, [1]), AUTHORS, *WIDE, settled=True).isEmpty()
+    with pytest.raises(ValueError):
+        popular_by_count(df, authors(spark, [1]), AUTHORS, *WIDE, n=10_000, settled=True)
+
+
 def test_best_is_the_overlap(spark):
     by_count = rows_of(spark, [(k, 10 - k) for k in (1, 2, 3)], "author_id long, review_count long")
     by_average = authors(spark, (2, 3, 4)).select("author_id", F.lit(4.5).alias("average_review_rating"), *[
@@ -218,7 +228,7 @@ def test_load_time_fills_only_a_missing_column(spark):
 
 def test_clustered_keeps_the_rows(spark):
     df = spark.range(1000).select("id", F.lit(D1).cast("timestamp_ntz").alias(TS))
-    assert bag(clustered(df, "id")) == bag(df)
+    assert bag(clustered(df, "id")) == bag(clustered(df, TS)) == bag(df)
 
 
 # Gate
