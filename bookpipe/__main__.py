@@ -1,4 +1,4 @@
-"""``spark-submit -m``-style entry: python -m bookpipe --landing L --root R --ds YYYY-MM-DD"""
+"""Command line of the nightly batch: ``python -m bookpipe --landing L --root R --ds YYYY-MM-DD``."""
 
 from __future__ import annotations
 

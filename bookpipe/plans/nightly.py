@@ -21,7 +21,7 @@ from bookpipe.plans.clean import clean
 from bookpipe.schemas import ENTITIES, SOURCES, TS, Entity
 from bookpipe.sources.processed import read_processed_csv, write_processed, write_processed_csv
 from bookpipe.sources.raw import WHOLE_FILE_BYTES, landing_report, listing, read_raw
-from bookpipe.session import shuffles_for
+from bookpipe.session import checkpoint_folder, shuffles_for
 from bookpipe.sources.tables import Layers, create_databases, create_tables, publish, publish_folder, replace_day
 
 log = logging.getLogger(__name__)
@@ -65,6 +65,9 @@ def process(spark: SparkSession, zones: Zones, entity: Entity, source: Row | Non
         working = zones.folder("working", entity)
         raw = read_raw(spark, f"{zones.landing.rstrip('/')}/{entity.source}", entity,
                        large=source.largest_file > WHOLE_FILE_BYTES)
+        # Few files mean few tasks, here and in what reads the copy.
+        tasks = spark.sparkContext.defaultParallelism
+        raw = raw.repartition(tasks) if source.files < tasks else raw
         with_load_time(raw).write.mode("overwrite").parquet(working)
         rows = clean(spark.read.parquet(working), entity, stored=True)
     else:
@@ -153,6 +156,7 @@ def run_batch(spark: SparkSession, zones: Zones, ds: str) -> bool:
         log.warning("no registered source in %s", zones.landing)
         return False
     layers = zones.layers
+    checkpoint_folder(spark, default=f"{zones.root.rstrip('/')}/checkpoints")
     create_databases(spark, layers.all, zones.root)
     warehouse = listing(spark, f"{zones.root.rstrip('/')}/{layers.warehouse}").agg(F.sum("length")).first()[0]
     stored_bytes = sum(row.bytes for row in found.values()) + (warehouse or 0)

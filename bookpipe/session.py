@@ -58,18 +58,24 @@ def shuffles_for(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
             spark.conf.set(INITIAL_PARTITIONS, before)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder all executors can reach, under the session's checkpoint directory.
+def checkpoint_folder(spark: SparkSession, default: str | None = None) -> str:
+    """The session's checkpoint folder, which all executors share; ``default`` where none is set.
 
-    A local session without one gets a temporary folder; on a cluster that would be visible to one
-    machine only, so there the setting is required.
+    A local session without either gets a temporary folder. On a cluster that would be visible to
+    one machine only, so there a folder is required.
     """
     context = spark.sparkContext
-    base = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None) or context.getCheckpointDir()
+    base = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    base = base or context.getCheckpointDir() or default
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="bookpipe-")
+    if not context.getCheckpointDir():
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/bookpipe-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the checkpoint folder."""
+    return f"{checkpoint_folder(spark)}/bookpipe-{uuid.uuid4().hex}"

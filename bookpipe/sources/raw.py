@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
@@ -20,11 +22,11 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", "length")
 
 
-def landing_report(spark: SparkSession, landing: str) -> DataFrame:
+def landing_report(spark: SparkSession, landing: str, allowed: Iterable[str] = SOURCES) -> DataFrame:
     """(source, selected, files, bytes, largest_file) for everything in the landing zone.
 
-    A source is a file or a folder of files directly below the landing zone. Names outside the
-    registry are reported and not selected.
+    A source is a file or a folder of files directly below the landing zone. Names that are not
+    allowed are reported and not selected.
     """
     zone = landing.rstrip("/").split(":")[-1].lstrip("/")
     inside = rf"^[^/]*/+\Q{zone}\E/+"
@@ -34,7 +36,7 @@ def landing_report(spark: SparkSession, landing: str) -> DataFrame:
         .groupBy(source.alias("source"))
         .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
              F.max("length").alias("largest_file"))
-        .select("source", F.col("source").isin(*SOURCES).alias("selected"), "files", "bytes",
+        .select("source", F.col("source").isin(*allowed).alias("selected"), "files", "bytes",
                 "largest_file")
     )
 

@@ -109,11 +109,16 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_records(records: DataFrame, schema: StructType, options: dict) -> DataFrame:
-    """Typed rows of CSV records; the first record of each file is its header."""
+    """Typed rows of CSV records. The first record of each file must be the header of the schema."""
+    options = {**options, "header": "false", "multiLine": "true"}
     text = F.col("value")
-    ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
-    return (
-        records.where((F.col("record") > 1) & (text != ""))
-        .select(F.from_csv(text, ddl, {**options, "header": "false", "multiLine": "true"}).alias("row"))
-        .select("row.*")
-    )
+
+    def ddl(kinds: dict[str, str]) -> str:
+        return ", ".join(f"`{name}` {kind}" for name, kind in kinds.items())
+
+    kinds = {field.name: field.dataType.simpleString() for field in schema}
+    found = F.from_csv(text, ddl(dict.fromkeys(kinds, "string")), options)
+    is_header = F.lower(F.to_json(found)) == F.lower(F.to_json(F.struct(*[F.lit(name).alias(name) for name in kinds])))
+    wrong = F.raise_error(F.concat(F.lit("unexpected CSV header in "), "file")).cast("boolean")
+    is_row = F.when(F.col("record") > 1, text != "").when(is_header, False).otherwise(wrong)
+    return records.where(is_row).select(F.from_csv(text, ddl(kinds), options).alias("row")).select("row.*")

@@ -112,6 +112,16 @@ def test_header_order_missing_and_unknown_columns(spark, tmp_path):
     assert df.first() == ("Ann", 7, "glad")
 
 
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    source = tmp_path / "author.csv"
+    source.mkdir()
+    (source / "a.csv").write_text("author_id,name\n1,Ann\n")
+    (source / "b.csv").write_text("name,author_id\nBob,2\n")
+    for large in (False, True):
+        with pytest.raises(Exception, match="(?i)header"):
+            read_raw(spark, str(source), AUTHORS, large).collect()
+
+
 def test_raw_timestamps(spark, tmp_path):
     path = tmp_path / "author.csv"
     path.write_text("author_id,record_create_timestamp\n1,2024-01-10 01:02:03.456789\n"
@@ -172,5 +182,12 @@ def test_landing_report(spark, tmp_path):
         assert got == {"author.csv": (True, 1, 12, 12), "reviews.csv": (True, 2, 22, 12), "notes.csv": (False, 1, 1, 1)}
 
 
+def test_allowed_sources_can_be_narrowed(spark, tmp_path):
+    (tmp_path / "author.csv").write_text("author_id\n1\n")
+    (tmp_path / "book.csv").write_text("book_id\n1\n")
+    got = {row.source: row.selected for row in landing_report(spark, str(tmp_path), ["book.csv"]).collect()}
+    assert got == {"author.csv": False, "book.csv": True}
+
+
 def test_empty_landing_zone(spark, tmp_path):
     assert landing_report(spark, str(tmp_path)).count() == 0
