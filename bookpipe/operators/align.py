@@ -41,7 +41,8 @@ def with_record_date(df: DataFrame, ts: str = TS) -> DataFrame:
 def clustered(df: DataFrame, column: str) -> DataFrame:
     """Shuffle the rows into narrow ranges of a column, so that filters on it skip most files.
 
-    The row number is the second range column: a value that holds many of the rows is split.
+    The row number is the second range column: a value that holds many of the rows is split. The
+    input must be read from files, whose row order survives a lost executor.
     """
     row = "__row"
     return (

@@ -63,11 +63,12 @@ def process(spark: SparkSession, zones: Zones, entity: Entity, source: Row | Non
     """Raw source to processed zone. The text is parsed once, into a columnar working copy."""
     if source is not None:
         working = zones.folder("working", entity)
-        raw = read_raw(spark, f"{zones.landing.rstrip('/')}/{entity.source}", entity,
-                       large=source.largest_file > WHOLE_FILE_BYTES)
-        # Few files mean few tasks, here and in what reads the copy.
+        large = source.largest_file > WHOLE_FILE_BYTES
+        raw = read_raw(spark, f"{zones.landing.rstrip('/')}/{entity.source}", entity, large)
+        # Few small files mean few tasks, here and in what reads the copy.
         tasks = spark.sparkContext.defaultParallelism
-        raw = raw.repartition(tasks) if source.files < tasks else raw
+        if source.files < tasks and not large:
+            raw = raw.repartition(tasks)
         with_load_time(raw).write.mode("overwrite").parquet(working)
         rows = clean(spark.read.parquet(working), entity, stored=True)
     else:
@@ -110,7 +111,11 @@ def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity) -> None:
     if few:
         merged = kept.unionByName(clustered(rows, order))
     else:
-        merged = clustered(kept.unionByName(rows), order)
+        # Clustering numbers the rows of its input, so that must come in the same order if a lost
+        # task is run again. Files do; the output of a join does not.
+        folder = zones.folder("merged", entity)
+        kept.unionByName(rows).write.mode("overwrite").parquet(folder)
+        merged = clustered(spark.read.parquet(folder), order)
     publish(merged, table)
 
 

@@ -108,6 +108,29 @@ def test_next_day_changes_add_up(spark, zones):
         (DAY, 1, 2), (DAY, 2, 1), ("2024-01-11", 2, 2), ("2024-01-11", 1, 1)}
 
 
+def test_many_replaced_keys_take_the_other_way(spark, zones, monkeypatch):
+    land(zones, FILES)
+    run_batch(spark, zones, DAY)
+    before = content(spark, zones)
+    monkeypatch.setattr("bookpipe.plans.nightly.BROADCAST_KEYS", 0)
+    run_batch(spark, zones, DAY)
+    after = content(spark, zones)
+    # The users source carries no timestamp: its rows get the time of each load.
+    assert {name: rows for name, rows in after.items() if not name.endswith(".users")} == {
+        name: rows for name, rows in before.items() if not name.endswith(".users")}
+    assert sum(after["w.users"].values()) == 2
+
+
+def test_large_files_give_the_same_batch(spark, zones, monkeypatch):
+    land(zones, FILES)
+    run_batch(spark, zones, DAY)
+    before = content(spark, zones)
+    monkeypatch.setattr("bookpipe.plans.nightly.WHOLE_FILE_BYTES", 0)
+    run_batch(spark, zones, DAY)
+    after = content(spark, zones)
+    assert all(after[name] == before[name] for name in before if not name.endswith(".users"))
+
+
 def test_a_missing_source_leaves_its_warehouse_table(spark, zones, tmp_path):
     land(zones, FILES)
     run_batch(spark, zones, DAY)
