@@ -31,6 +31,7 @@ def main() -> None:
         "spark.master": f"local[{CPUS}]",
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": CPUS,
         "spark.sql.warehouse.dir": f"{scratch}/warehouse",
         "spark.checkpoint.dir": f"{scratch}/shared",

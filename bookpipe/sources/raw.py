@@ -60,7 +60,8 @@ def read_raw(spark: SparkSession, path: str, entity: Entity, large: bool = False
     """Typed rows of one CSV source; a value that does not parse is null, not a failure.
 
     Quotes are escaped by doubling and quoted values may hold line breaks. For that, Spark's reader
-    takes each file in one task. With ``large``, files are split instead; the rows are the same.
+    takes each file in one task. With ``large``, files are split instead; the rows are the same,
+    also with stray quotes inside unquoted values.
     """
     schema = raw_schema(spark, path, entity)
     if large:

@@ -15,7 +15,8 @@ def spark(tmp_path_factory):
         "spark.master": "local[8]",
         "spark.driver.memory": "6g",
         "spark.ui.enabled": "false",
-        "spark.sql.shuffle.partitions": "8",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": "4",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     })
