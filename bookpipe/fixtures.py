@@ -34,8 +34,12 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with their orders as reviews; dates as raw text."""
-    lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    """Order lines with their orders as reviews; dates as raw text.
+
+    Both tables grow with the data, so the join shuffles, which also spreads lines that are stored
+    as one row group over the tasks.
+    """
+    lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders").hint("merge")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         review_id(), F.col("o_custkey").alias("user_id"),
         F.col("l_partkey").alias("book_id"), F.col("l_suppkey").alias("author_id"),

@@ -272,7 +272,7 @@ def nightly_batch(spark, folder):
     zones = Zones(f"{root}/landing", root, _layers())
     moment = F.col("l_shipdate") + F.make_dt_interval(secs=F.col("l_linenumber") + F.lit(BATCH_OFFSET).cast("decimal(8,6)"))
     timed = fx.table(spark, folder, "lineitem").withColumn("l_shipdate", moment)
-    orders = fx.table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
+    orders = fx.table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id")).hint("merge")
     reviews = timed.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         fx.review_id(), "user_id",
         F.col("l_partkey").alias("book_id"), F.col("l_suppkey").alias("author_id"),
