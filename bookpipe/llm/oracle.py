@@ -11,10 +11,10 @@ ORACLE: dict[str, str] = {
     # Shingles stand as texts joined by a tab, which no word holds. Links are followed to the end.
     "op9_minhash_dedup": f"""
         WITH RECURSIVE w AS (
-            SELECT doc_id, list_filter(string_split_regex({LOWERED}, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS words FROM documents),
+            SELECT doc_id, list_filter(string_split_regex({LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
         s AS (
             SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 3
-                THEN list_transform(range(1, len(words) - 1), i -> array_to_string(words[i:i + 2], chr(9)))
+                THEN list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], chr(9)))
                 WHEN len(words) > 0 THEN [array_to_string(words, chr(9))] ELSE [] END) AS shingle FROM w),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         links AS (
