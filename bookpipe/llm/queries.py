@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookpipe.llm import decontaminate, exact, neardup, packing, quality
+from bookpipe.llm import decontaminate, exact, neardup, packing, quality, repeats
 from bookpipe.llm.text import held_out, ship_package
 from bookpipe.session import shared_folder
 
@@ -51,10 +51,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, documents(spark, sf_dir), tokenizer(), SEQUENCE).drop("ids")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(spark, documents(spark, sf_dir), length=100)
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(spark, documents(spark, sf_dir), words=3, percent=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality, op5_exact_dedup, op6_decontamination, op7_packing, op9_minhash_dedup)
+    f.__name__: f for f in (op2_quality, op5_exact_dedup, op6_decontamination, op7_packing, op8_suffix_dedup, op9_minhash_dedup)
 }

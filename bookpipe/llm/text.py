@@ -21,10 +21,21 @@ MIX = np.uint64(0xD6E8FEB86659FD93)
 BLOCK = 1 << 18
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def store(spark: SparkSession, frame: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives lost executors."""
+    """Write to the shared folder and read back: cuts lineage and survives lost executors.
+
+    The shuffle files that led to the rows are not needed any more and go when they are written.
+    """
     path = f"{shared_folder(spark)}/part"
-    frame.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -1,0 +1,114 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from bookpipe.llm import repeats
+from bookpipe.llm.queries import QUERIES
+from bookpipe.llm.repeats import anchors, intervals, maximal_repeats, remove_repeats, suffix_array
+
+
+def brute(rows, length):
+    """Mark every byte of a window that was seen before, in doc_id order."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(rows):
+        data = (text or "").encode()
+        covered = np.zeros(len(data), bool)
+        for i in range(len(data) - length + 1):
+            window = data[i : i + length]
+            if window in seen:
+                covered[i : i + length] = True
+            seen.add(window)
+        edge = np.diff(np.concatenate(([0], covered.astype(np.int8))))
+        out[doc_id] = (len(data), int(covered.sum()), int((edge == 1).sum()), hashlib.sha256(np.frombuffer(data, np.uint8)[~covered].tobytes()).hexdigest())
+    return out
+
+
+def as_dict(frame):
+    return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in frame.collect()}
+
+
+def make(r):
+    letters = "abcdé \n"
+    passage = ["".join(r.choice(letters) for _ in range(n)) for n in (130, 260, 99, 101, 100, 700)]
+    texts = ["", None, "short", "ab" * 400, "a" * 1_000, "a" * 150, "x" * 100 + "y" * 100]
+    for _ in range(60):
+        parts = [r.choice([r.choice(passage), "".join(r.choice(letters) for _ in range(r.randrange(150))), r.choice(passage)[r.randrange(40) :]])
+                 for _ in range(r.randrange(1, 6))]
+        texts.append("".join(parts))
+    texts += [texts[20], texts[20], texts[21] + "z"]
+    r.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize(("seed", "hot"), [(1, False), (2, False), (3, True)])
+def test_against_brute_force(spark, monkeypatch, seed, hot):
+    if hot:
+        monkeypatch.setattr(repeats, "HOT_CONTEXTS", 3)
+        monkeypatch.setattr(repeats, "SUFFIXES", 50)
+    rows = make(random.Random(seed))
+    frame = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, start int").repartition(3)
+    assert as_dict(remove_repeats(spark, frame)) == brute(rows, 100)
+
+
+def test_documents_against_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    assert as_dict(QUERIES["op8_suffix_dedup"](spark, sf_dir)) == brute(rows, 100)
+
+
+def test_text_on_request_and_edge_rows(spark):
+    rows = [(1, "a" * 30 + "é" * 60), (2, "é" * 60 + "b"), (3, "a" * 30 + "é" * 60), (3, "a" * 30 + "é" * 60), (None, "a" * 30 + "é" * 60), (4, None)]
+    found = remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).collect()
+    kept = sorted((r.doc_id or 0, r.n_removed, bytes(r.kept)) for r in found)
+    first = rows[0][1].encode()
+    assert [x[0] for x in kept] == [0, 1, 2, 3, 3, 4] and kept[0][2] == first and kept[3][2] == kept[4][2] == b"" and kept[5][2] == b""
+    # 120 equal bytes repeat inside document 1 too, shifted by one character.
+    expected = brute([(1, rows[0][1]), (2, rows[1][1])], 100)
+    assert [(x[0], x[1]) for x in kept[1:3]] == [(d, expected[d][1]) for d in (1, 2)]
+    assert all(hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 for r in found)
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert remove_repeats(spark, empty).count() == 0 and maximal_repeats(spark, empty).count() == 0
+
+
+def test_groups_hold_all_occurrences(spark):
+    r = random.Random(4)
+    passage = "".join(r.choice("abcdefgh") for _ in range(120))
+    texts = {i: f"{i:03}" + "".join(r.choice("ijkl") for _ in range(50)) + passage + f"{i:03}" for i in range(9)}
+    found = maximal_repeats(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    groups = {}
+    for x in found:
+        data = texts[x.doc_id].encode()[x.start : x.start + x.length]
+        assert len(data) == x.length >= 100
+        groups.setdefault((x.group, x.length), []).append((x.doc_id, data, x.first))
+    for members in groups.values():
+        holders = {d for d, t in texts.items() if members[0][1] in t.encode()}
+        assert {d for d, _, _ in members} == holders and len({b for _, b, _ in members}) == 1
+        assert [d for d, _, f in members if f] == [min(holders)]
+    assert any({d for d, _, _ in m} == set(range(9)) for m in groups.values())
+
+
+def test_anchors_follow_content_and_own_every_window():
+    r = random.Random(6)
+    data = bytes(r.choice(b"abc") for _ in range(3_000))
+    names, low, high = anchors(data, 100)
+    assert low[0] == 0 and high[-1] == 2_900 and (low[1:] == high[:-1] + 1).all()
+    inner, l2, h2 = anchors(data[500:1_500], 100)
+    own = {int(q): int(n) for n, i, j in zip(names, low, high, strict=True) for q in range(i, j + 1)}
+    for n, i, j in zip(inner, l2, h2, strict=True):
+        assert all(own[500 + q] == n for q in range(i, j + 1))
+    assert len(anchors(b"x" * 99, 100)[0]) == 0
+
+
+def test_suffix_array_and_intervals():
+    text = b"banana$bananas"
+    starts = np.arange(14)
+    order, common = suffix_array(np.frombuffer(text, np.uint8), starts, np.full(14, 14), np.zeros(14, np.int64))
+    assert [text[i:] for i in order] == sorted(text[i:] for i in range(14))
+    for k in range(1, 14):
+        a, b = text[order[k - 1] :], text[order[k] :]
+        n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        assert common[k] == n
+    assert sorted(intervals(np.array([0, 3, 3, 1, 4, 0, 2]), 2)) == [(2, 5, 6), (3, 0, 2), (4, 3, 4)]
+    assert sorted(intervals(np.array([0, 3, 3, 1, 4, 0, 2]), 1)) == [(1, 0, 4), (2, 5, 6), (3, 0, 2), (4, 3, 4)]
