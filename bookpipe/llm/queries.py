@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookpipe.llm import decontaminate, exact, neardup, packing, quality, repeats
+from bookpipe.llm import decontaminate, exact, language, licenses, neardup, packing, quality, repeats, scoring, sentences
 from bookpipe.llm.text import held_out, ship_package
 from bookpipe.session import shared_folder
 
@@ -20,6 +20,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.learn(spark, docs.filter(~held_out(5, 0))), held_out(5, 0))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"), held_out(5, 0))
@@ -27,6 +32,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(spark, documents(spark, sf_dir), held_out(7, 2))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.remove_repeated_spans(spark, documents(spark, sf_dir))
+
+
 def new_index(spark: SparkSession) -> exact.DigestIndex:
     """An empty index in a folder of its own, with a bucket per shuffle partition."""
     folder = shared_folder(spark)
@@ -59,6 +72,12 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(spark, documents(spark, sf_dir), words=3, percent=85)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality, op5_exact_dedup, op6_decontamination, op7_packing, op8_suffix_dedup, op9_minhash_dedup)
+    f.__name__: f for f in (
+        op1_language_id, op2_quality, op3_lm_scoring, op4_substring_dedup, op5_exact_dedup, op6_decontamination, op7_packing,
+        op8_suffix_dedup, op9_minhash_dedup, op10_license_scan)
 }

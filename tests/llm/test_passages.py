@@ -1,0 +1,226 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from bookpipe.llm import decontaminate, licenses
+from bookpipe.llm.queries import QUERIES
+from bookpipe.llm.sentences import remove_repeated_spans, sentences
+
+# Sentence spans
+
+
+def brute_spans(rows, least, words):
+    """Spans as word lists in doc_id order; what was seen before covers its sentences."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(rows):
+        data = (text or "").encode()
+        pieces, at = [], 0
+        for m in re.finditer(rb"[.!?]+[ \t\r\x0b\x0c]+|\s*\n\s*", data):
+            pieces.append((at, m.end()))
+            at = m.end()
+        pieces.append((at, len(data)))
+        held = []
+        for i, j in pieces:
+            found = re.findall(rb"[0-9A-Za-z\x80-\xff]+", data[i:j].lower())
+            if found:
+                held.append([i, j, found])
+            elif held:
+                held[-1][1] = j
+        if held:
+            held[0][0] = 0
+        gone = [False] * len(held)
+        for i in range(len(held)):
+            j = i
+            while j < len(held) and (j - i < least or sum(len(h[2]) for h in held[i:j]) < words):
+                j += 1
+            if j - i < least or sum(len(h[2]) for h in held[i:j]) < words:
+                continue
+            name = tuple(w for h in held[i:j] for w in h[2])
+            if name in seen:
+                gone[i:j] = [True] * (j - i)
+            seen.add(name)
+        kept = data if not any(gone) else b"".join(data[i:j] for (i, j, _), g in zip(held, gone, strict=True) if not g)
+        out[doc_id] = (len(held), sum(gone), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def cleaned(frame):
+    return {r.doc_id: (r.n_sentences, r.n_removed, r.kept_sha256) for r in frame.collect()}
+
+
+def test_spans_against_brute_force(spark):
+    r = random.Random(8)
+    pool = [" ".join(r.choice("abcdefghijé") * r.randrange(1, 4) for _ in range(r.randrange(1, 14))) + r.choice([". ", "! ", "?\n", "...  ", "\n\n"]) for _ in range(60)]
+    texts = ["".join(r.choice(pool) for _ in range(r.randrange(0, 30))) for _ in range(50)] + ["", None, "... !!! \n", "no mark at all", "x. " * 3_000]
+    for _ in range(30):
+        k = r.randrange(50)
+        texts.append(r.choice(pool) + "".join(pool[k : k + 6]) + r.choice(pool))
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, span int").repartition(3)
+    assert cleaned(remove_repeated_spans(spark, frame, 2, 12)) == brute_spans(rows, 2, 12)
+
+
+def test_spans_on_documents(spark, sf_dir):
+    rows = [(x.doc_id, x.text) for x in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    found = QUERIES["op4_substring_dedup"](spark, sf_dir)
+    assert cleaned(found) == brute_spans(rows, 2, 20)
+    assert all(hashlib.sha256(x.text.encode()).hexdigest() == x.kept_sha256 for x in found.limit(50).collect())
+
+
+def test_spans_edge_rows(spark):
+    passage = "One two three four five six seven eight nine ten eleven. And twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty twenty-one."
+    rows = [(1, passage), (1, passage), (None, passage), (2, passage.upper()), (3, None)]
+    found = sorted((x.doc_id or 0, x.n_removed) for x in remove_repeated_spans(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert found == [(0, 0), (1, 0), (1, 0), (2, 2), (3, 0)]
+    assert remove_repeated_spans(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert sentences(b"").last.tolist() == []
+
+
+# Decontamination
+
+
+def brute_overlap(item, window):
+    def grams(words):
+        n = min(5, len(words))
+        return [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+
+    a, b = grams(item), grams(window)
+    return sum(min(a.count(g), b.count(g)) for g in set(a)) / len(a)
+
+
+def split(text):
+    return [w.decode() for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode().lower())]
+
+
+def brute_leaks(docs, items):
+    out = {}
+    for doc_id, text in docs:
+        words = split(text)
+        for item_id, item in items:
+            own = split(item)
+            n = min(5, len(own))
+            if own and {tuple(own[i : i + n]) for i in range(len(own))} & {tuple(words[i : i + n]) for i in range(len(words))}:
+                shares = [brute_overlap(own, words[s : s + len(own)]) for s in range(len(words) - len(own) + 1)]
+                if shares and max(shares) >= 0.8:
+                    out[doc_id, item_id] = (round(max(shares), 9), shares.index(max(shares)), len(own))
+    return out
+
+
+def leak_rows(frame):
+    return {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start, r.n_words) for r in frame.collect()}
+
+
+def make_leaks():
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 8)))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([15, 15, 22, 40, 57, 3, 5])] + [(7, ""), (8, "..."), (9, "a a a a a a a a a a a a")]
+    docs = []
+    for i in range(60):
+        body = [word() for _ in range(80)]
+        if i % 2:
+            _, leak = items[i % 10]
+            leak = leak.split()
+            for _ in range(i % 3):
+                if len(leak) > 20:
+                    leak[r.randrange(len(leak))] = word()
+            at = r.randrange(80)
+            body[at:at] = [w.upper() if i % 5 == 0 else w + "," for w in leak]
+        docs.append((i, " ".join(body)))
+    return docs + [(60, None), (61, ""), (62, items[3][1]), (63, items[3][1] + " " + items[3][1]), (64, " ".join(items[4][1].split()[:30]))], items
+
+
+def test_leaks_against_brute_force(spark):
+    docs, items = make_leaks()
+    frame = spark.createDataFrame([(*x, 5) for x in docs], "doc_id long, text string, item_id int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    expected = brute_leaks(docs, items)
+    assert len(expected) > 20
+    assert leak_rows(decontaminate.find_leaks(spark, frame, bench)) == expected
+    assert leak_rows(decontaminate.find_leaks(spark, frame, bench, items_per_scan=3)) == expected
+    assert decontaminate.find_leaks(spark, frame, bench.limit(0)).count() == 0 and decontaminate.find_leaks(spark, frame.limit(0), bench).count() == 0
+
+
+def test_leaks_on_documents(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    expected = brute_leaks([(d, t[:6_000]) for d, t in docs], items)
+    found = leak_rows(decontaminate.find_leaks(spark, spark.createDataFrame([(d, t[:6_000]) for d, t in docs], "doc_id long, text string"),
+                                               spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    assert found == expected
+
+
+def test_index_finds_every_fingerprint_within_the_radius():
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    words = [r.integers(0, 2**63, 12).astype(np.uint64) for _ in range(40)]
+    items = decontaminate.Items(list(range(40)), words)
+    prints = items.prints[r.integers(40, size=300)].copy()
+    for i in range(300):
+        for bit in r.choice(64, r.integers(0, 20), replace=False):
+            prints[i] ^= np.uint64(1) << np.uint64(bit)
+    distance = np.bitwise_count(prints[:, None] ^ items.prints[None, :])
+    expected = {(i, j, int(distance[i, j])) for i, j in zip(*np.nonzero(distance <= decontaminate.RADIUS), strict=True)}
+    assert set(items.within_radius(prints)) == expected
+
+
+# Licenses
+
+
+def brute_licenses(text):
+    words, best = split(text), []
+    for name, wording in licenses.TEMPLATES.items():
+        own = split(wording)
+        n = min(5, len(own))
+        grams = {tuple(own[i : i + n]) for i in range(len(own) - n + 1)}
+        size = len(own)
+        if not grams & {tuple(words[i : i + n]) for i in range(len(words))}:
+            continue
+        share = max((len({tuple(words[i : i + n]) for i in range(s, min(s + size, len(words)) - n + 1)} & grams) / len(grams)
+                     for s in range(max(1, len(words) - size + 1))), default=0)
+        if share >= 0.8:
+            best.append((name, share))
+    return dict(best)
+
+
+def test_licenses_whole_and_changed(spark):
+    r = random.Random(3)
+    rows, expected = [], {}
+    for i, (name, wording) in enumerate(sorted(licenses.TEMPLATES.items())):
+        body = [f"w{r.randrange(10**6)}" for _ in range(60)]
+        at = r.randrange(60)
+        rows.append((i, " ".join([*body[:at], wording.upper(), *body[at:]]), "x"))
+        expected[i] = name
+    rows += [(90, None, "x"), (91, "", "x"), (92, "MIT License", "x"), (93, "no license here at all, not one", "x")]
+    found = {}
+    for x in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, license string")).collect():
+        found.setdefault(x.doc_id, []).append(x.license)
+    assert all(expected[i] in found[i] for i in expected) and set(found) == set(expected)
+    assert found[sorted(licenses.TEMPLATES).index("GPL-3.0")] == ["GPL-3.0"]
+
+
+def test_licenses_on_documents(spark, sf_dir):
+    docs = [(x.doc_id, x.text) for x in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    found = {}
+    for x in QUERIES["op10_license_scan"](spark, sf_dir).collect():
+        found.setdefault(x.doc_id, {})[x.license] = x.containment
+    few = [(d, t) for d, t in docs if d in found] + docs[:30]
+    for d, t in few:
+        expected = brute_licenses(t)
+        assert bool(expected) == (d in found)
+        assert all(found[d][k] == pytest.approx(expected[k]) for k in found.get(d, ()))
+        # What is left out is a wording less contained than one in the same place.
+        assert not expected or max(expected.values()) == pytest.approx(max(found[d].values()))
+
+
+def test_changed_wording_is_found(spark):
+    words = licenses.TEMPLATES["MIT-text"].split()
+    words[30] = "alter"
+    frame = spark.createDataFrame([(1, "x " * 20 + " ".join(words) + " y" * 9)], "doc_id long, text string")
+    (row,) = licenses.scan(frame).collect()
+    assert row.license == "MIT-text" and 0.8 <= row.containment < 1
+    assert licenses.scan(frame.limit(0)).count() == 0
+    assert licenses.scan(frame, {"none": "..."}).count() == 0
