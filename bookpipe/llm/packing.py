@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from bookpipe.llm.text import emit, store, texts
 
 END = 1
 CACHED_WORDS = 400_000
+# Rows of an Arrow batch.
+ROWS = 500
 PUNCTUATION = ".,!?|$%&*#;:"
 
 TOKENS = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("before", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
@@ -23,6 +26,10 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return pack_ids(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
     """Ids of a text as little-endian unsigned 32-bit integers, word by word.
 
@@ -44,7 +51,7 @@ class WordEncoder:
         self.alphabet = {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(other)}
 
     def _whole(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return _bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def _stem(self, stem: str) -> bytes:
         found = self.stems.get(stem)
@@ -52,14 +59,14 @@ class WordEncoder:
             if len(self.stems) >= CACHED_WORDS:
                 self.stems.clear()
             piece = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.alphabet)
-            found = self.stems[stem] = np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+            found = self.stems[stem] = _bytes([t.id for t in self.model.tokenize(piece)])
         return found
 
     def word(self, raw: bytes) -> bytes:
         word = raw.decode()
         lowered = word.lower()
         stem = lowered.rstrip(PUNCTUATION)
-        if stem.isalpha() and max(stem) < "ɐ":
+        if stem.isalpha() and (stem.isascii() or max(stem) < "ɐ"):
             tail = lowered[len(stem) :]
             found = self._stem(stem)
             if tail:
@@ -87,39 +94,38 @@ def _tokens(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, before = encoder(path).encode, TaskContext.get().partitionId(), 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), texts(batch), strict=True):
+            out: list[tuple] = []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
                 ids = encode(text) + END.to_bytes(4, "little")
                 n = len(ids) // 4
                 # Ids below 2 ** 16 are stored in two bytes.
-                yield emit(TOKENS, [[part], [doc_id.as_py()], [before], [n], [np.frombuffer(ids, "<u4").astype("<u2").tobytes()]])
+                out.append((part, doc_id, before, n, np.frombuffer(ids, "<u4").astype("<u2").tobytes()))
                 before += n
+                if len(out) >= ROWS:
+                    yield emit(TOKENS, zip(*out, strict=True))
+                    out = []
+            if out:
+                yield emit(TOKENS, zip(*out, strict=True))
     return run
 
 
-def _rows(rows: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[pa.RecordBatch]:
-    """Join single rows to batches."""
-    held: list[pa.RecordBatch] = []
-    for row in rows:
-        held.append(row)
-        if len(held) == size:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held = []
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _cut(length: int, with_ids: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, at, stored in zip(batch.column("doc_id"), batch.column("at"), batch.column("ids"), strict=True):
-                at, ids = at.as_py(), np.frombuffer(stored.as_py(), "<u2")
-                first = (-at) % length
-                starts = np.array([0, *range(first or length, len(ids), length)], np.int64)
-                ends = np.append(starts[1:], len(ids))
-                pieces = [ids[i:j].astype("<u4").tobytes() for i, j in zip(starts, ends, strict=True)]
-                yield emit(PIECES, [[doc_id.as_py()] * len(starts), starts, ends - starts, [zlib.crc32(p) for p in pieces],
-                                    [len(ids)] * len(starts), (at + starts) // length, (at + starts) % length,
-                                    pieces if with_ids else [None] * len(starts)])
+            out: list[tuple] = []
+            for doc_id, at, stored in zip(batch.column("doc_id").to_pylist(), batch.column("at").to_pylist(), batch.column("ids"), strict=True):
+                ids = np.frombuffer(stored.as_py(), "<u2").astype("<u4").tobytes()
+                n, start = len(ids) // 4, 0
+                while start < n:
+                    end = min(n, start + length - (at + start) % length)
+                    piece = ids[4 * start : 4 * end]
+                    out.append((doc_id, start, end - start, zlib.crc32(piece), n, (at + start) // length, (at + start) % length, piece if with_ids else None))
+                    start = end
+                if len(out) >= ROWS:
+                    yield emit(PIECES, zip(*out, strict=True))
+                    out = []
+            if out:
+                yield emit(PIECES, zip(*out, strict=True))
     return run
 
 
@@ -136,10 +142,10 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, length: int = 204
     ignored. The vocabulary must have at most 2 ** 16 ids.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    written = store(spark, rows.mapInArrow(lambda b: _rows(_tokens(tokenizer)(b)), "part int, doc_id long, before long, doc_tokens long, ids binary"))
+    written = store(spark, rows.mapInArrow(_tokens(tokenizer), "part int, doc_id long, before long, doc_tokens long, ids binary"))
     totals = written.groupBy("part").agg(F.sum("doc_tokens").alias("total"))
     # One row per task of the first pass; a million tasks are 16 MB.
     base = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
     placed = written.join(F.broadcast(base), "part").select("doc_id", (F.col("base") + F.col("before")).alias("at"), "ids")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
-    return placed.mapInArrow(lambda b: _rows(_cut(length, with_ids)(b)), schema)
+    return placed.mapInArrow(_cut(length, with_ids), schema)
