@@ -1,9 +1,13 @@
-"""Command line of the nightly batch: ``python -m bookpipe --landing L --root R --ds YYYY-MM-DD``."""
+"""Command line of the nightly batch: ``python -m bookpipe --landing L --root R --ds YYYY-MM-DD``.
+
+The exit code is 2 if the landing zone holds no registered source.
+"""
 
 from __future__ import annotations
 
 import argparse
 import logging
+import sys
 
 from bookpipe.plans.nightly import Zones, run_batch
 from bookpipe.session import build_session
@@ -19,9 +23,11 @@ def main() -> None:
     logging.basicConfig(level=logging.INFO)
     spark = build_session("bookpipe-nightly")
     try:
-        run_batch(spark, Zones(args.landing, args.root, processed_csv=args.processed_csv), args.ds)
+        found = run_batch(spark, Zones(args.landing, args.root, processed_csv=args.processed_csv), args.ds)
     finally:
         spark.stop()
+    if not found:
+        sys.exit(2)
 
 
 if __name__ == "__main__":

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -20,15 +20,12 @@ from bookpipe.plans.analytics import SUBJECTS, Subject, best, popular_by_average
 from bookpipe.plans.clean import clean
 from bookpipe.schemas import ENTITIES, SOURCES, TS, Entity
 from bookpipe.sources.processed import read_processed_csv, write_processed, write_processed_csv
-from bookpipe.sources.raw import WHOLE_FILE_BYTES, landing_report, listing, read_raw
-from bookpipe.session import checkpoint_folder, shuffles_for
+from bookpipe.sources.raw import landing_report, listing, read_raw
+from bookpipe.session import checkpoint_folder, qualified, shuffles_for
 from bookpipe.sources.tables import Layers, create_databases, create_tables, publish, publish_folder, replace_day
 
 log = logging.getLogger(__name__)
 
-# Sources outside the registry that are named in the log.
-LOGGED_SOURCES = 20
-
 
 @dataclass(frozen=True)
 class Zones:
@@ -48,14 +45,12 @@ class Zones:
 
 
 def select_sources(spark: SparkSession, landing: str) -> dict[str, Row]:
-    """Registered sources in the landing zone with their sizes; others are skipped, some logged."""
-    report = landing_report(spark, landing).orderBy(F.desc("selected"), "source").limit(len(SOURCES) + LOGGED_SOURCES)
-    found = {}
-    for row in report.collect():
-        if row.selected:
-            found[row.source] = row
-        else:
-            log.warning("no transformation is defined for %s", row.source)
+    """Registered sources in the landing zone with their sizes; every other one is skipped and logged."""
+    report = landing_report(spark, landing).persist()
+    for row in report.where("NOT selected").orderBy("source").toLocalIterator():
+        log.warning("no transformation is defined for %s", row.source)
+    found = {row.source: row for row in report.where("selected").collect()}
+    report.unpersist()
     return found
 
 
@@ -63,19 +58,14 @@ def process(spark: SparkSession, zones: Zones, entity: Entity, source: Row | Non
     """Raw source to processed zone. The text is parsed once, into a columnar working copy."""
     if source is not None:
         working = zones.folder("working", entity)
-        large = source.largest_file > WHOLE_FILE_BYTES
-        raw = read_raw(spark, f"{zones.landing.rstrip('/')}/{entity.source}", entity, large)
-        # Few small files mean few tasks, here and in what reads the copy.
-        tasks = spark.sparkContext.defaultParallelism
-        if source.files < tasks and not large:
-            raw = raw.repartition(tasks)
+        raw = read_raw(spark, f"{zones.landing.rstrip('/')}/{entity.source}", entity)
         with_load_time(raw).write.mode("overwrite").parquet(working)
         rows = clean(spark.read.parquet(working), entity, stored=True)
     else:
         rows = spark.createDataFrame([], entity.staging)
     rows = align(rows, entity.staging, entity.renames)
     if zones.processed_csv:
-        write_processed_csv(rows, zones.folder("processed", entity), files=None)
+        write_processed_csv(rows, zones.folder("processed", entity))
     else:
         write_processed(rows, zones.folder("processed", entity))
 
@@ -156,6 +146,7 @@ def run_batch(spark: SparkSession, zones: Zones, ds: str) -> bool:
     A rerun with the same input changes nothing: files and staging are replaced, the upsert is by
     key, and rankings replace their day.
     """
+    zones = replace(zones, landing=qualified(spark, zones.landing), root=qualified(spark, zones.root))
     found = select_sources(spark, zones.landing)
     if not found:
         log.warning("no registered source in %s", zones.landing)
@@ -163,13 +154,13 @@ def run_batch(spark: SparkSession, zones: Zones, ds: str) -> bool:
     layers = zones.layers
     checkpoint_folder(spark, default=f"{zones.root.rstrip('/')}/checkpoints")
     create_databases(spark, layers.all, zones.root)
+    create_tables(spark, layers)
     warehouse = listing(spark, f"{zones.root.rstrip('/')}/{layers.warehouse}").agg(F.sum("length")).first()[0]
     stored_bytes = sum(row.bytes for row in found.values()) + (warehouse or 0)
     entities = ENTITIES.values()
     with shuffles_for(spark, stored_bytes):
         _each(spark, lambda entity: process(spark, zones, entity, found.get(entity.source)), entities)
         _each(spark, lambda entity: stage(spark, zones, entity), entities)
-        create_tables(spark, layers)
         _each(spark, lambda entity: load_warehouse(spark, zones, entity), entities)
         gate(warehouse_tables(spark, layers))
         _each(spark, lambda subject: rank_subject(spark, layers, subject, ds), SUBJECTS.values())

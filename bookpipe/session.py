@@ -60,6 +60,12 @@ def shuffles_for(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
             spark.conf.set(INITIAL_PARTITIONS, before)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and host, from its file system's working folder if it is relative."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString()
+
+
 def checkpoint_folder(spark: SparkSession, default: str | None = None) -> str:
     """The session's checkpoint folder, which all executors share; ``default`` where none is set.
 

@@ -13,10 +13,10 @@ MILLIS = "yyyy-MM-dd HH:mm:ss.SSS"
 CSV_OPTIONS = {"sep": "|", "quote": '"', "escape": '"', "header": True}
 
 
-def write_processed_csv(df: DataFrame, path: str, files: int | None = 10) -> None:
+def write_processed_csv(df: DataFrame, path: str, files: int | None = None) -> None:
     """Gzip CSV with ``|``; the folder is replaced and timestamps are cut to milliseconds.
 
-    ``files=None`` writes one file per task instead of gathering the data in a fixed number.
+    One file per task, or a fixed number of ``files``, into which all rows are then gathered.
     Like any such file, it holds no difference between null and the empty string, and values lose
     blanks at their ends.
     """

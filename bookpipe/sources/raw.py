@@ -12,8 +12,6 @@ from bookpipe.schemas import SOURCES, Entity
 from bookpipe.sources.records import csv_records, parse_records
 
 RAW_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "header": "true"}
-# Files up to this size are read by one task each.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
 
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,8 +26,10 @@ def landing_report(spark: SparkSession, landing: str, allowed: Iterable[str] = S
     A source is a file or a folder of files directly below the landing zone. Names that are not
     allowed are reported and not selected.
     """
-    zone = landing.rstrip("/").split(":")[-1].lstrip("/")
-    inside = rf"^[^/]*/+\Q{zone}\E/+"
+    path = spark._jvm.org.apache.hadoop.fs.Path(landing)
+    zone = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().getPath().rstrip("/")
+    # Scheme and host of a file's path are left out, then the zone's path.
+    inside = rf"^(?:[^/]+:)?(?://[^/]*)?\Q{zone}\E/+"
     source = F.split_part(F.regexp_replace("path", inside, ""), F.lit("/"), F.lit(1))
     return (
         listing(spark, landing)
@@ -44,24 +44,27 @@ def landing_report(spark: SparkSession, landing: str, allowed: Iterable[str] = S
 def raw_schema(spark: SparkSession, path: str, entity: Entity) -> StructType:
     """Types for the columns named in the header, in the header's order.
 
-    Known columns get their registered type, others are text. Timestamps are read with the session
-    zone, so that a written offset is honoured.
+    Known columns get their registered type and spelling, in whatever case the header has them; others
+    are text. A header without the key column is refused. Timestamps are read with the session zone,
+    so that a written offset is honoured.
     """
-    types = {field.name: field.dataType for field in entity.raw}
+    known = {field.name.lower(): field for field in entity.raw}
     names = spark.read.options(**RAW_OPTIONS).csv(path).columns
     fields = []
     for name in names:
-        kind = types.get(name, StringType())
-        fields.append(StructField(name, TimestampType() if isinstance(kind, TimestampNTZType) else kind))
+        field = known.get(name.lower(), StructField(name, StringType()))
+        fields.append(StructField(field.name, TimestampType() if isinstance(field.dataType, TimestampNTZType) else field.dataType))
+    if entity.key not in [field.name for field in fields]:
+        raise ValueError(f"no column {entity.key} in the header of {path}")
     return StructType(fields)
 
 
-def read_raw(spark: SparkSession, path: str, entity: Entity, large: bool = False) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, entity: Entity, large: bool = True) -> DataFrame:
     """Typed rows of one CSV source; a value that does not parse is null, not a failure.
 
-    Quotes are escaped by doubling and quoted values may hold line breaks. For that, Spark's reader
-    takes each file in one task. With ``large``, files are split instead; the rows are the same,
-    also with stray quotes inside unquoted values.
+    Quotes are escaped by doubling and quoted values may hold line breaks. Lines end in LF or CRLF, as a
+    file's first one does, and the header is the first line. Files of any size are split. Without ``large`` Spark's own
+    reader takes each file in one task, to compare with; the batch does not use it.
     """
     schema = raw_schema(spark, path, entity)
     if large:

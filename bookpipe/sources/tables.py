@@ -3,6 +3,11 @@
 Staging and warehouse tables are views over one stored version. A new version is written in full
 next to the old one, then the view is pointed to it: readers see the old rows or the new ones, a
 failed write changes nothing, and a table can be computed from itself.
+
+The state lies in the folders, not in the session's catalog: a small file per table names its current
+version and is replaced atomically, and analytics days are partition folders. A new session registers
+what it finds there. Kept versions: the current one and the one before it; a reader that is still
+on an older one fails.
 """
 
 from __future__ import annotations
@@ -17,9 +22,6 @@ from pyspark.sql.types import StructType
 from bookpipe.operators.align import align
 from bookpipe.schemas import ANALYTICS, ENTITIES, RECORD_DATE
 
-# Versions kept after a switch: the current one and the one before, for readers still using it.
-KEPT_VERSIONS = 2
-
 
 @dataclass(frozen=True)
 class Layers:
@@ -40,17 +42,65 @@ def create_databases(spark: SparkSession, names: Iterable[str], root: str) -> No
 
 
 def create_tables(spark: SparkSession, layers: Layers) -> None:
-    """Create what is missing of the warehouse and analytics tables, empty and typed."""
+    """Register the warehouse and analytics tables that lie in the folders; create what is missing, empty and typed."""
     for entity in ENTITIES.values():
         name = f"{layers.warehouse}.{entity.name}"
-        if not spark.catalog.tableExists(name):
-            columns = _ddl(entity.warehouse) + (f", {RECORD_DATE} date" if entity.dated else "")
-            stored = _new_version(name)
-            spark.sql(f"CREATE TABLE {stored} ({columns}) USING parquet")
-            _switch(spark, name, stored)
+        if spark.catalog.tableExists(name):
+            continue
+        if (current := _current(spark, name)) is not None:
+            database, folder = layers.warehouse, _folder(spark, name)
+            if not spark.catalog.tableExists(f"{database}.{current}"):
+                spark.sql(f"CREATE TABLE {database}.{current} USING parquet LOCATION '{folder}/{current}'")
+            spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {database}.{current}")
+            continue
+        columns = _ddl(entity.warehouse) + (f", {RECORD_DATE} date" if entity.dated else "")
+        stored = _new_version(name)
+        spark.sql(f"CREATE TABLE {stored} ({columns}) USING parquet")
+        _switch(spark, name, stored)
     for name, layout in ANALYTICS.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {layers.analytics}.{name} ({_ddl(layout)}, ds date) "
-                  "USING parquet PARTITIONED BY (ds)")
+        table = f"{layers.analytics}.{name}"
+        if not spark.catalog.tableExists(table):
+            files, path = _pointer(spark, table)
+            files.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(path.getParent(), name))
+            spark.sql(f"CREATE TABLE {table} ({_ddl(layout)}, ds date) USING parquet PARTITIONED BY (ds) "
+                      f"LOCATION '{_folder(spark, table)}/{name}'")
+            spark.sql(f"MSCK REPAIR TABLE {table}")
+
+
+def _folder(spark: SparkSession, table: str) -> str:
+    """Where the database of a table keeps its tables."""
+    return spark.catalog.getDatabase(table.split(".")[0]).locationUri.rstrip("/")
+
+
+def _pointer(spark: SparkSession, table: str):
+    """File system and path of the file that names the table's current version."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_folder(spark, table)}/_current_{table.split('.')[1]}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _current(spark: SparkSession, table: str) -> str | None:
+    files, path = _pointer(spark, table)
+    if not files.exists(path):
+        return None
+    stream = files.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _point(spark: SparkSession, table: str, version: str) -> None:
+    """Name the current version, by a rename that replaces the file at once."""
+    files, path = _pointer(spark, table)
+    jvm = spark._jvm
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{path.toString()}.{version}")
+    stream = files.create(fresh, True)
+    stream.writeBytes(version)
+    stream.close()
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), spark._jsc.hadoopConfiguration()).rename(fresh, path, options)
 
 
 def _ddl(layout: StructType) -> str:
@@ -62,12 +112,18 @@ def _new_version(table: str) -> str:
 
 
 def _switch(spark: SparkSession, table: str, stored: str) -> None:
-    """Make a stored version the current one and drop versions that are no longer needed."""
-    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {stored}")
+    """Make a stored version the current one. Versions but this and the one before go, also those of earlier sessions."""
     database, name = table.split(".")
-    versions = sorted(entry.name for entry in spark.catalog.listTables(database, f"{name}__*"))
-    for old in versions[:-KEPT_VERSIONS]:
-        spark.sql(f"DROP TABLE {database}.{old}")
+    before = _current(spark, table)
+    _point(spark, table, stored.split(".")[1])
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {stored}")
+    files, path = _pointer(spark, table)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path.getParent(), f"{name}__*")
+    for status in files.globStatus(pattern):
+        version = status.getPath().getName()
+        if version not in (stored.split(".")[1], before):
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{version}")
+            files.delete(status.getPath(), True)
 
 
 def publish(df: DataFrame, table: str) -> None:

@@ -1,8 +1,12 @@
 """The whole batch on small CSV files: idempotence, changed records, missing sources, gates."""
 
+import os
+import subprocess
+import sys
 import uuid
 from collections import Counter
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,14 +125,44 @@ def test_many_replaced_keys_take_the_other_way(spark, zones, monkeypatch):
     assert sum(after["w.users"].values()) == 2
 
 
-def test_large_files_give_the_same_batch(spark, zones, monkeypatch):
-    land(zones, FILES)
-    run_batch(spark, zones, DAY)
-    before = content(spark, zones)
-    monkeypatch.setattr("bookpipe.plans.nightly.WHOLE_FILE_BYTES", 0)
-    run_batch(spark, zones, DAY)
-    after = content(spark, zones)
-    assert all(after[name] == before[name] for name in before if not name.endswith(".users"))
+def nightly(tmp_path, landing, ds):
+    """One night in a process of its own, as a scheduler runs it."""
+    command = [sys.executable, "-m", "bookpipe", "--landing", landing, "--root", "root", "--ds", ds]
+    paths = {"PYTHONPATH": str(Path(__file__).resolve().parents[1]), "SPARK_LOCAL_IP": "127.0.0.1"}
+    return subprocess.run(command, cwd=tmp_path, env=os.environ | paths, capture_output=True, text=True, timeout=300)
+
+
+def test_nights_in_processes_of_their_own(spark, tmp_path):
+    for night, key in (("one", 1), ("two", 2)):
+        (tmp_path / night).mkdir()
+        day = f"2024-01-{9 + key}"
+        rows = {
+            "author.csv": f"AUTHOR_ID,Name,record_create_timestamp\n{key},name {key},{day} 01:00:00\n",
+            "book.csv": f"book_id,title,authors,record_create_timestamp\n{key},title {key},{key},{day} 01:00:00\n",
+            "user.csv": f"user_id,user_name,record_create_timestamp\n{key},user {key},{day} 01:00:00\n",
+            "reviews.csv": f"review_id,user_id,book_id,author_id,review_rating,record_create_timestamp\n{key},{key},{key},{key},4.0,{day} 01:00:00\n",
+        }
+        for name, text in rows.items():
+            (tmp_path / night / name).write_text(text)
+        done = nightly(tmp_path, night, day)
+        assert done.returncode == 0, done.stderr[-3000:]
+    layers = Layers("s_two", "warehouse", "a_two")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS warehouse LOCATION '{tmp_path}/root/warehouse'")
+    try:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS a_two LOCATION '{tmp_path}/root/analytics'")
+        create_tables(spark, layers)
+        assert sorted(map(tuple, spark.table("warehouse.authors").select("author_id", "name").collect())) == [(1, "name 1"), (2, "name 2")]
+        assert spark.table("warehouse.reviews").count() == 2
+        for name in ANALYTICS:
+            assert {str(row.ds) for row in spark.table(f"a_two.{name}").select("ds").collect()} == {"2024-01-10", "2024-01-11"}
+        # The current version and the one before.
+        assert len(list((tmp_path / "root/warehouse").glob("reviews__*"))) == 2
+    finally:
+        for name in ("warehouse", "a_two"):
+            spark.sql(f"DROP DATABASE {name} CASCADE")
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none/notes.txt").write_text("x")
+    assert nightly(tmp_path, "none", "2024-01-12").returncode == 2
 
 
 def test_a_missing_source_leaves_its_warehouse_table(spark, zones, tmp_path):

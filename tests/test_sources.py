@@ -54,8 +54,8 @@ def test_large_reader_equals_the_whole_file_reader(spark, tmp_path, small_splits
     (source / "b.csv").write_text(csv_text(rows[:1] + [(-n, text, None) for n, text in enumerate(NASTY, 1)]))
     (source / "c.csv").write_text(csv_text(rows[:1]))
     small_splits(size)
-    whole = read_raw(spark, str(source), REVIEWS)
-    large = read_raw(spark, str(source), REVIEWS, large=True)
+    whole = read_raw(spark, str(source), REVIEWS, large=False)
+    large = read_raw(spark, str(source), REVIEWS)
     assert whole.schema == large.schema
     assert whole.count() == len(NASTY) * 5
     assert bag(whole) == bag(large)
@@ -159,7 +159,7 @@ def test_processed_csv(spark, tmp_path):
 
 def test_processed_csv_writes_ten_files(spark, tmp_path):
     path = str(tmp_path / "reviews")
-    write_processed_csv(spark.range(100).select(F.col("id").alias("review_id")), path)
+    write_processed_csv(spark.range(100).select(F.col("id").alias("review_id")), path, files=10)
     assert len(list(Path(path).glob("*.csv.gz"))) == 10
 
 
@@ -191,3 +191,23 @@ def test_allowed_sources_can_be_narrowed(spark, tmp_path):
 
 def test_empty_landing_zone(spark, tmp_path):
     assert landing_report(spark, str(tmp_path)).count() == 0
+
+
+def test_header_in_any_case_and_without_its_key(spark, tmp_path):
+    path = tmp_path / "author.csv"
+    path.write_text("AUTHOR_ID,Name,Extra,record_create_timestamp\n7,Ann,x,2024-01-01 00:00:00\n")
+    (row,) = align(read_raw(spark, str(path), AUTHORS), AUTHORS.staging).collect()
+    assert (row.author_id, row.name, row.record_create_timestamp) == (7, "Ann", datetime(2024, 1, 1))
+    path.write_text("author,name\n7,Ann\n")
+    with pytest.raises(ValueError, match="author_id"):
+        read_raw(spark, str(path), AUTHORS)
+
+
+def test_landing_report_of_relative_and_qualified_folders(spark, tmp_path, monkeypatch):
+    (tmp_path / "land it").mkdir()
+    (tmp_path / "land it/book.csv").write_text("x")
+    for n in range(30):
+        (tmp_path / f"land it/other{n:02}.txt").write_text("x")
+    for landing in (str(tmp_path / "land it"), f"file:{tmp_path}/land it/", f"file://{tmp_path}/land it"):
+        found = {row.source: row.selected for row in landing_report(spark, landing).collect()}
+        assert len(found) == 31 and [name for name, selected in found.items() if selected] == ["book.csv"]
