@@ -18,6 +18,8 @@ WORDS, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 15, 8
 # Items that one scan of the documents holds; more items take further scans.
 ITEMS_PER_SCAN = 20_000
+# Words and window-item cells that are compared at a time, so that a very long text needs no more memory.
+WORD_BLOCK, CELLS = 1 << 16, 1 << 22
 
 LEAKS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("n_words", pa.int64()),
                    ("similarity", pa.float64()), ("hamming", pa.int64())])
@@ -56,14 +58,17 @@ class Items:
 
     def within_radius(self, prints: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(window, item, distance) for all fingerprints within the radius, found by the blocks."""
-        values = prints.view(np.uint8).reshape(-1, BLOCKS)
-        found = self.index[0][values[:, 0]]
-        for b in range(1, BLOCKS):
-            found = found | self.index[b][values[:, b]]
-        window, item = np.nonzero(found)
-        distance = np.bitwise_count(prints[window] ^ self.prints[item])
-        near = distance <= RADIUS
-        yield from zip(window[near].tolist(), item[near].tolist(), distance[near].tolist(), strict=True)
+        step = max(1, CELLS // len(self.ids))
+        for low in range(0, len(prints), step):
+            part = prints[low : low + step]
+            values = part.view(np.uint8).reshape(-1, BLOCKS)
+            found = self.index[0][values[:, 0]]
+            for b in range(1, BLOCKS):
+                found |= self.index[b][values[:, b]]
+            window, item = np.nonzero(found)
+            distance = np.bitwise_count(part[window] ^ self.prints[item])
+            near = distance <= RADIUS
+            yield from zip((window[near] + low).tolist(), item[near].tolist(), distance[near].tolist(), strict=True)
 
 
 def overlap(item: tuple[np.ndarray, np.ndarray], window: np.ndarray) -> float:
@@ -98,31 +103,43 @@ class Benchmark:
         A window without any shingle of the items has similarity 0, so only the others get fingerprints.
         """
         words = words_of(text)
-        starts: dict[int, list[np.ndarray]] = defaultdict(list)
+        places: dict[int, list[int]] = defaultdict(list)
         for k, (known, sizes) in self.known.items():
             if len(words) < k:
                 continue
             grams = shingles(words, k)
             at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-            for p in np.flatnonzero(known[at] == grams):
+            for p in np.flatnonzero(known[at] == grams).tolist():
                 for n in sizes[at[p]]:
-                    first, last = max(0, p - n + k), min(p, len(words) - n)
-                    # A text that ends within the item has the item's start or end only.
-                    starts[n].append(np.arange(first, last + 1) if last >= first else np.zeros(0, np.int64))
+                    places[n].append(p)
         best: dict[int, tuple[float, int, int, int]] = {}
-        for n, found in starts.items():
-            at = np.unique(np.concatenate(found))
-            if not len(at):
-                continue
+        for n, found in places.items():
             items = self.sizes[n]
-            for w, i, distance in items.within_radius(fingerprints(words, n, at)):
-                start = int(at[w])
-                similar = overlap(items.grams[i], shingles(words[start : start + n], WORDS))
-                if similar >= SIMILARITY and (similar, -start) > best.get(items.ids[i], (0.0, 0))[:2]:
-                    best[items.ids[i]] = (similar, -start, n, distance)
+            for at in _windows(np.array(found), n, len(words)):
+                for w, i, distance in items.within_radius(fingerprints(words, n, at)):
+                    start = int(at[w])
+                    similar = overlap(items.grams[i], shingles(words[start : start + n], WORDS))
+                    if similar >= SIMILARITY and (similar, -start) > best.get(items.ids[i], (0.0, 0))[:2]:
+                        best[items.ids[i]] = (similar, -start, n, distance)
         return [(i, -s, n, x, d) for i, (x, s, n, d) in sorted(best.items())]
 
 
+def _windows(places: np.ndarray, size: int, n_words: int) -> Iterator[np.ndarray]:
+    """Starts of the windows of ``size`` words around shingles at ``places``, in blocks of the text.
+
+    A text that ends within an item has the item's start or end only, so there may be none.
+    """
+    first = np.maximum(0, places - size + min(size, WORDS))
+    last = np.minimum(places, n_words - size)
+    fits = last >= first
+    edges = np.zeros(n_words + 1, np.int32)
+    np.add.at(edges, first[fits], 1)
+    np.add.at(edges, last[fits] + 1, -1)
+    starts = np.flatnonzero(edges.cumsum() > 0)
+    if len(starts):
+        yield from np.split(starts, np.flatnonzero(np.diff(starts // WORD_BLOCK)) + 1)
+
+
 def _find(benchmark: Benchmark):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

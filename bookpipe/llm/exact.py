@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from bookpipe.llm.text import store
 
 INDEX = StructType([StructField("digest", StringType()), StructField("keep_id", LongType()), StructField("group_size", LongType())])
-# A digest with a thousandth of all rows (and a thousand rows) is hot; so there are at most a thousand.
+# A digest with a thousandth of all rows is hot, if it has two at least; so there are at most a thousand.
 HOT_SHARE = 1_000
 
 
@@ -56,7 +56,7 @@ class DigestIndex:
 
     def _decide(self, rows: DataFrame) -> DataFrame:
         """Look the digests up. Hot ones, of which a thousand exist at most, go by broadcast."""
-        least = max(HOT_SHARE, rows.count() // HOT_SHARE)
+        least = max(2, -(-rows.count() // HOT_SHARE))
         hot = F.broadcast(rows.groupBy("digest").count().filter(F.col("count") >= least).select("digest"))
         index = self.table()
         found = rows.join(F.broadcast(index.join(hot, "digest", "left_semi")), "digest").unionByName(

@@ -194,11 +194,13 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, fit_rows: int =
     """Fit on at most ``fit_rows`` labelled rows outside the held-out part, chosen by a hash of their doc_id.
 
     The chosen ids are few by this bound and are broadcast; their statistics, 16 numbers a row, reach
-    the driver. Rows without label or doc_id are left out; a document with several labels counts by the largest.
+    the driver. Rows without label or doc_id are left out; a document with several labels counts by the largest,
+    and one with several texts by the least.
     """
     chosen = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out).groupBy("doc_id").agg(
         F.max("quality").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    rows = with_statistics(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), ["doc_id", "y"]).toPandas()
+    once = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    rows = with_statistics(once, ["doc_id", "y"]).toPandas()
     rows = rows.sort_values(["doc_id", *(f"s_{s}" for s in STATISTICS)])
     return fit(rows[[f"s_{s}" for s in STATISTICS]].to_numpy(float).reshape(-1, len(STATISTICS)), (rows["y"].to_numpy() > 0).astype(float))
 
