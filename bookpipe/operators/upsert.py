@@ -46,3 +46,19 @@ def upsert(target: DataFrame, staging: DataFrame, key: str) -> DataFrame:
     Applying the same staging twice changes nothing.
     """
     return survivors(target, staging, key).unionByName(staging)
+
+
+def unchanged_keys(target: DataFrame, staging: DataFrame, key: str) -> DataFrame:
+    """Keys whose target rows and staged rows are the same, repeated rows included.
+
+    Rows are compared by sums of hashes per key, combined before the shuffle. The hash passes over
+    nulls, so which columns are null is hashed too.
+    """
+    names = target.columns
+    row = F.xxhash64(*names, *[F.isnull(name) for name in names])
+    marks = {"n": F.count(F.lit(1)), "high": F.sum(F.shiftright(row, 32)), "low": F.sum(row.bitwiseAND(0xFFFFFFFF))}
+
+    def marked(rows: DataFrame) -> DataFrame:
+        return rows.select(names).groupBy(key).agg(*[mark.alias(f"__{name}") for name, mark in marks.items()])
+
+    return marked(target).join(marked(staging), [key, *[f"__{name}" for name in marks]]).select(key)

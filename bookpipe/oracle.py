@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from bookpipe.queries import (
     AUTHORS_SINCE, BATCH_DAY, BATCH_OFFSET, BOOKS_SINCE, DAY, NEXT_DAY, UPSERT_SINCE, YEAR)
-from bookpipe.schemas import BOOKS, ENTITIES, TS, USERS, WAREHOUSE_AUTHORS, WAREHOUSE_REVIEWS
+from bookpipe.schemas import BOOKS, RECORD_DATE, STAGING_REVIEWS, TS, USERS, WAREHOUSE_AUTHORS, WAREHOUSE_REVIEWS
 
 _SQL_TYPES = {"string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
 
@@ -45,6 +45,11 @@ REVIEWED_BOOKS_SQL = f"""SELECT l_partkey AS book_id, l_returnflag AS title,
 ACTIVE_USERS_SQL = f"SELECT user_id, event_type AS user_name, ts AS {TS} FROM events"
 
 
+def _same(layout: StructType, rows: str, *names: str) -> str:
+    """Rows in a layout, of which they have these columns."""
+    return f"SELECT {_columns(layout, {name: name for name in names})} FROM ({rows})"
+
+
 def _latest(rows: str, key: str) -> str:
     return f"""SELECT r.* FROM ({rows}) r
         JOIN (SELECT {key}, max({TS}) AS newest FROM ({rows}) GROUP BY {key}) m
@@ -107,9 +112,14 @@ def _filled(table: str, layout: StructType, values: Mapping[str, str], source: s
 
 LINES_WITH_ORDERS = "lineitem JOIN orders ON l_orderkey = o_orderkey"
 # Batch reviews: shipping date plus the line number in seconds plus a fraction, cut to milliseconds.
+BATCH_MOMENT = f"l_shipdate + to_microseconds(l_linenumber * 1000000 + ({BATCH_OFFSET} * 1000000)::BIGINT)"
 BATCH_REVIEWS = f"""SELECT l_orderkey * 10 + l_linenumber AS review_id, l_partkey AS book_id,
     l_suppkey AS author_id, l_quantity AS review_rating,
-    date_trunc('millisecond', l_shipdate + to_microseconds(l_linenumber * 1000000 + ({BATCH_OFFSET} * 1000000)::BIGINT)) AS {TS}
+    date_trunc('millisecond', {BATCH_MOMENT}) AS {TS}
+    FROM {LINES_WITH_ORDERS}"""
+BATCH_FULL_REVIEWS = f"""SELECT {_columns(WAREHOUSE_REVIEWS, {
+    **{name: value for name, value in REVIEW_VALUES.items() if name != "review_update_date"},
+    "review_added_date": f"date_trunc('second', {BATCH_MOMENT})", TS: f"date_trunc('millisecond', {BATCH_MOMENT})"})}
     FROM {LINES_WITH_ORDERS}"""
 BATCH_LATEST = _latest(BATCH_REVIEWS, "review_id")
 
@@ -177,27 +187,24 @@ ORACLE = {
     "align_reviews": REVIEWS_SQL,
     "upsert_reviews": _upsert(_REVIEWS_BEFORE, _REVIEWS_SINCE, "review_id"),
     "upsert_replaced": f"WITH staging AS ({_REVIEWS_SINCE}) SELECT * FROM ({_REVIEWS_BEFORE}) WHERE review_id IN (SELECT review_id FROM staging)",
-    "upsert_authors": _upsert(
-        f"SELECT author_id, name, average_rating, {TS} FROM ({AUTHORS_SQL})",
-        f"SELECT author_id, name, NULL::DOUBLE AS average_rating, {TS} FROM ({_AUTHORS_SINCE})", "author_id"),
-    "upsert_books": _upsert(f"SELECT book_id, title, num_pages, {TS} FROM ({BOOKS_SQL})",
-                            f"SELECT book_id, title, num_pages, {TS} FROM ({_BOOKS_SINCE})", "book_id"),
-    "upsert_users": _upsert(
-        f"SELECT user_id, user_name, location, {TS} FROM ({USERS_SQL})",
-        f"SELECT user_id, user_name, NULL::VARCHAR AS location, {TS} FROM ({_latest(ACTIVE_USERS_SQL, 'user_id')})", "user_id"),
+    "upsert_authors": _upsert(AUTHORS_SQL, _same(WAREHOUSE_AUTHORS, _AUTHORS_SINCE, "author_id", "name", TS), "author_id"),
+    "upsert_books": _upsert(BOOKS_SQL, _same(BOOKS, _BOOKS_SINCE, "book_id", "title", "num_pages", TS), "book_id"),
+    "upsert_users": _upsert(USERS_SQL, _same(USERS, _latest(ACTIVE_USERS_SQL, "user_id"), "user_id", "user_name", TS), "user_id"),
     "dq_non_empty": _dq({"reviews": "lineitem", "authors": "supplier", "books": "part", "users": "customer"}),
     "default_timestamp": "SELECT s_suppkey AS author_id, true AS has_timestamp FROM supplier",
-    "csv_ingest": "SELECT doc_id AS review_id, text AS review_text, lang AS spoiler_state, n_chars::INT AS review_read_count FROM documents",
-    "stage_roundtrip": f"""SELECT event_id AS review_id, user_id AS author_id, value AS review_rating,
-        event_type AS spoiler_state, props AS review_url, date_trunc('millisecond', ts) AS {TS} FROM events""",
+    "csv_ingest": "SELECT doc_id AS review_id, text AS review_text, lang AS spoiler_state, n_chars::INT AS review_read_count, source AS review_url FROM documents",
+    "stage_roundtrip": f"""SELECT {_columns(STAGING_REVIEWS, {
+        "review_id": "event_id", "author_id": "user_id", "review_rating": "value", "spoiler_state": "event_type",
+        "review_url": "props", TS: "date_trunc('millisecond', ts)"})} FROM events""",
     "source_allowlist": _sources({"author.csv": "supplier", "book.csv": "part", "user.csv": "customer", "reviews.csv": LINES_WITH_ORDERS}),
     "analytics_append": " UNION ALL ".join(
-        f"SELECT author_id, review_count, name, DATE '{day}' AS ds FROM ({_by_count(ACTIVITY_SQL, ACTIVE_SQL, 'author_id', _day(day), AUTHOR_REPORT)})"
+        f"SELECT *, DATE '{day}' AS ds FROM ({_by_count(ACTIVITY_SQL, ACTIVE_SQL, 'author_id', _day(day), AUTHOR_REPORT)})"
         for day in (DAY, NEXT_DAY)),
     "table_schemas": " UNION ALL ".join(f"({part})" for part in (
         _filled("authors", WAREHOUSE_AUTHORS, AUTHOR_VALUES, "supplier"),
         _filled("books", BOOKS, BOOK_VALUES, "part"),
         _filled("users", USERS, USER_VALUES, "customer"),
         _filled("reviews", WAREHOUSE_REVIEWS, REVIEW_VALUES, LINES_WITH_ORDERS))),
+    "batch_reviews": f"SELECT *, {TS}::DATE AS {RECORD_DATE} FROM ({_latest(BATCH_FULL_REVIEWS, 'review_id')})",
     "nightly_batch": _batch_report(),
 }

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -15,14 +16,14 @@ from bookpipe.operators.align import align, clustered, with_load_time, with_reco
 from bookpipe.operators.latest import BROADCAST_KEYS
 from bookpipe.operators.quality import gate
 from bookpipe.operators.timewindow import day_bounds
-from bookpipe.operators.upsert import replaced_keys, survivors
+from bookpipe.operators.upsert import replaced_keys, survivors, unchanged_keys
 from bookpipe.plans.analytics import SUBJECTS, Subject, best, popular_by_average, popular_by_count
 from bookpipe.plans.clean import clean
 from bookpipe.schemas import ENTITIES, SOURCES, TS, Entity
 from bookpipe.sources.processed import read_processed_csv, write_processed, write_processed_csv
 from bookpipe.sources.raw import landing_report, listing, read_raw
 from bookpipe.session import checkpoint_folder, qualified, shuffles_for
-from bookpipe.sources.tables import Layers, create_databases, create_tables, publish, publish_folder, replace_day
+from bookpipe.sources.tables import Layers, create_databases, create_tables, publish, publish_folder, remove_folder, replace_day
 
 log = logging.getLogger(__name__)
 
@@ -32,16 +33,18 @@ class Zones:
     """Folders and databases of one installation. ``root`` must be reachable by all executors.
 
     ``processed_csv`` writes the processed zone as ``|`` gzip CSV for outside readers; by default
-    it is parquet, which splits, keeps types and tells null from the empty string.
+    it is parquet, which splits, keeps types and tells null from the empty string. ``run`` names the
+    folders of one run, so that a run neither overwrites what readers see nor meets another one.
     """
 
     landing: str
     root: str
     layers: Layers = field(default_factory=Layers)
     processed_csv: bool = False
+    run: str = "run"
 
     def folder(self, zone: str, entity: Entity) -> str:
-        return f"{self.root.rstrip('/')}/{zone}/{entity.name}"
+        return f"{self.root.rstrip('/')}/{zone}/{entity.name}/{self.run}"
 
 
 def select_sources(spark: SparkSession, landing: str) -> dict[str, Row]:
@@ -68,6 +71,7 @@ def process(spark: SparkSession, zones: Zones, entity: Entity, source: Row | Non
         write_processed_csv(rows, zones.folder("processed", entity))
     else:
         write_processed(rows, zones.folder("processed", entity))
+    remove_folder(spark, zones.folder("working", entity))
 
 
 def stage(spark: SparkSession, zones: Zones, entity: Entity) -> None:
@@ -82,10 +86,11 @@ def stage(spark: SparkSession, zones: Zones, entity: Entity) -> None:
 def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity) -> None:
     """Upsert the staging table into the warehouse table.
 
-    The keys to replace are found first, from the key columns alone. Few of them are broadcast, so
-    that the kept rows are filtered in place and stay clustered; only the new rows move. With more
-    of them the target is shuffled. Reviews are clustered by time, for the daily rankings; the
-    other tables by key, for the rankings' attributes.
+    Raw files bring the old records again each night, so keys whose rows are the same on both sides are
+    left alone first, and a night without changes writes nothing. The keys to replace are found next,
+    from the key columns. Few of them are broadcast, so that the kept rows are filtered in place and
+    stay clustered; only the new rows move. With more of them the target is shuffled. Reviews are
+    clustered by time, for the daily rankings; the other tables by key, for the rankings' attributes.
     """
     staged = spark.table(f"{zones.layers.staging}.{entity.name}")
     if staged.isEmpty():
@@ -94,6 +99,14 @@ def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity) -> None:
     target, rows = spark.table(table), align(staged, entity.warehouse, entity.renames)
     if entity.dated:
         rows = with_record_date(rows)
+    if not target.isEmpty():
+        same = unchanged_keys(target, rows, entity.key).checkpoint()
+        rows = survivors(rows, same, entity.key, same.count() <= BROADCAST_KEYS)
+        rows.write.mode("overwrite").parquet(zones.folder("changed", entity))
+        rows = spark.read.schema(rows.schema).parquet(zones.folder("changed", entity))
+        if rows.isEmpty():
+            remove_folder(spark, zones.folder("changed", entity))
+            return
     keys = replaced_keys(target, rows, entity.key).checkpoint()
     few = keys.count() <= BROADCAST_KEYS
     kept = survivors(target, keys, entity.key, few)
@@ -107,6 +120,8 @@ def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity) -> None:
         kept.unionByName(rows).write.mode("overwrite").parquet(folder)
         merged = clustered(spark.read.parquet(folder), order)
     publish(merged, table)
+    for zone in ("changed", "merged"):
+        remove_folder(spark, zones.folder(zone, entity))
 
 
 def rank_subject(spark: SparkSession, layers: Layers, subject: Subject, ds: str) -> None:
@@ -146,7 +161,8 @@ def run_batch(spark: SparkSession, zones: Zones, ds: str) -> bool:
     A rerun with the same input changes nothing: files and staging are replaced, the upsert is by
     key, and rankings replace their day.
     """
-    zones = replace(zones, landing=qualified(spark, zones.landing), root=qualified(spark, zones.root))
+    zones = replace(zones, landing=qualified(spark, zones.landing), root=qualified(spark, zones.root),
+                    run=f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}")
     found = select_sources(spark, zones.landing)
     if not found:
         log.warning("no registered source in %s", zones.landing)

@@ -50,8 +50,15 @@ def latest_lookup_query(spark, folder):
     return latest_lookup(fx.ratings(spark, folder), "review_id")
 
 
+def _stored(spark, rows):
+    """Written once, so that an operator that reads its input twice does not derive it twice."""
+    path = shared_folder(spark)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def latest_reviews(spark, folder):
-    return clean(fx.reviews(spark, folder), ENTITIES["reviews"])
+    return clean(_stored(spark, fx.reviews(spark, folder)), ENTITIES["reviews"], stored=True)
 
 
 def latest_users(spark, folder):
@@ -146,7 +153,7 @@ def _review_split(spark, folder):
     """Reviews before a day as the target, those from then on as the staging rows."""
     rows, since = fx.ratings(spark, folder), _since(TS, UPSERT_SINCE)
     entity = ENTITIES["reviews"]
-    return clean(rows.where(~since), entity), clean(rows.where(since), entity)
+    return _stored(spark, clean(rows.where(~since), entity)), _stored(spark, clean(rows.where(since), entity))
 
 
 def upsert_reviews(spark, folder):
@@ -160,18 +167,18 @@ def upsert_replaced(spark, folder):
 def upsert_authors(spark, folder):
     recent = _reviewed_authors(spark, folder).where(_since(TS, AUTHORS_SINCE))
     staging = align(clean(recent, ENTITIES["authors"]), WAREHOUSE_AUTHORS)
-    return upsert(fx.author_dimension(spark, folder), staging, "author_id").select("author_id", "name", "average_rating", TS)
+    return upsert(fx.author_dimension(spark, folder), staging, "author_id")
 
 
 def upsert_books(spark, folder):
     recent = _reviewed_books(spark, folder).where(_since(TS, BOOKS_SINCE))
     staging = align(clean(recent, ENTITIES["books"]), ENTITIES["books"].warehouse)
-    return upsert(fx.book_dimension(spark, folder), staging, "book_id").select("book_id", "title", "num_pages", TS)
+    return upsert(fx.book_dimension(spark, folder), staging, "book_id")
 
 
 def upsert_users(spark, folder):
     staging = align(latest_users(spark, folder), ENTITIES["users"].warehouse)
-    return upsert(fx.user_dimension(spark, folder), staging, "user_id").select("user_id", "user_name", "location", TS)
+    return upsert(fx.user_dimension(spark, folder), staging, "user_id")
 
 
 # Checks, files and tables
@@ -192,7 +199,8 @@ def csv_ingest(spark, folder):
     landing = shared_folder(spark)
     documents = fx.table(spark, folder, "documents").select(
         F.col("doc_id").alias("review_id"), F.col("text").alias("review_text"),
-        F.col("lang").alias("spoiler_state"), F.col("n_chars").alias("review_read_count"))
+        F.col("lang").alias("spoiler_state"), F.col("n_chars").alias("review_read_count"),
+        F.col("source").alias("review_url"))
     fx.write_raw(documents, f"{landing}/reviews.csv")
     return read_raw(spark, f"{landing}/reviews.csv", ENTITIES["reviews"])
 
@@ -207,7 +215,7 @@ def stage_roundtrip(spark, folder):
     create_databases(spark, [layers.staging], root)
     table = f"{layers.staging}.reviews"
     publish(read_processed_csv(spark, f"{root}/processed/reviews", STAGING_REVIEWS), table)
-    return spark.table(table).select(events.columns)
+    return spark.table(table)
 
 
 def source_allowlist(spark, folder):
@@ -236,7 +244,7 @@ def analytics_append(spark, folder):
         ranked = popular_by_count(fx.activity(spark, folder), fx.active_dimension(spark, folder),
                                   AUTHORS, *day_bounds(day))
         replace_day(ranked, table, day)
-    return spark.table(table).select("author_id", "review_count", "name", "ds")
+    return spark.table(table)
 
 
 def table_schemas(spark, folder):
@@ -266,8 +274,8 @@ def table_schemas(spark, folder):
     return report
 
 
-def nightly_batch(spark, folder):
-    """The whole batch twice over the four entities as CSV; counts and key sums of all tables."""
+def _batch_landing(spark, folder):
+    """The four entities as CSV in a landing zone of their own."""
     root = shared_folder(spark)
     zones = Zones(f"{root}/landing", root, _layers())
     moment = F.col("l_shipdate") + F.make_dt_interval(secs=F.col("l_linenumber") + F.lit(BATCH_OFFSET).cast("decimal(8,6)"))
@@ -277,11 +285,24 @@ def nightly_batch(spark, folder):
         fx.review_id(), "user_id",
         F.col("l_partkey").alias("book_id"), F.col("l_suppkey").alias("author_id"),
         F.col("l_quantity").alias("review_rating"),
-        fx.posted_text(moment).alias("review_added_date"), F.col("l_shipdate").alias(TS))
+        fx.posted_text(F.col("l_shipdate")).alias("review_added_date"), F.col("l_shipdate").alias(TS))
     fx.write_raw(fx.authors(spark, folder), f"{zones.landing}/author.csv")
     fx.write_raw(fx.books(spark, folder), f"{zones.landing}/book.csv")
     fx.write_raw(fx.users(spark, folder), f"{zones.landing}/user.csv")
     fx.write_raw(reviews, f"{zones.landing}/reviews.csv")
+    return zones
+
+
+def batch_reviews(spark, folder):
+    """Warehouse reviews after one batch, with all columns."""
+    zones = _batch_landing(spark, folder)
+    run_batch(spark, zones, BATCH_DAY)
+    return spark.table(f"{zones.layers.warehouse}.reviews")
+
+
+def nightly_batch(spark, folder):
+    """The whole batch twice over the four entities as CSV; counts and key sums of all tables."""
+    zones = _batch_landing(spark, folder)
     for _ in range(2):
         run_batch(spark, zones, BATCH_DAY)
     layers = zones.layers
@@ -327,5 +348,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_allowlist": source_allowlist,
     "analytics_append": analytics_append,
     "table_schemas": table_schemas,
+    "batch_reviews": batch_reviews,
     "nightly_batch": nightly_batch,
 }

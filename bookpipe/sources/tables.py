@@ -134,8 +134,22 @@ def publish(df: DataFrame, table: str) -> None:
 
 
 def publish_folder(spark: SparkSession, folder: str, table: str) -> None:
-    """Make the parquet files of a folder the table, without a copy."""
+    """Make the parquet files of a folder the table, without a copy.
+
+    Folders are named in the order of their writing. Of the others beside it, the one before stays.
+    """
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM parquet.`{folder}`")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    older = sorted((status.getPath().toString() for status in files.listStatus(path.getParent())
+                    if status.getPath().getName() < path.getName()), reverse=True)
+    for name in older[1:]:
+        remove_folder(spark, name)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def replace_day(df: DataFrame, table: str, ds: str) -> None:

@@ -117,6 +117,11 @@ def test_many_replaced_keys_take_the_other_way(spark, zones, monkeypatch):
     run_batch(spark, zones, DAY)
     before = content(spark, zones)
     monkeypatch.setattr("bookpipe.plans.nightly.BROADCAST_KEYS", 0)
+    # Changed and changed back, so that every night replaces keys.
+    land(zones, {"reviews.csv": FILES["reviews.csv"].replace("fine", "changed")})
+    run_batch(spark, zones, DAY)
+    assert content(spark, zones)["w.reviews"] != before["w.reviews"]
+    land(zones, FILES)
     run_batch(spark, zones, DAY)
     after = content(spark, zones)
     # The users source carries no timestamp: its rows get the time of each load.
@@ -125,6 +130,37 @@ def test_many_replaced_keys_take_the_other_way(spark, zones, monkeypatch):
     assert sum(after["w.users"].values()) == 2
 
 
+def test_a_night_without_changes_writes_no_version(spark, zones, tmp_path):
+    land(zones, FILES)
+
+    def versions(name):
+        return sorted(path.name for path in (tmp_path / zones.layers.warehouse).glob(f"{name}__*"))
+
+    run_batch(spark, zones, DAY)
+    before = versions("reviews")
+    run_batch(spark, zones, DAY)
+    assert versions("reviews") == before
+    land(zones, {"reviews.csv": FILES["reviews.csv"].replace("fine", "changed")})
+    run_batch(spark, zones, DAY)
+    assert versions("reviews") != before
+    for zone in ("working", "changed", "merged"):
+        assert not list((tmp_path / zone).rglob("*.parquet"))
+
+
+def test_a_failed_run_leaves_staging(spark, zones, monkeypatch):
+    land(zones, FILES)
+    run_batch(spark, zones, DAY)
+    before = content(spark, zones)
+
+    def fails(rows, path):
+        rows.select(F.raise_error(F.lit("lost")).cast("string").alias("x")).write.parquet(path)
+
+    monkeypatch.setattr("bookpipe.plans.nightly.write_processed", fails)
+    with pytest.raises(Exception, match="lost"):
+        run_batch(spark, zones, DAY)
+    assert content(spark, zones) == before
+
+
 def nightly(tmp_path, landing, ds):
     """One night in a process of its own, as a scheduler runs it."""
     command = [sys.executable, "-m", "bookpipe", "--landing", landing, "--root", "root", "--ds", ds]

@@ -14,7 +14,7 @@ from bookpipe.operators.latest import latest, latest_lookup, latest_stored
 from bookpipe.operators.quality import EmptyTableError, gate, non_empty_report
 from bookpipe.operators.ranking import enrich, top_groups
 from bookpipe.operators.timewindow import day_bounds, day_window
-from bookpipe.operators.upsert import replaced, replaced_keys, survivors, upsert
+from bookpipe.operators.upsert import replaced, replaced_keys, survivors, upsert, unchanged_keys
 from bookpipe.plans.analytics import AUTHORS, BOOKS, best, popular_by_average, popular_by_count
 from bookpipe.schemas import ANALYTICS, ENTITIES, TS, WAREHOUSE_AUTHORS, WAREHOUSE_REVIEWS
 
@@ -240,3 +240,10 @@ def test_gate(spark):
     assert bag(non_empty_report({"a": full, "b": empty})) == Counter([("a", 3, True), ("b", 0, False)])
     with pytest.raises(EmptyTableError, match="table b "):
         gate({"a": full, "b": empty, "c": empty})
+
+
+def test_unchanged_keys(spark):
+    layout = "id long, a int, b int"
+    target = spark.createDataFrame([(1, 1, None), (2, 1, None), (3, 1, 1), (3, 1, 1), (4, 1, 1), (None, 1, 1), (6, 0, 0)], layout)
+    staged = spark.createDataFrame([(1, 1, None), (2, None, 1), (3, 1, 1), (4, 1, 2), (None, 1, 1), (5, 1, 1), (6, 0, 0)], layout)
+    assert {row.id for row in unchanged_keys(target, staged, "id").collect()} == {1, 6}
