@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookpipe.llm import decontaminate, exact, language, licenses, neardup, packing, quality, repeats, scoring, sentences
+from bookpipe.llm import decontaminate, exact, language, licenses, neardup, packing, periods, quality, repeats, scoring, sentences
 from bookpipe.llm.text import held_out, ship_package
 from bookpipe.session import shared_folder
 
@@ -76,8 +76,35 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), where a tenth of the texts, by doc_id, repeats some of its words up to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    marked = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n, g = F.size("words"), F.col("g")
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    placed = marked.select("doc_id", "text", "words", g.alias("g"), n.alias("n"), a.alias("a")).withColumn(
+        "p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    left = F.col("n") - F.col("a")
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(left / F.col("p")).cast("int")))
+    changed = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), left)), " ")
+    return placed.select("doc_id", F.when(F.col("n") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(with_planted_periods(documents(spark, sf_dir)), least=6, times=4)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = found.select("doc_id", "runs", best.alias("best"), "collapsed")
+    return listed.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_quality, op3_lm_scoring, op4_substring_dedup, op5_exact_dedup, op6_decontamination, op7_packing,
-        op8_suffix_dedup, op9_minhash_dedup, op10_license_scan)
+        op8_suffix_dedup, op9_minhash_dedup, op10_license_scan, op11_periodic_runs)
 }

@@ -1,0 +1,116 @@
+import hashlib
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+
+from bookpipe.llm.periods import factor_runs, periodic_runs
+from bookpipe.llm.queries import op11_periodic_runs, with_planted_periods
+
+
+def brute_runs(words, least=6, times=4):
+    """Compare the words with themselves at every distance; the smallest distance that covers a stretch is its period."""
+    found, n = [], len(words)
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= max(least, times * q):
+                smaller = any(all(words[x] == words[x + d] for x in range(i, i + length - d)) for d in range(1, q))
+                if not smaller:
+                    found.append((i, length, q))
+            i = j + 1
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def test_factor_runs_equal_brute_force():
+    random.seed(11)
+    for trial in range(400):
+        docs = []
+        for _ in range(random.randint(1, 6)):
+            words = [random.randrange(random.choice((1, 2, 3, 9))) for _ in range(random.randint(0, 70))]
+            if words and random.random() < 0.7:
+                at, p = random.randrange(len(words)), random.randint(1, 9)
+                words[at:at] = (words[at : at + p] * 12)[: random.randint(1, 60)]
+            docs.append(words)
+        least, times = random.choice(((6, 4), (1, 3), (10, 5)))
+        owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+        flat = np.array([w for d in docs for w in d], np.uint64)
+        expected, offset = [], 0
+        for d in docs:
+            expected += [(s + offset, w, q) for s, w, q in brute_runs(d, least, times)]
+            offset += len(d)
+        assert [tuple(r) for r in factor_runs(flat, owner, least, times).tolist()] == expected, docs
+
+
+def test_nested_periods_are_runs_of_their_own():
+    words = ([1] * 6 + [2]) * 4
+    assert brute_runs(words) == [(0, 6, 1), (0, 28, 7), (7, 6, 1), (14, 6, 1), (21, 6, 1)]
+    assert [tuple(r) for r in factor_runs(np.array(words, np.uint64), np.zeros(28, np.int64), 6, 4).tolist()] == brute_runs(words)
+
+
+def test_rows_of_every_kind(spark):
+    long = ("abc def ghi " * 40_000 + "tail") + " x" * 7
+    rows = [(1, "a a a a a a"), (1, "a A a a a a"), (None, "b\tb\nb\x0bb\x0cb\rb end"), (2, None), (3, ""), (4, " \n"), (5, "é é é é é é é"), (6, long), (6, long)]
+    docs = spark.createDataFrame([(*r, 7, "runs") for r in rows], "doc_id long, text string, n_words int, runs string")
+    found = sorted(((r.doc_id or 0, r.n_words, [tuple(x) for x in r.runs], r.collapsed) for r in periodic_runs(docs).collect()), key=lambda r: (r[0], r[1], r[3]))
+    n = 120_000
+    tall = (6, n + 8, [(0, n, 3), (n + 1, 7, 1)], "abc def ghi tail x")
+    expected = [(0, 7, [(0, 6, 1)], "b end"), (1, 6, [(0, 6, 1)], "a"), (1, 6, [], "a A a a a a"), (2, 0, [], ""), (3, 0, [], ""), (4, 0, [], ""),
+                (5, 7, [(0, 7, 1)], "é"), tall, tall]
+    assert found == expected
+    assert periodic_runs(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        periodic_runs(docs, times=2)
+
+
+def planted(doc_id, words):
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{sf_dir}/documents.parquet'").fetchall()
+    found = {r.doc_id: r for r in op11_periodic_runs(spark, sf_dir).collect()}
+    assert len(found) == len(rows)
+    changed = 0
+    for doc_id, text in rows:
+        words = planted(doc_id, text.encode().split())
+        changed += words != text.encode().split()
+        # Distances where no word recurs a few times in a row cannot be periods; so a quick look spares most.
+        ids = np.unique(words, return_inverse=True)[1]
+        runs = []
+        for q in range(1, len(ids) // 4 + 1):
+            same = np.concatenate(([0], (ids[:-q] == ids[q:]).astype(np.int8), [0]))
+            edge = np.diff(same)
+            for i, j in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
+                if j - i + q >= max(6, 4 * q) and not any(q % d == 0 and (s <= i and j + q <= s + w) for s, w, d in runs):
+                    runs.append((int(i), int(j - i + q), q))
+        runs.sort(key=lambda r: (r[0], r[2]))
+        row, best = found[doc_id], max(runs, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+        assert row.n_runs == len(runs), doc_id
+        assert (row.start, row.length, row.period) == (best or (None, None, None))
+        assert row.exponent_milli == (1000 * best[1] // best[2] if best else None)
+        assert row.runs_sha256 == hashlib.sha256("".join(f"{s},{w},{q}\n" for s, w, q in runs).encode()).hexdigest()
+        dropped = {i for s, w, q in runs for i in range(s + q, s + w)}
+        kept = b" ".join(w for i, w in enumerate(words) if i not in dropped)
+        assert row.collapsed_sha256 == hashlib.sha256(kept).hexdigest()
+    assert changed > 30
+
+
+def test_planting(spark):
+    rows = [(i, " ".join(f"w{k}" for k in range(i % 23))) for i in range(400)] + [(None, "a b"), (7, None)]
+    got = with_planted_periods(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for r, (doc_id, text) in zip(got, rows, strict=True):
+        expected = text if doc_id is None or text is None else " ".join(planted(doc_id, text.split()))
+        assert (r.doc_id, r.text) == (doc_id, expected)
