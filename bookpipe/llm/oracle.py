@@ -24,4 +24,21 @@ ORACLE: dict[str, str] = {
         reached(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.b) AS component_id, min(r.b) = d.doc_id AS kept
         FROM documents d JOIN reached r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n""",
+    # Sources in the order in which rising water reaches their caps; all from the first one on that stays below share the rest.
+    "op12_source_mixing": """
+        WITH d AS (SELECT doc_id, source, md5('mixture:' || doc_id) AS key,
+                          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+        w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s),
+        o AS (SELECT *, row_number() OVER (ORDER BY source_size::DOUBLE / weight, source) AS place FROM w),
+        r AS (SELECT *, sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+                     sum(weight) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM o),
+        f AS (SELECT min(place) AS place FROM r WHERE rest * weight <= 3 * source_size * weights),
+        t AS (SELECT r.source, r.source_size, CASE WHEN r.place < f.place THEN 3.0 * r.source_size
+                     ELSE r.weight * x.rest::DOUBLE / x.weights END AS target FROM r, f JOIN r x ON x.place = f.place),
+        n AS (SELECT d.doc_id, d.size, t.source_size, t.target, least(3 * t.source_size, floor(t.target + 0.5))::BIGINT AS need,
+                     sum(d.size) OVER (PARTITION BY d.source ORDER BY key ROWS UNBOUNDED PRECEDING) - d.size AS before
+              FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, source_size, target::DOUBLE AS target, CASE WHEN size = 0 THEN 0 ELSE need // source_size * size
+               + greatest(0, least(size, need % source_size - before)) END::BIGINT AS taken FROM n""",
 }

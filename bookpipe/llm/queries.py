@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookpipe.llm import decontaminate, exact, language, licenses, neardup, packing, periods, quality, repeats, scoring, sentences
+from bookpipe.llm import decontaminate, exact, language, licenses, mixing, neardup, packing, periods, quality, repeats, scoring, sentences
 from bookpipe.llm.text import held_out, ship_package
 from bookpipe.session import shared_folder
 
@@ -103,8 +103,24 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+SOURCE_WEIGHTS = [5, 2, 1]
+
+
+def by_turns(spark: SparkSession):
+    """Weights that repeat along the sources in code point order, null last."""
+    def weigh(sources: DataFrame) -> DataFrame:
+        placed = mixing.numbered(spark, sources, F.col("source").asc_nulls_last())
+        return placed.withColumn("weight", F.element_at(F.array(*map(F.lit, SOURCE_WEIGHTS)), (F.col("place") % len(SOURCE_WEIGHTS) + 1).cast("int"))).drop("place")
+    return weigh
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(spark, documents(spark, sf_dir), by_turns(spark), share=100, most=3)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_quality, op3_lm_scoring, op4_substring_dedup, op5_exact_dedup, op6_decontamination, op7_packing,
-        op8_suffix_dedup, op9_minhash_dedup, op10_license_scan, op11_periodic_runs)
+        op8_suffix_dedup, op9_minhash_dedup, op10_license_scan, op11_periodic_runs, op12_source_mixing)
 }
