@@ -41,4 +41,25 @@ ORACLE: dict[str, str] = {
               FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
         SELECT doc_id, size, source_size, target::DOUBLE AS target, CASE WHEN size = 0 THEN 0 ELSE need // source_size * size
                + greatest(0, least(size, need % source_size - before)) END::BIGINT AS taken FROM n""",
+    # Phrases stand as texts; a word holds no blank.
+    "op13_phrases": f"""
+        WITH p AS (SELECT lang, row_number() OVER () AS piece, words FROM (
+                SELECT lang, list_filter(string_split_regex(part, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM (
+                    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS part FROM documents))),
+        w AS (SELECT lang, piece, unnest(words) AS word, unnest(range(len(words))) AS i FROM p),
+        g AS (SELECT lang, word, lead(word) OVER s AS second, lead(word, 2) OVER s AS third FROM w WINDOW s AS (PARTITION BY piece ORDER BY i)),
+        f AS (SELECT lang, 1 AS words, word AS phrase, count(*) AS f FROM g GROUP BY lang, phrase
+              UNION ALL SELECT lang, 2, word || ' ' || second AS phrase, count(*) FROM g WHERE second IS NOT NULL GROUP BY lang, phrase
+              UNION ALL SELECT lang, 3, word || ' ' || second || ' ' || third AS phrase, count(*) FROM g WHERE third IS NOT NULL GROUP BY lang, phrase),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang),
+        c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS parts, unnest(range(1, words)) AS k FROM f WHERE words > 1 AND f >= 10),
+        s AS (SELECT c.*, x.f AS l, y.f AS r, (1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f))::BIGINT AS score FROM c
+              JOIN f x ON x.lang = c.lang AND x.words = c.k AND x.phrase = array_to_string(c.parts[1:c.k], ' ')
+              JOIN f y ON y.lang = c.lang AND y.words = c.words - c.k AND y.phrase = array_to_string(c.parts[c.k + 1:], ' ')),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        i AS (SELECT lang, a, unnest([array_to_string(parts[1:2], ' '), array_to_string(parts[2:3], ' ')]) AS phrase FROM b WHERE words = 3),
+        m AS (SELECT lang, phrase, max(a) AS longer FROM i GROUP BY lang, phrase),
+        r AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank, b.phrase, b.a, b.l, b.r, b.score
+              FROM b LEFT JOIN m ON m.lang = b.lang AND m.phrase = b.phrase WHERE m.longer IS NULL OR 100 * m.longer < 50 * b.a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000""",
 }

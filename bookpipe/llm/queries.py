@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookpipe.llm import decontaminate, exact, language, licenses, mixing, neardup, packing, periods, quality, repeats, scoring, sentences
+from bookpipe.llm import decontaminate, exact, language, licenses, mixing, neardup, packing, periods, phrases, quality, repeats, scoring, sentences
 from bookpipe.llm.text import held_out, ship_package
 from bookpipe.session import shared_folder
 
@@ -119,8 +119,12 @@ def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spark, documents(spark, sf_dir), least=10, longest=3, top=2_000, percent=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_quality, op3_lm_scoring, op4_substring_dedup, op5_exact_dedup, op6_decontamination, op7_packing,
-        op8_suffix_dedup, op9_minhash_dedup, op10_license_scan, op11_periodic_runs, op12_source_mixing)
+        op8_suffix_dedup, op9_minhash_dedup, op10_license_scan, op11_periodic_runs, op12_source_mixing, op13_phrases)
 }
