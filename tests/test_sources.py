@@ -1,5 +1,6 @@
 """Raw CSV, the processed zone and the landing zone, on hand-made rows."""
 
+import gzip
 from collections import Counter
 from datetime import datetime
 from pathlib import Path
@@ -83,6 +84,98 @@ def test_malformed_rows_do_not_spoil_others(spark, tmp_path, small_splits, size)
         assert rows["last"].ratings_count == 5
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_text_is_read_twice_and_not_shuffled(spark, tmp_path, small_splits):
+    path = tmp_path / "reviews.csv"
+    path.write_text(csv_text([("review_id", "review_text"), *((i, text) for i, text in enumerate(NASTY * 3))]))
+    small_splits(10_000_000)
+    plan = executed(read_raw(spark, str(path), REVIEWS))
+    assert plan.count("FileScan text") == 1 and "Exchange" not in plan and "Window" not in plan and "Sort" not in plan
+    small_splits(200)
+    plan = executed(read_raw(spark, str(path), REVIEWS))
+    # Records that cross splits come from the marks.
+    assert plan.count("FileScan text") == 1 and "Window" not in plan
+
+
+@pytest.mark.parametrize("size", [100, 1000])
+def test_records_that_are_longer_than_an_edge(spark, tmp_path, small_splits, monkeypatch, size):
+    path = tmp_path / "reviews.csv"
+    rows = [(i, text) for i, text in enumerate(NASTY * 2)] + [(1000, "long\n" * 900), (1001, "\"\n" * 700)]
+    path.write_text(csv_text([("review_id", "review_text"), *rows]))
+    small_splits(size)
+    monkeypatch.setattr("bookpipe.sources.records.EDGE_BYTES", 20)
+    df = read_raw(spark, str(path), REVIEWS)
+    assert executed(df).count("FileScan text") == 2
+    assert bag(df) == bag(read_raw(spark, str(path), REVIEWS, large=False)) and df.count() == len(rows)
+
+
+@pytest.mark.parametrize("size", [64, 300, 10_000_000])
+def test_a_quote_that_never_closes_spoils_one_line(spark, tmp_path, small_splits, size):
+    source = tmp_path / "author.csv"
+    source.mkdir()
+    good = "".join(f'{i},"name\n{i}",r\n' for i in range(10, 20))
+    rest = "".join(f"{i},name {i},r\n" for i in range(30, 90))
+    (source / "a.csv").write_text("author_id,name,role\n" + good + '20,"stray,r\n' + rest)
+    (source / "b.csv").write_text("author_id,name,role\n" + good.replace("name", "other"))
+    small_splits(size)
+    rows = read_raw(spark, str(source), AUTHORS).collect()
+    assert sorted(row.author_id for row in rows) == sorted([*range(10, 21), *range(30, 90), *range(10, 20)])
+    names = {(row.author_id, row.name) for row in rows}
+    assert {(i, f"name {i}") for i in range(30, 90)} <= names and {(i, f"name\n{i}") for i in range(10, 20)} <= names
+    assert {(i, f"other\n{i}") for i in range(10, 20)} <= names
+
+
+def test_the_first_line_opens_a_value_that_never_closes(spark, tmp_path, small_splits):
+    path = tmp_path / "author.csv"
+    path.write_text('author_id,name\n"1,x\n' + "2,y\n" * 100)
+    small_splits(50)
+    assert Counter(row.name for row in read_raw(spark, str(path), AUTHORS).collect()) == Counter({"y": 100, None: 1})
+
+
+@pytest.mark.parametrize("size", [16, 10_000_000])
+def test_blank_lines_before_the_header(spark, tmp_path, small_splits, size):
+    path = tmp_path / "author.csv"
+    for end in ("\n", "\r\n"):
+        path.write_bytes((end * 40 + f'author_id,name{end}{end}1,"Ann{end}Lee"{end}{end}').encode())
+        small_splits(size)
+        assert [(row.author_id, row.name) for row in read_raw(spark, str(path), AUTHORS).collect()] == [(1, "Ann\nLee")]
+
+
+def test_compressed_source(spark, tmp_path):
+    source = tmp_path / "reviews.csv"
+    source.mkdir()
+    text = csv_text([("review_id", "review_text"), *((i, t) for i, t in enumerate(NASTY * 40))])
+    (source / "a.csv.gz").write_bytes(gzip.compress(text.encode()))
+    (source / "b.csv.gz").write_bytes(gzip.compress(csv_text([("review_id", "review_text"), (-1, "x\ny")]).encode()))
+    df = read_raw(spark, str(source), REVIEWS)
+    # A task follows the lines of its file; nothing gathers them.
+    assert all(word not in executed(df) for word in ("Window", "Sort", "Exchange"))
+    got = {row.review_id: row.review_text for row in df.collect()}
+    assert got == {-1: "x\ny", **{i: t or None for i, t in enumerate(NASTY * 40)}}
+
+
+def test_other_splits_at_the_second_reading_are_refused(spark, tmp_path, small_splits):
+    path = tmp_path / "author.csv"
+    path.write_text("author_id,name\n" + '1,"a\nb"\n' * 500)
+    small_splits(100)
+    df = read_raw(spark, str(path), AUTHORS)
+    small_splits(130)
+    with pytest.raises(Exception, match="have changed"):
+        df.collect()
+
+
+def test_empty_files(spark, tmp_path):
+    source = tmp_path / "author.csv"
+    source.mkdir()
+    (source / "a.csv").write_text("author_id,name\n")
+    (source / "b.csv").write_text("")
+    (source / "c.csv").write_text("author_id,name\n1,a")
+    assert [(row.author_id, row.name) for row in read_raw(spark, str(source), AUTHORS).collect()] == [(1, "a")]
+
+
 def test_many_quotes_in_one_line(spark, tmp_path):
     text = '"' * 200_001 + "x" * 200_000
     path = tmp_path / "author.csv"
