@@ -15,7 +15,7 @@ from bookpipe.llm.text import MIX, emit, mixed, store, texts
 # Bytes that end a piece, and the mark that stands for them between words.
 SEPARATORS, MARK = b".,;:!?\n\x0b\x0c\r", b"."
 # Texts are counted together up to about this size; a longer text is counted in blocks of it.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # One document in so many proposes phrases, and a phrase must be seen there so often to be proposed.
 SAMPLE_ONE_IN, SAMPLE_LEAST = 16, 2
 # A filter has a bit per 16th of a proposed phrase, from 2 ** 16 bits to 2 ** 28 (32 MB).
@@ -25,6 +25,7 @@ TOP_PARTS = 64
 
 COUNTS = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
 COUNTS_TYPE = "lang string, words int, phrase string, f long"
+HASHED = pa.schema([("hash", pa.int64()), ("f", pa.int64())])
 SLOTS = pa.schema([("slot", pa.int64()), ("bits", pa.int64())])
 
 
@@ -54,15 +55,9 @@ def _combined(hashes: np.ndarray, following: np.ndarray) -> np.ndarray:
     return mixed(hashes * MIX + following)
 
 
-def phrase_hashes(lang: str, phrases: list[bytes]) -> np.ndarray:
-    """The hash of each phrase, from those of its language and words, as ``Block`` has them."""
+def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     seed = xxhash.xxh64_intdigest(lang.encode())
-    words: list[list[int]] = [[xxhash.xxh64_intdigest(w, seed) for w in p.split(b" ")] for p in phrases]
-    out = np.array([w[0] for w in words], np.uint64)
-    for k in range(1, max(map(len, words), default=0)):
-        more = np.array([len(w) > k for w in words])
-        out[more] = _combined(out[more], np.array([w[k] for w in words if len(w) > k], np.uint64))
-    return out
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
 def _tokens(text: bytes) -> list[bytes]:
@@ -117,7 +112,7 @@ class Block:
         self.words: list[bytes] = coded.dictionary.to_pylist()
         self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.known = known
-        self.hashes = phrase_hashes(lang, self.words)
+        self.hashes = word_hashes(lang, self.words)
         marks = np.array([w == MARK for w in self.words], bool)
         self.is_word = ~marks[self.ids] if len(self.words) else np.zeros(0, bool)
 
@@ -154,103 +149,119 @@ class Block:
         return [b" ".join(p) for p in zip(*columns, strict=True)], counts
 
 
-def _emitted(block: Block, n: int, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if len(starts):
-        phrases, counts = block.counted(starts, n)
-        yield emit(COUNTS, ([block.lang] * len(phrases), [n] * len(phrases), pa.array(phrases, pa.binary()).cast(pa.string()), counts))
+def _blocks_of(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[Block]:
+    for batch in batches:
+        pairs = zip(batch.column("lang").to_pylist(), texts(batch), strict=True)
+        for part in gathered(pairs, longest):
+            yield Block(*part)
 
 
-def _counts(rows: DataFrame, longest: int, new: Filter | None, old: Filter | None, words: bool) -> DataFrame:
-    """Sums over all rows of how often phrases occur.
+def _held(block: Block, n: int, starts: np.ndarray, by: Filter) -> np.ndarray:
+    """Whether a filter holds both parts of a phrase: that without the last word and that without the first one."""
+    return by.holds(block.shorter(starts, n - 1)) & by.holds(block.shorter(starts + 1, n - 1))
 
-    Without filters all phrases are counted. Otherwise those of two words or more whose two parts, without the last and without the
-    first word, are both held by ``new`` and not both by ``old``; and all single words if ``words``.
+
+def _hash_counts(rows: DataFrame, shortest: int, longest: int, new: Filter | None = None, old: Filter | None = None) -> DataFrame:
+    """(hash, f): how often phrases of ``shortest`` to ``longest`` words occur, by 64-bit hashes.
+
+    With filters, those of three words or more only if both parts are held by ``new``, and not both by ``old``.
     """
-    context = rows.sparkSession.sparkContext
-    shared = None if new is None else context.broadcast((new.bits, new.slots, None if old is None else old.slots))
+    shared = rows.sparkSession.sparkContext.broadcast((new, old))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters: list[Filter] = []
-        if shared is not None:
-            bits, slots, before = shared.value
-            filters = [Filter(bits, s) for s in (slots, before) if s is not None]
-        for batch in batches:
-            pairs = zip(batch.column("lang").to_pylist(), texts(batch), strict=True)
-            for block in (Block(*part) for part in gathered(pairs, longest)):
-                for n, starts, _ in block.phrases(longest):
-                    if filters and n == 1:
-                        starts = starts if words else starts[:0]
-                    elif filters:
-                        parts = block.shorter(starts, n - 1), block.shorter(starts + 1, n - 1)
-                        held = [f.holds(parts[0]) & f.holds(parts[1]) for f in filters]
-                        starts = starts[held[0] & ~held[1] if len(held) > 1 else held[0]]
-                    yield from _emitted(block, n, starts)
+        now, before = shared.value
+        for block in _blocks_of(batches, longest):
+            for n, starts, hashes in block.phrases(longest):
+                if n < shortest:
+                    continue
+                if now is not None and n > 2:
+                    held = _held(block, n, starts, now)
+                    if before is not None:
+                        held &= ~_held(block, n, starts, before)
+                    hashes = hashes[held]
+                if len(hashes):
+                    yield emit(HASHED, (found.view(np.int64) if i == 0 else found for i, found in enumerate(np.unique(hashes, return_counts=True))))
+
+    return rows.mapInArrow(run, "hash long, f long").groupBy("hash").agg(F.sum("f").alias("f"))
+
+
+def _exact_counts(rows: DataFrame, longest: int, possible: Filter) -> DataFrame:
+    """(lang, words, phrase, f): how often each word occurs, and each longer phrase that the filter holds."""
+    shared = rows.sparkSession.sparkContext.broadcast(possible)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks_of(batches, longest):
+            for n, starts, hashes in block.phrases(longest):
+                if n > 1:
+                    starts = starts[shared.value.holds(hashes)]
+                if len(starts):
+                    phrases, counts = block.counted(starts, n)
+                    yield emit(COUNTS, ([block.lang] * len(phrases), [n] * len(phrases), pa.array(phrases, pa.binary()).cast(pa.string()), counts))
 
     return rows.mapInArrow(run, COUNTS_TYPE).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
 
 
-def _filter(phrases: DataFrame, bits: int) -> Filter:
-    """The filter of some phrases. Tasks give set bits by slot; slots are put together before the driver gets them, at most 2 ** ``bits`` bits."""
+def filter_bits(phrases: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, (phrases * BITS_PER_PHRASE).bit_length()))
+
+
+def _filter(hashes: DataFrame, bits: int) -> Filter:
+    """The filter of some hashes. Tasks give set bits by slot; slots are put together before the driver gets them, at most 2 ** ``bits`` bits."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, hashes in _hashed(batch):
-                at = np.unique(np.concatenate(_bits(hashes, bits)))
+            if batch.num_rows:
+                at = np.unique(np.concatenate(_bits(batch.column("hash").to_numpy().view(np.uint64), bits)))
                 slot, first = np.unique(at >> np.uint64(6), return_index=True)
                 yield emit(SLOTS, (slot.astype(np.int64), np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first).view(np.int64)))
 
-    found = phrases.select("lang", "phrase").mapInArrow(run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    found = hashes.select("hash").mapInArrow(run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     slots = np.zeros(1 << (bits - 6), np.uint64)
     slots[found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return Filter(bits, slots)
 
 
-def _hashed(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each language of a batch: the rows that have it and the hashes of their phrases."""
-    langs = batch.column("lang").dictionary_encode()
-    codes = langs.indices.to_numpy(zero_copy_only=False)
-    phrases = batch.column("phrase").cast(pa.binary())
-    for code, lang in enumerate(langs.dictionary.to_pylist()):
-        rows = np.flatnonzero(codes == code)
-        yield rows, phrase_hashes(lang, phrases.take(pa.array(rows)).to_pylist())
-
-
-def _outside(frequent: DataFrame, known: Filter) -> DataFrame:
-    """Those phrases that the filter does not hold."""
-    shared = frequent.sparkSession.sparkContext.broadcast((known.bits, known.slots))
+def _outside(hashes: DataFrame, known: Filter) -> DataFrame:
+    """Those hashes that the filter does not hold."""
+    shared = hashes.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Filter(*shared.value)
         for batch in batches:
-            for rows, hashes in _hashed(batch):
-                yield batch.take(pa.array(rows[~held.holds(hashes)]))
+            yield batch.filter(pa.array(~shared.value.holds(batch.column("hash").to_numpy().view(np.uint64))))
 
-    return frequent.select("lang", "words", "phrase", "f").mapInArrow(run, COUNTS_TYPE)
+    return hashes.select("hash").mapInArrow(run, "hash long")
 
 
 def frequent_phrases(spark: SparkSession, docs: DataFrame, least: int = 10, longest: int = 3) -> DataFrame:
     """(lang, words, phrase, f): every phrase of 1 to ``longest`` words that occurs ``least`` times in a language, counted exactly.
 
-    ``docs`` has lang and text, neither null. A sample of one document in 16 proposes phrases that it holds twice. One full pass then
-    counts all words, and of the longer phrases those whose parts were all proposed: the proposed ones and their negative border. What is frequent
-    in the border without having been proposed is a failure of the sample: it is added, and another pass counts the phrases that have become part of the border. When
-    no pass fails any more, no phrase outside the border can be frequent. As failures only add longer phrases, there are at most ``longest`` full passes.
+    ``docs`` has lang and text, neither null. A sample of one document in 16 proposes phrases that it holds twice. A full pass counts
+    the proposed phrases and their negative border: all pairs of words, and the longer phrases whose two parts were both proposed. What
+    is frequent there without having been proposed is a failure of the sample: it is proposed too, and another pass counts the phrases
+    that have joined the border by it. When nothing fails any more, no phrase outside of the border can be frequent. A failure can only fail phrases that are
+    longer, so there are less than ``longest`` such passes.
+
+    In these passes phrases are counted by 64-bit hashes. Equal hashes of different phrases can only make a count greater, so they lose nothing. A last pass
+    counts the words, and of the phrases those that were frequent by their hashes, by the phrases themselves.
 
-    Tasks know the proposed phrases by a Bloom filter of 32 MB at most. A phrase that it wrongly holds is counted in vain; none is missed, and counts are of the phrases
-    themselves. When there are too many phrases for the filter, more are counted than needed, in more tasks.
+    Tasks know phrases by a Bloom filter of 32 MB at most. One that it wrongly holds is counted in vain; none is missed. With too many phrases for the filter,
+    more are counted than needed, by as many tasks.
     """
     rows = docs.select("lang", "text")
     sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE_ONE_IN)) == 0)
-    proposed = store(spark, _counts(sample, longest - 1, None, None, True).filter(F.col("f") >= SAMPLE_LEAST))
-    bits = min(MOST_BITS, max(LEAST_BITS, (proposed.count() * BITS_PER_PHRASE).bit_length()))
-    known, before, frequent = _filter(proposed, bits), None, None
-    while True:
-        counted = store(spark, _counts(rows, longest, known, before, before is None).filter(F.col("f") >= least))
-        frequent = counted if frequent is None else frequent.unionByName(counted)
-        failed = store(spark, _outside(counted.filter(F.col("words") < longest), known))
+    proposed = store(spark, _hash_counts(sample, 2, max(2, longest - 1)).filter(F.col("f") >= SAMPLE_LEAST).select("hash"))
+    bits = filter_bits(proposed.count())
+    known, before, possible = _filter(proposed, bits), None, None
+    # The k-th pass closes the phrases of k + 1 words, so the next one need not count them again.
+    for shortest in range(2, longest + 1):
+        counted = store(spark, _hash_counts(rows, shortest, longest, known, before).filter(F.col("f") >= least).select("hash"))
+        possible = counted if possible is None else possible.unionByName(counted)
+        failed = store(spark, _outside(counted, known))
         if failed.isEmpty():
-            return frequent
+            break
         before, known = known, known.joined(_filter(failed, bits))
+    exact = _exact_counts(rows, longest, _filter(possible, filter_bits(possible.count())))
+    return store(spark, exact.filter(F.col("f") >= least))
 
 
 def _long(column: str) -> Column:

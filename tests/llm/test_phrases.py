@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from bookpipe.llm import phrases
-from bookpipe.llm.phrases import Block, Filter, collocations, frequent_phrases, gathered, phrase_hashes
+from bookpipe.llm.phrases import Block, Filter, collocations, frequent_phrases, gathered, word_hashes
 
 
 def brute_counts(rows, longest):
@@ -65,22 +65,22 @@ def test_collocations_equal_brute_force(spark, least, longest, top, percent):
 
 
 def test_what_the_sample_misses_is_found_by_more_passes(spark, monkeypatch):
-    # All documents but one are outside of the sample, so words, pairs and triples fail in turn.
+    # No document is in the sample, so all pairs fail, then all triples.
     rows = corpus(4)
     passes = []
-    counts = phrases._counts
+    counts = phrases._hash_counts
 
     def counted(*args):
-        passes.append(args[2:])
+        passes.append(args)
         return counts(*args)
 
     monkeypatch.setattr(phrases, "SAMPLE_ONE_IN", 10_000_000)
-    monkeypatch.setattr(phrases, "_counts", counted)
+    monkeypatch.setattr(phrases, "_hash_counts", counted)
     found = frequent_phrases(spark, phrases_input(spark, rows), 6, 3)
     got = {(r.lang, r.phrase): r.f for r in found.collect()}
     expected = {(lang, p): c for lang, f in brute_counts(rows, 3).items() for p, c in f.items() if c >= 6}
     assert got == expected and found.count() == len(expected)
-    assert len(passes) == 4
+    assert len(passes) == 3
 
 
 def phrases_input(spark, rows):
@@ -132,11 +132,12 @@ def test_hashes_and_filter():
     block = Block("en", [b"x", b"y", b"z", b".", b"x", b"y"], 0)
     by_length = {n: (starts.tolist(), hashes) for n, starts, hashes in block.phrases(3)}
     assert by_length[2][0] == [0, 1, 4] and by_length[3][0] == [0]
-    assert by_length[2][1].tolist() == phrase_hashes("en", [b"x y", b"y z", b"x y"]).tolist()
-    assert by_length[3][1].tolist() == phrase_hashes("en", [b"x y z"]).tolist() != phrase_hashes("de", [b"x y z"]).tolist()
-    put = phrase_hashes("en", [b"p%d" % i for i in range(1000)])
+    pairs = by_length[2][1]
+    assert pairs[0] == pairs[2] != pairs[1] and pairs.tolist() == block.shorter(np.array([0, 1, 4]), 2).tolist()
+    assert word_hashes("en", [b"x"]) != word_hashes("de", [b"x"])
+    put = word_hashes("en", [b"p%d" % i for i in range(1000)])
     slots = np.zeros(1 << 10, np.uint64)
     for at in phrases._bits(put, 16):
         np.bitwise_or.at(slots, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
     known = Filter(16, slots)
-    assert known.holds(put).all() and known.holds(phrase_hashes("en", [b"q%d" % i for i in range(1000)])).mean() < 0.01
+    assert known.holds(put).all() and known.holds(word_hashes("en", [b"q%d" % i for i in range(1000)])).mean() < 0.01
