@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -12,18 +13,19 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from bookpipe.operators.align import align, clustered, with_load_time, with_record_date
+from bookpipe.operators.align import align, with_load_time, with_record_date
 from bookpipe.operators.latest import BROADCAST_KEYS
 from bookpipe.operators.quality import gate
 from bookpipe.operators.timewindow import day_bounds
-from bookpipe.operators.upsert import replaced_keys, survivors, unchanged_keys
 from bookpipe.plans.analytics import SUBJECTS, Subject, best, popular_by_average, popular_by_count
 from bookpipe.plans.clean import clean
-from bookpipe.schemas import ENTITIES, SOURCES, TS, Entity
+from bookpipe.plans.journal import Journal, dead_runs, take_over
+from bookpipe.schemas import ENTITIES, RECORD_DATE, TS, Entity
 from bookpipe.sources.processed import read_processed_csv, write_processed, write_processed_csv
 from bookpipe.sources.raw import landing_report, listing, read_raw
 from bookpipe.session import checkpoint_folder, qualified, shuffles_for
-from bookpipe.sources.tables import Layers, create_databases, create_tables, publish, publish_folder, remove_folder, replace_day
+from bookpipe.sources.tables import (
+    Layers, create_databases, create_tables, publish, publish_days, publish_folder, read_day, remove_folder, remove_older, stage_day, warehouse_table)
 
 log = logging.getLogger(__name__)
 
@@ -57,11 +59,16 @@ def select_sources(spark: SparkSession, landing: str) -> dict[str, Row]:
     return found
 
 
-def process(spark: SparkSession, zones: Zones, entity: Entity, source: Row | None) -> None:
-    """Raw source to processed zone. The text is parsed once, into a columnar working copy."""
+def process(spark: SparkSession, zones: Zones, entity: Entity, source: Row | None) -> bool:
+    """Raw source to processed zone. The text is parsed once, into a columnar working copy.
+
+    Tells whether the source has timestamps of its own; otherwise the rows have the time of this load.
+    """
+    timed = True
     if source is not None:
         working = zones.folder("working", entity)
         raw = read_raw(spark, f"{zones.landing.rstrip('/')}/{entity.source}", entity)
+        timed = TS in raw.columns
         with_load_time(raw).write.mode("overwrite").parquet(working)
         rows = clean(spark.read.parquet(working), entity, stored=True)
     else:
@@ -72,70 +79,51 @@ def process(spark: SparkSession, zones: Zones, entity: Entity, source: Row | Non
     else:
         write_processed(rows, zones.folder("processed", entity))
     remove_folder(spark, zones.folder("working", entity))
+    return timed
 
 
-def stage(spark: SparkSession, zones: Zones, entity: Entity) -> None:
-    """Replace the staging table by the processed zone. Parquet is used where it lies."""
+def stage(spark: SparkSession, zones: Zones, entity: Entity) -> DataFrame:
+    """Replace the staging table by the processed zone, and return this run's rows. Parquet is used where it lies."""
     folder, table = zones.folder("processed", entity), f"{zones.layers.staging}.{entity.name}"
     if zones.processed_csv:
-        publish(read_processed_csv(spark, folder, entity.staging), table)
-    else:
-        publish_folder(spark, folder, table)
+        rows = publish(read_processed_csv(spark, folder, entity.staging), table)
+        remove_older(spark, folder)
+        return rows
+    publish_folder(spark, folder, table)
+    return spark.read.schema(entity.staging).parquet(folder)
 
 
-def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity) -> None:
-    """Upsert the staging table into the warehouse table.
+def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity, staged: DataFrame, timed: bool = True) -> None:
+    """Upsert the staged rows into the warehouse table.
 
-    Raw files bring the old records again each night, so keys whose rows are the same on both sides are
-    left alone first, and a night without changes writes nothing. The keys to replace are found next,
-    from the key columns. Few of them are broadcast, so that the kept rows are filtered in place and
-    stay clustered; only the new rows move. With more of them the target is shuffled. Reviews are
-    clustered by time, for the daily rankings; the other tables by key, for the rankings' attributes.
+    Raw files bring the old records again each night. Keys whose rows are the same on both sides are found in the table's index and left
+    alone, so that a night without changes writes nothing, and one with changes the parts that hold them. A load time that
+    differs does not make a record another one.
     """
-    staged = spark.table(f"{zones.layers.staging}.{entity.name}")
     if staged.isEmpty():
         return
-    table = f"{zones.layers.warehouse}.{entity.name}"
-    target, rows = spark.table(table), align(staged, entity.warehouse, entity.renames)
+    rows = align(staged, entity.warehouse, entity.renames)
     if entity.dated:
         rows = with_record_date(rows)
-    if not target.isEmpty():
-        same = unchanged_keys(target, rows, entity.key).checkpoint()
-        rows = survivors(rows, same, entity.key, same.count() <= BROADCAST_KEYS)
-        rows.write.mode("overwrite").parquet(zones.folder("changed", entity))
-        rows = spark.read.schema(rows.schema).parquet(zones.folder("changed", entity))
-        if rows.isEmpty():
-            remove_folder(spark, zones.folder("changed", entity))
-            return
-    keys = replaced_keys(target, rows, entity.key).checkpoint()
-    few = keys.count() <= BROADCAST_KEYS
-    kept = survivors(target, keys, entity.key, few)
-    order = TS if entity.dated else entity.key
-    if few:
-        merged = kept.unionByName(clustered(rows, order))
-    else:
-        # Clustering numbers the rows of its input, so that must come in the same order if a lost
-        # task is run again. Files do; the output of a join does not.
-        folder = zones.folder("merged", entity)
-        kept.unionByName(rows).write.mode("overwrite").parquet(folder)
-        merged = clustered(spark.read.parquet(folder), order)
-    publish(merged, table)
-    for zone in ("changed", "merged"):
-        remove_folder(spark, zones.folder(zone, entity))
+    ignored = () if timed else (TS, RECORD_DATE) if entity.dated else (TS,)
+    scratch = zones.folder("changed", entity)
+    warehouse_table(spark, zones.layers, entity).upsert(rows, zones.run, scratch, BROADCAST_KEYS, ignored)
+    remove_folder(spark, scratch)
 
 
 def rank_subject(spark: SparkSession, layers: Layers, subject: Subject, ds: str) -> None:
-    """Replace one subject's rankings of the day. The best ones are found in what was just written."""
-    reviews, dimension = (spark.table(f"{layers.warehouse}.{name}") for name in ("reviews", subject.entity))
-    by_count, by_average, both = (f"{layers.analytics}.{name}" for name in (subject.by_count, subject.by_average, subject.best))
+    """Replace one subject's three rankings of the day, by one commit. The best ones are found in what was just written."""
     low, high = day_bounds(ds)
-    replace_day(popular_by_count(reviews, dimension, subject, low, high, settled=True), by_count, ds)
-    replace_day(popular_by_average(reviews, dimension, subject, low, high, settled=True), by_average, ds)
-
-    def of_day(table: str) -> DataFrame:
-        return spark.table(table).where(F.col("ds") == F.lit(ds).cast("date"))
-
-    replace_day(best(of_day(by_average), of_day(by_count), subject), both, ds)
+    reviews = warehouse_table(spark, layers, ENTITIES["reviews"]).between(low, high)
+    dimension = spark.table(f"{layers.warehouse}.{subject.entity}")
+    by_count, by_average, both = (f"{layers.analytics}.{name}" for name in (subject.by_count, subject.by_average, subject.best))
+    staged = {
+        by_count: stage_day(popular_by_count(reviews, dimension, subject, low, high, settled=True), by_count, ds),
+        by_average: stage_day(popular_by_average(reviews, dimension, subject, low, high, settled=True), by_average, ds),
+    }
+    averages, counts = (read_day(spark, table, staged[table]) for table in (by_average, by_count))
+    staged[both] = stage_day(best(averages, counts, subject), both, ds)
+    publish_days(spark, staged, ds)
 
 
 def warehouse_tables(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
@@ -155,30 +143,87 @@ def _each(spark: SparkSession, step: Callable, items: Iterable) -> None:
             pass
 
 
+def _task(spark: SparkSession, zones: Zones, ds: str) -> dict:
+    """What a run does, to tell whether another one can go on with it: its day, its kind and its files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(zones.landing)
+    marks = files.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
+    return {"ds": ds, "processed_csv": zones.processed_csv, "layers": list(zones.layers.all), "files": marks[0], "marks": marks[1]}
+
+
+def _remove_left(spark: SparkSession, zones: Zones, run: str, start: dict) -> None:
+    """Remove what a dead run left: working files, processed files that were not staged, its checkpoints, its journal."""
+    steps = Journal(spark, zones.root, run).files.names()
+    dead = replace(zones, run=run)
+    for entity in ENTITIES.values():
+        for zone in ("working", "changed", *(() if f"stage-{entity.name}.json" in steps else ("processed",))):
+            remove_folder(spark, dead.folder(zone, entity))
+    if start.get("checkpoints") and start["application"] != spark.sparkContext.applicationId:
+        remove_folder(spark, start["checkpoints"])
+    remove_folder(spark, f"{zones.root}/_runs/{run}")
+
+
+def _resumed(spark: SparkSession, zones: Zones, task: dict) -> str | None:
+    """A dead run of the same task, which then goes on as this one. All other dead runs are removed."""
+    found = None
+    for run, start in dead_runs(spark, zones.root).items():
+        if take_over(spark, zones.root, run):
+            if found is None and start["task"] == task:
+                found = run
+            else:
+                _remove_left(spark, zones, run, start)
+    return found
+
+
 def run_batch(spark: SparkSession, zones: Zones, ds: str) -> bool:
     """Run everything for the day ``ds``; false if the landing zone holds no registered source.
 
     A rerun with the same input changes nothing: files and staging are replaced, the upsert is by
-    key, and rankings replace their day.
+    key, and rankings replace their day. After a run that died, one of the same day over the same files takes the processed files that it had finished; any other run removes
+    what it left. Runs over one root may go on at the same time: each loads its own files, and tables are committed by number.
     """
-    zones = replace(zones, landing=qualified(spark, zones.landing), root=qualified(spark, zones.root),
-                    run=f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}")
+    zones = replace(zones, landing=qualified(spark, zones.landing), root=qualified(spark, zones.root).rstrip("/"))
     found = select_sources(spark, zones.landing)
     if not found:
         log.warning("no registered source in %s", zones.landing)
         return False
     layers = zones.layers
-    checkpoint_folder(spark, default=f"{zones.root.rstrip('/')}/checkpoints")
+    checkpoint_folder(spark, default=f"{zones.root}/checkpoints")
+    task = _task(spark, zones, ds)
+    run = _resumed(spark, zones, task) or f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
+    zones, journal = replace(zones, run=run), Journal(spark, zones.root, run)
+    journal.start(task)
+    try:
+        journal.step("run", _run, spark, zones, journal, found, ds)
+    except BaseException:
+        journal.end(failed=True)
+        raise
+    journal.end(failed=False)
+    return True
+
+
+def _run(spark: SparkSession, zones: Zones, journal: Journal, found: dict[str, Row], ds: str) -> None:
+    layers, entities, staged = zones.layers, ENTITIES.values(), {}
     create_databases(spark, layers.all, zones.root)
     create_tables(spark, layers)
-    warehouse = listing(spark, f"{zones.root.rstrip('/')}/{layers.warehouse}").agg(F.sum("length")).first()[0]
+    warehouse = listing(spark, f"{zones.root}/{layers.warehouse}").agg(F.sum("length")).first()[0]
     stored_bytes = sum(row.bytes for row in found.values()) + (warehouse or 0)
-    entities = ENTITIES.values()
+
+    def processed(entity: Entity) -> None:
+        journal.step(f"process-{entity.name}", process, spark, zones, entity, found.get(entity.source), again=False)
+
+    def staging(entity: Entity) -> None:
+        staged[entity.name] = journal.step(f"stage-{entity.name}", stage, spark, zones, entity)
+
+    def loaded(entity: Entity) -> None:
+        timed = journal.result(f"process-{entity.name}")
+        journal.step(f"load-{entity.name}", load_warehouse, spark, zones, entity, staged[entity.name], timed)
+
     with shuffles_for(spark, stored_bytes):
-        _each(spark, lambda entity: process(spark, zones, entity, found.get(entity.source)), entities)
-        _each(spark, lambda entity: stage(spark, zones, entity), entities)
-        _each(spark, lambda entity: load_warehouse(spark, zones, entity), entities)
-        gate(warehouse_tables(spark, layers))
-        _each(spark, lambda subject: rank_subject(spark, layers, subject, ds), SUBJECTS.values())
-        gate(popular_tables(spark, layers))
-    return True
+        _each(spark, processed, entities)
+        _each(spark, staging, entities)
+        _each(spark, loaded, entities)
+        journal.step("gate-warehouse", gate, warehouse_tables(spark, layers))
+        _each(spark, lambda subject: journal.step(f"rank-{subject.entity}", rank_subject, spark, layers, subject, ds), SUBJECTS.values())
+        journal.step("gate-analytics", gate, popular_tables(spark, layers))
+    for entity in entities:
+        warehouse_table(spark, layers, entity).clean()

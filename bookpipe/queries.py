@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from bookpipe import fixtures as fx
 from bookpipe.functions.dates import parse_posted_date
 from bookpipe.functions.text import remove_extra_spaces
-from bookpipe.operators.align import align, with_load_time
+from bookpipe.operators.align import align, with_load_time, with_record_date
 from bookpipe.operators.latest import latest_lookup
 from bookpipe.operators.quality import non_empty_report
 from bookpipe.operators.timewindow import day_bounds, day_window, within
@@ -23,7 +23,7 @@ from bookpipe.schemas import ENTITIES, STAGING_REVIEWS, TS, WAREHOUSE_AUTHORS, W
 from bookpipe.session import shared_folder
 from bookpipe.sources.processed import read_processed_csv, write_processed_csv
 from bookpipe.sources.raw import landing_report, read_raw
-from bookpipe.sources.tables import Layers, create_databases, create_tables, publish, replace_day
+from bookpipe.sources.tables import Layers, create_databases, create_tables, publish, replace_day, warehouse_table
 
 DAY, NEXT_DAY = "2024-01-10", "2024-01-11"
 YEAR = ("1997-01-01 00:00:00", "1998-01-01 00:00:00")
@@ -260,7 +260,10 @@ def table_schemas(spark, folder):
     for name, rows in contents.items():
         table = f"{layers.warehouse}.{name}"
         layout = ENTITIES[name].warehouse
-        publish(upsert(spark.table(table).select(layout.names), rows, ENTITIES[name].key), table)
+        rows = upsert(spark.table(table).select(layout.names), rows, ENTITIES[name].key)
+        if ENTITIES[name].dated:
+            rows = with_record_date(rows)
+        warehouse_table(spark, layers, ENTITIES[name]).replace(rows, uuid.uuid4().hex)
         stored = spark.table(table)
         filled = stored.agg(*[F.count(column).alias(column) for column in layout.names])
         reports.append(filled.unpivot([], layout.names, "column_name", "filled_rows").select(

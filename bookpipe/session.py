@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -94,13 +95,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _shipped: set[str] = set()
+_shipping = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once per application."""
+    """Give the executors this package, once per application, whichever thread comes first."""
     context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        _shipped.add(context.applicationId)
-        root = Path(bookpipe.__file__).parent
-        folder = tempfile.mkdtemp(prefix="bookpipe-")
-        context.addPyFile(shutil.make_archive(f"{folder}/bookpipe", "zip", root.parent, root.name))
+    with _shipping:
+        if context.applicationId not in _shipped:
+            root = Path(bookpipe.__file__).parent
+            folder = tempfile.mkdtemp(prefix="bookpipe-")
+            context.addPyFile(shutil.make_archive(f"{folder}/bookpipe", "zip", root.parent, root.name))
+            _shipped.add(context.applicationId)

@@ -1,26 +1,29 @@
 """Catalog tables of the three layers.
 
-Staging and warehouse tables are views over one stored version. A new version is written in full
-next to the old one, then the view is pointed to it: readers see the old rows or the new ones, a
-failed write changes nothing, and a table can be computed from itself.
-
-The state lies in the folders, not in the session's catalog: a small file per table names its current
-version and is replaced atomically, and analytics days are partition folders. A new session registers
-what it finds there. Kept versions: the current one and the one before it; a reader that is still
-on an older one fails.
+Staging tables are views over one stored copy, or over the processed files. A new one is written in full next to the old one, then the view
+is pointed to it: readers see the old rows or the new ones, and a failed write changes nothing. Kept are the current one and the one before it; a reader that
+is still on an older one fails.
+
+Warehouse tables are versioned in parts (see ``versions``). The days of the analytics tables are folders, and numbered versions (see ``commits``) say which folder holds
+a table's day. The state lies in the folders, not in the session's catalog: a new session registers what it finds there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from bookpipe.operators.align import align
-from bookpipe.schemas import ANALYTICS, ENTITIES, RECORD_DATE
+from bookpipe.schemas import ANALYTICS, ENTITIES, Entity
+from bookpipe.sources.commits import KEPT_SECONDS, Commits
+from bookpipe.sources.versions import VersionedTable
+
+KEPT = timedelta(seconds=KEPT_SECONDS)
 
 
 @dataclass(frozen=True)
@@ -41,30 +44,21 @@ def create_databases(spark: SparkSession, names: Iterable[str], root: str) -> No
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root.rstrip('/')}/{name}'")
 
 
+def warehouse_table(spark: SparkSession, layers: Layers, entity: Entity) -> VersionedTable:
+    return VersionedTable(spark, f"{layers.warehouse}.{entity.name}", entity.warehouse, entity.key, entity.dated)
+
+
 def create_tables(spark: SparkSession, layers: Layers) -> None:
-    """Register the warehouse and analytics tables that lie in the folders; create what is missing, empty and typed."""
+    """Register the warehouse and analytics tables that lie in the folders; those that do not are empty and typed."""
     for entity in ENTITIES.values():
-        name = f"{layers.warehouse}.{entity.name}"
-        if spark.catalog.tableExists(name):
-            continue
-        if (current := _current(spark, name)) is not None:
-            database, folder = layers.warehouse, _folder(spark, name)
-            if not spark.catalog.tableExists(f"{database}.{current}"):
-                spark.sql(f"CREATE TABLE {database}.{current} USING parquet LOCATION '{folder}/{current}'")
-            spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {database}.{current}")
-            continue
-        columns = _ddl(entity.warehouse) + (f", {RECORD_DATE} date" if entity.dated else "")
-        stored = _new_version(name)
-        spark.sql(f"CREATE TABLE {stored} ({columns}) USING parquet")
-        _switch(spark, name, stored)
+        warehouse_table(spark, layers, entity).register()
+    known = _days(spark, layers.analytics).latest()[1]
     for name, layout in ANALYTICS.items():
         table = f"{layers.analytics}.{name}"
         if not spark.catalog.tableExists(table):
-            files, path = _pointer(spark, table)
-            files.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(path.getParent(), name))
-            spark.sql(f"CREATE TABLE {table} ({_ddl(layout)}, ds date) USING parquet PARTITIONED BY (ds) "
-                      f"LOCATION '{_folder(spark, table)}/{name}'")
-            spark.sql(f"MSCK REPAIR TABLE {table}")
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(layout)}, ds date) USING parquet PARTITIONED BY (ds) "
+                      f"LOCATION '{_folder(spark, table)}/_versions/{name}'")
+        _place(spark, table, known.get(name, {}))
 
 
 def _folder(spark: SparkSession, table: str) -> str:
@@ -126,19 +120,22 @@ def _switch(spark: SparkSession, table: str, stored: str) -> None:
             files.delete(status.getPath(), True)
 
 
-def publish(df: DataFrame, table: str) -> None:
-    """Store the rows as a new version of the table and make it the current one."""
+def publish(df: DataFrame, table: str) -> DataFrame:
+    """Store the rows as a new version of the table and make it the current one. Returns the stored rows."""
     stored = _new_version(table)
     df.write.format("parquet").saveAsTable(stored)
     _switch(df.sparkSession, table, stored)
+    return df.sparkSession.table(stored)
 
 
 def publish_folder(spark: SparkSession, folder: str, table: str) -> None:
-    """Make the parquet files of a folder the table, without a copy.
-
-    Folders are named in the order of their writing. Of the others beside it, the one before stays.
-    """
+    """Make the parquet files of a folder the table, without a copy. Of the older folders beside it, the last one stays."""
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM parquet.`{folder}`")
+    remove_older(spark, folder)
+
+
+def remove_older(spark: SparkSession, folder: str) -> None:
+    """Remove the folders beside this one that are older, but the one before it. Folders are named in the order of their writing."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     older = sorted((status.getPath().toString() for status in files.listStatus(path.getParent())
@@ -152,10 +149,57 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def replace_day(df: DataFrame, table: str, ds: str) -> None:
-    """Replace one day of an analytics table, also by nothing. Other days stay as they are."""
-    spark = df.sparkSession
+def _days(spark: SparkSession, database: str) -> Commits:
+    """The versions of all days of a database: table -> day -> folder."""
+    return Commits(spark, f"{_folder(spark, f'{database}.')}/_versions/days")
+
+
+def _place(spark: SparkSession, table: str, days: Mapping[str, str]) -> None:
+    """Let the partitions of the catalog table lie where these days do."""
+    home, known = _folder(spark, table), {row[0].removeprefix("ds=") for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()}
+    for day in known & set(days):
+        spark.sql(f"ALTER TABLE {table} PARTITION (ds = DATE'{day}') SET LOCATION '{home}/{days[day]}'")
+    if fresh := " ".join(f"PARTITION (ds = DATE'{day}') LOCATION '{home}/{days[day]}'" for day in sorted(set(days) - known)):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {fresh}")
+
+
+def stage_day(df: DataFrame, table: str, ds: str) -> str:
+    """Write one day of an analytics table into a folder of its own, which no table shows yet. Returns the folder, below that of the database."""
+    spark, name = df.sparkSession, table.split(".")[1]
     day = date.fromisoformat(ds).isoformat()
     layout = StructType([field for field in spark.table(table).schema if field.name != "ds"])
-    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (ds = DATE'{day}') SELECT * FROM {{rows}}",
-              rows=align(df, layout))
+    folder = f"{name}__days/{day}/{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
+    align(df, layout).write.parquet(f"{_folder(spark, table)}/{folder}")
+    return folder
+
+
+def read_day(spark: SparkSession, table: str, folder: str) -> DataFrame:
+    """Rows of a staged day."""
+    layout = StructType([field for field in spark.table(table).schema if field.name != "ds"])
+    return spark.read.schema(layout).parquet(f"{_folder(spark, table)}/{folder}")
+
+
+def publish_days(spark: SparkSession, staged: Mapping[str, str], ds: str) -> None:
+    """Make staged folders the given day of their tables, all of one database, by one commit. Other days stay as they are."""
+    day = date.fromisoformat(ds).isoformat()
+    (database,) = {table.split(".")[0] for table in staged}
+    commits, names = _days(spark, database), {table.split(".")[1]: folder for table, folder in staged.items()}
+    commits.change(lambda known: known | {name: known.get(name, {}) | {day: folder} for name, folder in names.items()})
+    latest = commits.latest()[1]
+    for table in staged:
+        name = table.split(".")[1]
+        _place(spark, table, {day: latest[name][day]})
+    used = {folder for content in commits.prune() for days in content.values() if isinstance(days, dict) for folder in days.values()}
+    for name in names:
+        parent = spark._jvm.org.apache.hadoop.fs.Path(f"{_folder(spark, f'{database}.')}/{name}__days/{day}")
+        files = parent.getFileSystem(spark._jsc.hadoopConfiguration())
+        # A folder that no version shows may be about to be published; the time in its name says how old it is.
+        for status in files.listStatus(parent):
+            folder = f"{name}__days/{day}/{status.getPath().getName()}"
+            if folder not in used and folder < min(names[name], f"{name}__days/{day}/{datetime.now(timezone.utc) - KEPT:%Y%m%d%H%M%S%f}"):
+                files.delete(status.getPath(), True)
+
+
+def replace_day(df: DataFrame, table: str, ds: str) -> None:
+    """Replace one day of an analytics table, also by nothing. Other days stay as they are."""
+    publish_days(df.sparkSession, {table: stage_day(df, table, ds)}, ds)
