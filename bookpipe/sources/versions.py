@@ -275,7 +275,7 @@ class VersionedTable:
         home = jvm.org.apache.hadoop.fs.Path(self.home)
         files = home.getFileSystem(self.spark._jsc.hadoopConfiguration())
         now = jvm.java.lang.System.currentTimeMillis()
-        for pattern, depth in ((f"{self.name}__*/{PART}=*", 2), (f"_index/{self.name}/*", 3), (f"{self.name}__*", 1)):
+        for pattern, depth in ((f"{self.name}__*", 1), (f"{self.name}__*/{PART}=*", 2), (f"_index/{self.name}/*", 3)):
             for status in files.globStatus(jvm.org.apache.hadoop.fs.Path(home, pattern)) or []:
                 folder = "/".join(status.getPath().toString().split("/")[-depth:])
                 run = folder.split("/")[-1] if depth == 3 else folder.split("/")[0].removeprefix(f"{self.name}__")
