@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -109,6 +110,7 @@ class Block:
     def __init__(self, lang: str, tokens: list[bytes], known: int):
         self.lang = lang
         coded = pa.array(tokens, pa.binary()).dictionary_encode()
+        self.dictionary: pa.Array = coded.dictionary
         self.words: list[bytes] = coded.dictionary.to_pylist()
         self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.known = known
@@ -116,37 +118,46 @@ class Block:
         marks = np.array([w == MARK for w in self.words], bool)
         self.is_word = ~marks[self.ids] if len(self.words) else np.zeros(0, bool)
 
-    def phrases(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each length: (length, starts, hashes) of the phrases that lie in a piece and end behind the known tokens."""
+    def phrases(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each length: (length, starts, hashes) of the phrases that lie in a piece and end behind the known tokens.
+
+        Then the hashes of their two parts, without the last word and without the first one; of single words these say nothing.
+        """
         starts = np.flatnonzero(self.is_word)
         hashes = self.hashes[self.ids[starts]]
+        shorter = hashes
         for n in range(1, longest + 1):
             if n > 1:
+                by_place = np.zeros(len(self.ids), np.uint64)
+                by_place[starts] = shorter = hashes
                 inside = starts + n - 1 < len(self.ids)
-                starts, hashes = starts[inside], hashes[inside]
-                whole = self.is_word[starts + n - 1]
-                starts, hashes = starts[whole], hashes[whole]
-                hashes = _combined(hashes, self.hashes[self.ids[starts + n - 1]])
+                inside[inside] = self.is_word[starts[inside] + n - 1]
+                starts, shorter = starts[inside], hashes[inside]
+                hashes = _combined(shorter, self.hashes[self.ids[starts + n - 1]])
             new = starts + n > self.known
-            yield n, starts[new], hashes[new]
-
-    def shorter(self, starts: np.ndarray, n: int) -> np.ndarray:
-        """Hashes of the phrases of ``n`` words at these places."""
-        out = self.hashes[self.ids[starts]]
-        for k in range(1, n):
-            out = _combined(out, self.hashes[self.ids[starts + k]])
-        return out
+            rest = by_place[starts[new] + 1] if n > 1 else hashes[new]
+            yield n, starts[new], hashes[new], shorter[new], rest
 
-    def counted(self, starts: np.ndarray, n: int) -> tuple[list[bytes], np.ndarray]:
+    def counted(self, starts: np.ndarray, n: int) -> tuple[pa.Array, np.ndarray]:
         """The distinct phrases of ``n`` words at these places, and how often each is there."""
+        size = max(1, len(self.words))
+        if n == 1:
+            counts = np.bincount(self.ids[starts], minlength=size)
+            codes = np.flatnonzero(counts)
+            return self.dictionary.take(pa.array(codes)), counts[codes]
         codes = self.ids[starts]
         for k in range(1, n):
-            # Numbers of distinct prefixes stay small, so the product does not overflow.
-            _, codes = np.unique(codes, return_inverse=True)
-            codes = codes * len(self.words) + self.ids[starts + k]
-        _, first, counts = np.unique(codes, return_index=True, return_counts=True)
-        columns = [[self.words[i] for i in self.ids[starts[first] + k].tolist()] for k in range(n)]
-        return [b" ".join(p) for p in zip(*columns, strict=True)], counts
+            if size**n >= 1 << 62:
+                # Numbers of the distinct beginnings stay small.
+                _, codes = np.unique(codes, return_inverse=True)
+            codes = codes * size + self.ids[starts + k]
+        if size**n < 1 << 62:
+            codes, counts = np.unique(codes, return_counts=True)
+            columns = [codes // size ** (n - 1 - k) % size for k in range(n)]
+        else:
+            _, first, counts = np.unique(codes, return_index=True, return_counts=True)
+            columns = [self.ids[starts[first] + k] for k in range(n)]
+        return pc.binary_join_element_wise(*[self.dictionary.take(pa.array(c)) for c in columns], b" "), counts
 
 
 def _blocks_of(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[Block]:
@@ -156,11 +167,6 @@ def _blocks_of(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[Bloc
             yield Block(*part)
 
 
-def _held(block: Block, n: int, starts: np.ndarray, by: Filter) -> np.ndarray:
-    """Whether a filter holds both parts of a phrase: that without the last word and that without the first one."""
-    return by.holds(block.shorter(starts, n - 1)) & by.holds(block.shorter(starts + 1, n - 1))
-
-
 def _hash_counts(rows: DataFrame, shortest: int, longest: int, new: Filter | None = None, old: Filter | None = None) -> DataFrame:
     """(hash, f): how often phrases of ``shortest`` to ``longest`` words occur, by 64-bit hashes.
 
@@ -171,13 +177,13 @@ def _hash_counts(rows: DataFrame, shortest: int, longest: int, new: Filter | Non
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, before = shared.value
         for block in _blocks_of(batches, longest):
-            for n, starts, hashes in block.phrases(longest):
+            for n, _, hashes, *parts in block.phrases(longest):
                 if n < shortest:
                     continue
                 if now is not None and n > 2:
-                    held = _held(block, n, starts, now)
+                    held = now.holds(parts[0]) & now.holds(parts[1])
                     if before is not None:
-                        held &= ~_held(block, n, starts, before)
+                        held &= ~(before.holds(parts[0]) & before.holds(parts[1]))
                     hashes = hashes[held]
                 if len(hashes):
                     yield emit(HASHED, (found.view(np.int64) if i == 0 else found for i, found in enumerate(np.unique(hashes, return_counts=True))))
@@ -191,12 +197,13 @@ def _exact_counts(rows: DataFrame, longest: int, possible: Filter) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks_of(batches, longest):
-            for n, starts, hashes in block.phrases(longest):
+            for n, starts, hashes, *_ in block.phrases(longest):
                 if n > 1:
                     starts = starts[shared.value.holds(hashes)]
                 if len(starts):
                     phrases, counts = block.counted(starts, n)
-                    yield emit(COUNTS, ([block.lang] * len(phrases), [n] * len(phrases), pa.array(phrases, pa.binary()).cast(pa.string()), counts))
+                    lang, words = (pa.repeat(pa.scalar(v, f.type), len(phrases)) for v, f in zip((block.lang, n), COUNTS, strict=False))
+                    yield pa.RecordBatch.from_arrays([lang, words, phrases.cast(pa.string()), pa.array(counts, pa.int64())], schema=COUNTS)
 
     return rows.mapInArrow(run, COUNTS_TYPE).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
 

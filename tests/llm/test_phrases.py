@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from bookpipe.llm import phrases
@@ -104,11 +105,22 @@ def test_long_texts_are_counted_in_blocks(spark, monkeypatch):
         got = defaultdict(Counter)
         for part in gathered([(lang, t.encode()) for lang, t in rows], 3):
             block = Block(*part)
-            for n, starts, _ in block.phrases(3):
-                got[block.lang].update(dict(zip([p.decode() for p in block.counted(starts, n)[0]], block.counted(starts, n)[1].tolist(), strict=True)))
+            for n, starts, *_ in block.phrases(3):
+                found, counts = block.counted(starts, n)
+                got[block.lang].update(dict(zip([p.decode() for p in found.to_pylist()], counts.tolist(), strict=True)))
         assert got["en"] == expected["en"] and not got["de"]
 
 
+def test_more_words_than_numbers_hold():
+    block = Block("en", [b"w%d" % (i % 7) for i in range(100)], 0)
+    starts = next(s for n, s, *_ in block.phrases(4) if n == 4)
+    few = block.counted(starts, 4)
+    block.dictionary = pa.concat_arrays([block.dictionary, pa.array([b"unused"] * 70_000, pa.binary())])
+    block.words += [b"unused"] * 70_000
+    many = block.counted(starts, 4)
+    assert dict(zip(few[0].to_pylist(), few[1].tolist(), strict=True)) == dict(zip(many[0].to_pylist(), many[1].tolist(), strict=True))
+
+
 def test_very_long_text(spark):
     rows = [("en", "one two three " * 800_000), ("en", "one two")]
     found = collocations(spark, table(spark, rows)).collect()
@@ -130,10 +142,11 @@ def test_exact_arithmetic(spark):
 
 def test_hashes_and_filter():
     block = Block("en", [b"x", b"y", b"z", b".", b"x", b"y"], 0)
-    by_length = {n: (starts.tolist(), hashes) for n, starts, hashes in block.phrases(3)}
+    by_length = {n: (starts.tolist(), hashes, *parts) for n, starts, hashes, *parts in block.phrases(3)}
     assert by_length[2][0] == [0, 1, 4] and by_length[3][0] == [0]
     pairs = by_length[2][1]
-    assert pairs[0] == pairs[2] != pairs[1] and pairs.tolist() == block.shorter(np.array([0, 1, 4]), 2).tolist()
+    assert pairs[0] == pairs[2] != pairs[1]
+    assert by_length[3][2].tolist() == pairs[:1].tolist() and by_length[3][3].tolist() == pairs[1:2].tolist()
     assert word_hashes("en", [b"x"]) != word_hashes("de", [b"x"])
     put = word_hashes("en", [b"p%d" % i for i in range(1000)])
     slots = np.zeros(1 << 10, np.uint64)
