@@ -233,14 +233,15 @@ class VersionedTable:
         return Version(base.number + 1, span, parts, index, buckets)
 
     def replace(self, rows: DataFrame, run: str) -> None:
-        """Make these rows the table, whatever it holds."""
+        """Make these rows the table, whatever it holds. They are worked out twice, for the size of the parts and for the parts."""
         rows = rows.select(self.columns.names)
         while True:
-            number = self.current().number
-            span = self._span(rows)
-            empty = Version(number)
-            index, buckets = self._indexed(empty, self._marks(rows), rows.count(), run)
-            if self._commit(Version(number + 1, span, self._write(rows, span, run), index, buckets)):
+            number, span = self.current().number, self._span(rows)
+            parts = self._write(rows, span, run)
+            version = Version(number + 1, span, parts)
+            written = self.spark.read.schema(self.columns).parquet(f"{self.home}/{self.name}__{run}")
+            index, buckets = self._indexed(Version(number), self._marks(written), version.rows, run)
+            if self._commit(Version(number + 1, span, parts, index, buckets)):
                 return self.register()
 
     def upsert(self, rows: DataFrame, run: str, scratch: str, few: int, ignored: Sequence[str] = ()) -> bool:
