@@ -16,7 +16,7 @@ from bookpipe.llm.text import MIX, emit, mixed, store, texts
 # Bytes that end a piece, and the mark that stands for them between words.
 SEPARATORS, MARK = b".,;:!?\n\x0b\x0c\r", b"."
 # Texts are counted together up to about this size; a longer text is counted in blocks of it.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 # One document in so many proposes phrases, and a phrase must be seen there so often to be proposed.
 SAMPLE_ONE_IN, SAMPLE_LEAST = 16, 2
 # A filter has a bit per 16th of a proposed phrase, from 2 ** 16 bits to 2 ** 28 (32 MB).
@@ -165,6 +165,7 @@ def _blocks_of(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[Bloc
         pairs = zip(batch.column("lang").to_pylist(), texts(batch), strict=True)
         for part in gathered(pairs, longest):
             yield Block(*part)
+        pa.default_memory_pool().release_unused()
 
 
 def _hash_counts(rows: DataFrame, shortest: int, longest: int, new: Filter | None = None, old: Filter | None = None) -> DataFrame:
