@@ -19,11 +19,13 @@ def main() -> None:
     parser.add_argument("--root", required=True, help="shared folder for zones and tables")
     parser.add_argument("--ds", required=True, help="day to rank, YYYY-MM-DD")
     parser.add_argument("--processed-csv", action="store_true", help="processed zone as gzip CSV")
+    parser.add_argument("--changed-only", action="store_true", help="do not read the files of an entity again that have not changed")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
     spark = build_session("bookpipe-nightly")
+    zones = Zones(args.landing, args.root, processed_csv=args.processed_csv, changed_only=args.changed_only)
     try:
-        found = run_batch(spark, Zones(args.landing, args.root, processed_csv=args.processed_csv), args.ds)
+        found = run_batch(spark, zones, args.ds)
     finally:
         spark.stop()
     if not found:

@@ -144,6 +144,21 @@ def _batch_report() -> str:
         for name, (key, rows) in tables.items())
 
 
+def _batch_rankings() -> str:
+    parts, window = [], _day(BATCH_DAY)
+    for entity, key, average, dimension, report, label, more in (
+            ("authors", "author_id", "average_review_rating", AUTHORS_SQL, AUTHOR_REPORT, "name", "NULL, NULL, NULL::INT"),
+            ("books", "book_id", "average_reviews_rating", BOOKS_SQL, BOOK_REPORT, "title", "publisher, format, num_pages")):
+        tables = {
+            f"popular_{entity}_review_count": ("review_count", "NULL", _by_count(BATCH_LATEST, dimension, key, window, report)),
+            f"popular_{entity}_average_rating": ("NULL", average, _by_average(BATCH_LATEST, dimension, key, average, window, report)),
+            f"best_{entity}": ("review_count", average, _best_of(key, average, dimension, report, 10, BATCH_LATEST, window))}
+        parts += [f"""SELECT '{name}' AS table_name, {key} AS id, {count}::BIGINT AS review_count, {mean}::DOUBLE AS mean_rating, {label} AS label,
+            average_rating, {more}, DATE '{BATCH_DAY}' AS ds FROM ({rows})""" for name, (count, mean, rows) in tables.items()]
+    names = "table_name, id, review_count, mean_rating, label, average_rating, publisher, format, num_pages, ds"
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) AS r({names})"
+
+
 def _dq(tables: Mapping[str, str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count, count(*) >= 1 AS passed FROM {source}"
@@ -205,6 +220,8 @@ ORACLE = {
         _filled("books", BOOKS, BOOK_VALUES, "part"),
         _filled("users", USERS, USER_VALUES, "customer"),
         _filled("reviews", WAREHOUSE_REVIEWS, REVIEW_VALUES, LINES_WITH_ORDERS))),
+    "warehouse_upsert": f"SELECT *, {TS}::DATE AS {RECORD_DATE} FROM ({_same(WAREHOUSE_REVIEWS, _upsert(_REVIEWS_BEFORE, _REVIEWS_SINCE, 'review_id'), 'review_id', 'book_id', 'author_id', 'review_rating', TS)})",
+    "batch_rankings": _batch_rankings(),
     "batch_reviews": f"SELECT *, {TS}::DATE AS {RECORD_DATE} FROM ({_latest(BATCH_FULL_REVIEWS, 'review_id')})",
     "nightly_batch": _batch_report(),
 }

@@ -21,6 +21,7 @@ from bookpipe.plans.analytics import SUBJECTS, Subject, best, popular_by_average
 from bookpipe.plans.clean import clean
 from bookpipe.plans.journal import Journal, dead_runs, take_over
 from bookpipe.schemas import ENTITIES, RECORD_DATE, TS, Entity
+from bookpipe.sources.commits import Files
 from bookpipe.sources.processed import read_processed_csv, write_processed, write_processed_csv
 from bookpipe.sources.raw import landing_report, listing, read_raw
 from bookpipe.session import checkpoint_folder, qualified, shuffles_for
@@ -36,13 +37,15 @@ class Zones:
 
     ``processed_csv`` writes the processed zone as ``|`` gzip CSV for outside readers; by default
     it is parquet, which splits, keeps types and tells null from the empty string. ``run`` names the
-    folders of one run, so that a run neither overwrites what readers see nor meets another one.
+    folders of one run, so that a run neither overwrites what readers see nor meets another one. With ``changed_only`` an entity whose files
+    are those of the last run, by path, length and time, is not read again; its processed rows and its load time stay.
     """
 
     landing: str
     root: str
     layers: Layers = field(default_factory=Layers)
     processed_csv: bool = False
+    changed_only: bool = False
     run: str = "run"
 
     def folder(self, zone: str, entity: Entity) -> str:
@@ -93,22 +96,24 @@ def stage(spark: SparkSession, zones: Zones, entity: Entity) -> DataFrame:
     return spark.read.schema(entity.staging).parquet(folder)
 
 
-def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity, staged: DataFrame, timed: bool = True) -> None:
-    """Upsert the staged rows into the warehouse table.
+def load_warehouse(spark: SparkSession, zones: Zones, entity: Entity, staged: DataFrame, timed: bool = True) -> int:
+    """Upsert the staged rows into the warehouse table, and return the number of the version that has them.
 
     Raw files bring the old records again each night. Keys whose rows are the same on both sides are found in the table's index and left
     alone, so that a night without changes writes nothing, and one with changes the parts that hold them. A load time that
     differs does not make a record another one.
     """
+    table = warehouse_table(spark, zones.layers, entity)
     if staged.isEmpty():
-        return
+        return table.current().number
     rows = align(staged, entity.warehouse, entity.renames)
     if entity.dated:
         rows = with_record_date(rows)
     ignored = () if timed else (TS, RECORD_DATE) if entity.dated else (TS,)
     scratch = zones.folder("changed", entity)
-    warehouse_table(spark, zones.layers, entity).upsert(rows, zones.run, scratch, BROADCAST_KEYS, ignored)
+    table.upsert(rows, zones.run, scratch, BROADCAST_KEYS, ignored)
     remove_folder(spark, scratch)
+    return table.reached
 
 
 def rank_subject(spark: SparkSession, layers: Layers, subject: Subject, ds: str) -> None:
@@ -143,11 +148,23 @@ def _each(spark: SparkSession, step: Callable, items: Iterable) -> None:
             pass
 
 
+def _marks(spark: SparkSession, path: str) -> list[int]:
+    """Number of files below a path, and a hash of their paths, lengths and times. Their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return list(files.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+
+
 def _task(spark: SparkSession, zones: Zones, ds: str) -> dict:
     """What a run does, to tell whether another one can go on with it: its day, its kind and its files."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(zones.landing)
-    marks = files.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
-    return {"ds": ds, "processed_csv": zones.processed_csv, "layers": list(zones.layers.all), "files": marks[0], "marks": marks[1]}
+    return {"ds": ds, "processed_csv": zones.processed_csv, "layers": list(zones.layers.all), "files": _marks(spark, zones.landing)}
+
+
+def _taken(spark: SparkSession, zones: Zones, entity: Entity, marks: list[int]) -> dict | None:
+    """What the ledger of sources says of an entity, if these are the files that were taken last and their processed rows are still there."""
+    entry = Files(spark, f"{zones.root}/_sources").read(f"{entity.name}.json") if zones.changed_only else None
+    if entry is None or entry["marks"] != marks or entry["processed_csv"] != zones.processed_csv:
+        return None
+    return entry if Files(spark, replace(zones, run=entry["run"]).folder("processed", entity)).names() else None
 
 
 def _remove_left(spark: SparkSession, zones: Zones, run: str, start: dict) -> None:
@@ -208,15 +225,29 @@ def _run(spark: SparkSession, zones: Zones, journal: Journal, found: dict[str, R
     warehouse = listing(spark, f"{zones.root}/{layers.warehouse}").agg(F.sum("length")).first()[0]
     stored_bytes = sum(row.bytes for row in found.values()) + (warehouse or 0)
 
+    ledger, marks = Files(spark, f"{zones.root}/_sources"), {
+        entity.name: _marks(spark, f"{zones.landing.rstrip('/')}/{entity.source}") for entity in entities if entity.source in found}
+    taken = {entity.name: _taken(spark, zones, entity, marks[entity.name]) for entity in entities if entity.name in marks}
+
     def processed(entity: Entity) -> None:
-        journal.step(f"process-{entity.name}", process, spark, zones, entity, found.get(entity.source), again=False)
+        if not taken.get(entity.name):
+            journal.step(f"process-{entity.name}", process, spark, zones, entity, found.get(entity.source), again=False)
 
     def staging(entity: Entity) -> None:
-        staged[entity.name] = journal.step(f"stage-{entity.name}", stage, spark, zones, entity)
+        entry = taken.get(entity.name)
+        own = replace(zones, run=entry["run"]) if entry else zones
+        staged[entity.name] = journal.step(f"stage-{entity.name}", stage, spark, own, entity)
 
     def loaded(entity: Entity) -> None:
-        timed = journal.result(f"process-{entity.name}")
-        journal.step(f"load-{entity.name}", load_warehouse, spark, zones, entity, staged[entity.name], timed)
+        entry, version = taken.get(entity.name), warehouse_table(spark, layers, entity).current().number
+        timed = entry["timed"] if entry else journal.result(f"process-{entity.name}")
+        # Rows that no other run has followed are there already.
+        if not entry or entry["version"] != version:
+            version = journal.step(f"load-{entity.name}", load_warehouse, spark, zones, entity, staged[entity.name], timed)
+        if entity.name in marks:
+            ledger.replace(f"{entity.name}.json", {
+                "marks": marks[entity.name], "processed_csv": zones.processed_csv, "run": entry["run"] if entry else zones.run, "timed": timed,
+                "version": version})
 
     with shuffles_for(spark, stored_bytes):
         _each(spark, processed, entities)

@@ -12,7 +12,7 @@ from bookpipe import fixtures as fx
 from bookpipe.functions.dates import parse_posted_date
 from bookpipe.functions.text import remove_extra_spaces
 from bookpipe.operators.align import align, with_load_time, with_record_date
-from bookpipe.operators.latest import latest_lookup
+from bookpipe.operators.latest import BROADCAST_KEYS, latest_lookup
 from bookpipe.operators.quality import non_empty_report
 from bookpipe.operators.timewindow import day_bounds, day_window, within
 from bookpipe.operators.upsert import replaced, upsert
@@ -303,6 +303,39 @@ def batch_reviews(spark, folder):
     return spark.table(f"{zones.layers.warehouse}.reviews")
 
 
+def batch_rankings(spark, folder):
+    """The six rankings of the day after one batch, with the attributes that the landed files have."""
+    zones = _batch_landing(spark, folder)
+    run_batch(spark, zones, BATCH_DAY)
+    report = None
+    for subject in (AUTHORS, BOOKS):
+        for name in (subject.by_count, subject.by_average, subject.best):
+            rows = spark.table(f"{zones.layers.analytics}.{name}")
+
+            def given(column, kind="string", rows=rows):
+                return (F.col(column) if column in rows.columns else F.lit(None)).cast(kind)
+
+            part = rows.select(
+                F.lit(name).alias("table_name"), F.col(subject.key).alias("id"), given("review_count", "long").alias("review_count"),
+                given(subject.average, "double").alias("mean_rating"), F.coalesce(given("name"), given("title")).alias("label"),
+                "average_rating", given("publisher").alias("publisher"), given("format").alias("format"),
+                given("num_pages", "int").alias("num_pages"), "ds")
+            report = part if report is None else report.unionByName(part)
+    return report
+
+
+def warehouse_upsert(spark, folder):
+    """Reviews before a day loaded into a warehouse table, then those from then on upserted into it, and once more."""
+    root, layers, entity = shared_folder(spark), _layers(), ENTITIES["reviews"]
+    create_databases(spark, layers.all, root)
+    create_tables(spark, layers)
+    table = warehouse_table(spark, layers, entity)
+    before, since = (_stored(spark, with_record_date(align(rows, entity.warehouse))) for rows in _review_split(spark, folder))
+    for night, rows in enumerate((before, since, since)):
+        table.upsert(rows, f"night{night}", f"{root}/changed/{night}", BROADCAST_KEYS)
+    return spark.table(table.table)
+
+
 def nightly_batch(spark, folder):
     """The whole batch twice over the four entities as CSV; counts and key sums of all tables."""
     zones = _batch_landing(spark, folder)
@@ -351,6 +384,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_allowlist": source_allowlist,
     "analytics_append": analytics_append,
     "table_schemas": table_schemas,
+    "warehouse_upsert": warehouse_upsert,
     "batch_reviews": batch_reviews,
+    "batch_rankings": batch_rankings,
     "nightly_batch": nightly_batch,
 }

@@ -63,6 +63,8 @@ class VersionedTable:
         self.order = TS if dated else key
         self.home = spark.catalog.getDatabase(self.database).locationUri.rstrip("/")
         self.commits = Commits(spark, f"{self.home}/_versions/{self.name}")
+        # The version that the last upsert of this object has left.
+        self.reached = 0
 
     # Versions and the catalog
 
@@ -257,6 +259,7 @@ class VersionedTable:
                 self.commits.lease(run, base.number)
                 version = self._next(base, rows, f"{run}_{attempt}" if attempt else run, scratch, few, ignored)
                 if version is None or self._commit(version):
+                    self.reached = (version or base).number
                     self.register()
                     return version is not None
                 attempt += 1

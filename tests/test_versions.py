@@ -334,7 +334,7 @@ def test_a_failed_run_is_gone_on_with(spark, zones, tmp_path, monkeypatch):
     def killed(spark, zones, entity, *more):
         if entity.name == "reviews":
             raise RuntimeError("killed")
-        load(spark, zones, entity, *more)
+        return load(spark, zones, entity, *more)
 
     monkeypatch.setattr(nightly, "load_warehouse", killed)
     with pytest.raises(RuntimeError, match="killed"):
@@ -376,6 +376,30 @@ def test_another_run_removes_what_a_dead_one_left(spark, zones, tmp_path, monkey
     assert failed not in runs(tmp_path) and not list(tmp_path.glob(f"*/*/{failed}")) and not (tmp_path / "kept").exists()
 
 
+@pytest.mark.parametrize("processed_csv", [False, True])
+def test_unchanged_files_are_not_read_again(spark, zones, monkeypatch, processed_csv):
+    zones = Zones(zones.landing, zones.root, zones.layers, processed_csv, changed_only=True)
+    land(zones, FILES)
+    run_batch(spark, zones, DAY)
+
+    def warehouse():
+        return {name: Counter(map(tuple, spark.table(f"{zones.layers.warehouse}.{name}").collect())) for name in ENTITIES}
+
+    before, read, parsed = warehouse(), nightly.read_raw, []
+    monkeypatch.setattr(nightly, "read_raw", lambda spark, path, entity: parsed.append(entity.name) or read(spark, path, entity))
+    run_batch(spark, zones, "2024-01-11")
+    assert parsed == [] and warehouse() == before
+    assert spark.table(f"{zones.layers.staging}.reviews").count() == 5
+    land(zones, {"reviews.csv": FILES["reviews.csv"].replace("fine", "changed")})
+    run_batch(spark, zones, "2024-01-11")
+    assert parsed == ["reviews"] and warehouse() != before
+    # A run that takes other files in between makes the first ones new again.
+    land(zones, FILES)
+    run_batch(spark, zones, "2024-01-11")
+    assert set(parsed[1:]) == set(ENTITIES)
+    assert {name: rows for name, rows in warehouse().items() if name != "users"} == {name: rows for name, rows in before.items() if name != "users"}
+
+
 def test_processed_csv_folders_do_not_pile_up(spark, zones, tmp_path):
     land(zones, FILES)
     for _ in range(3):
