@@ -48,7 +48,8 @@ class DigestIndex:
         nulls. Other columns are ignored. An empty table gives no row.
         """
         rows = store(self.spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(F.col("text")).alias("digest")))
-        groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+        # Stored, as the anti-join would otherwise be pushed below the grouping and meet every copy of a hot text.
+        groups = store(self.spark, rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
         new = store(self.spark, groups.hint("merge").join(self.table().select("digest").hint("merge"), "digest", "left_anti"))
         # Hash partitions are the buckets, so a task writes one sorted file.
         new.repartition(self.buckets, "digest").select(*INDEX.names).write.insertInto(self.name)
