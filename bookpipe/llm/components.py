@@ -11,13 +11,14 @@ from bookpipe.llm.text import store
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Link the larger neighbours (or, in a small star, the smaller ones and the node) to the least one.
 
-    The least neighbour is a maximum-free aggregation, combined before the shuffle. The join back has a
-    hub's edges under one key, which adaptive execution splits.
+    The least neighbours are combined before the shuffle. The join back has a hub's edges under one key. Adaptive
+    execution splits it if both sides are plain shuffles, which the hash as a second join column brings about.
     """
     if large:
         edges = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    joined = edges.join(least, "a")
+    spread = F.xxhash64("a").alias("h")
+    joined = edges.select("*", spread).join(least.select("*", spread), ["a", "h"])
     if large:
         out = joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
