@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookpipe.llm.components import components
+from bookpipe.llm.rowkeys import separately
 from bookpipe.llm.text import emit, mixed, runs, shingles, store, texts, word_hashes
 
 MINIMA, BITS = 128, 4
@@ -205,10 +206,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     pair is listed: tasks return a spanning link per row.
 
     One row per input row: doc_id, n_shingles, component_id (least doc_id reachable), kept. Null or
-    blank texts have no shingle and link with nothing. Rows that repeat a doc_id are one document and
-    are reported alike if their texts are equal; else each by its own set. A null doc_id takes no part:
+    blank texts have no shingle and link with nothing. Equal rows are one document and are reported alike;
+    texts that share a doc_id are documents of their own. A null doc_id takes no part:
     component_id is null and kept is true. Other columns are ignored; an empty table gives no row.
     """
+    found = separately(spark, docs, lambda own: _components_of(spark, own, words, percent), ["doc_id", "component_id"])
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _components_of(spark: SparkSession, docs: DataFrame, words: int, percent: int) -> DataFrame:
     rows = band_rows(percent / 100)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = store(spark, source.mapInArrow(_signed(words, rows), "doc_id long, n_shingles long, set_key binary, signature array<long>, bands array<long>"))
@@ -233,5 +239,4 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     named = classes.select("set_key", "rep").join(found, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     shown = ["doc_id", "n_shingles", "component_id"]
     alone = signed.filter("NOT (n_shingles > 0 AND doc_id IS NOT NULL)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    out = linked.select("doc_id", "n_shingles", "set_key").join(named, "set_key").select(*shown).unionByName(alone)
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return linked.select("doc_id", "n_shingles", "set_key").join(named, "set_key").select(*shown).unionByName(alone)

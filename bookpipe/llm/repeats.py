@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bookpipe.llm.rowkeys import separately
 from bookpipe.llm.text import _power, emit, mixed, runs, store, texts
 
 LENGTH = 100
@@ -255,8 +256,13 @@ def maximal_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH)
     and anchors that occur once are dropped. A bucket holds the contexts of one anchor: the bytes of the
     windows that belong to it. A suffix array of the contexts with common-prefix lengths is scanned
     with a stack; the intervals that cannot be extended to the left are the groups. A repeat longer than
-    a context is reported as the groups of its anchors, which overlap.
+    a context is reported as the groups of its anchors, which overlap. Texts that share a doc_id are
+    documents of their own.
     """
+    return separately(spark, docs, lambda own: _repeats(spark, own, length))
+
+
+def _repeats(spark: SparkSession, docs: DataFrame, length: int) -> DataFrame:
     whole = _whole(spark, docs)
     groups, occurrences = _groups_and_occurrences(spark, docs, whole, length)
     found = groups.join(occurrences, ["k1", "k2"]).withColumn("start", F.col("low") + F.col("offset"))
@@ -289,10 +295,14 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, w
 
     One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, on request, the bytes
     ``kept``, which may end within a character. Null is an empty text; texts shorter than ``length`` stay.
-    Of equal texts all but the least doc_id's go as a whole. Rows that repeat a doc_id are one document
-    and not removed against each other; a null doc_id takes no part. Other columns are ignored; an empty
-    table gives no row.
+    Of equal texts all but the least doc_id's go as a whole. Equal rows are one document and not removed
+    against each other; texts that share a doc_id are documents of their own, in the order of their
+    digests. A null doc_id takes no part. Other columns are ignored; an empty table gives no row.
     """
+    return separately(spark, docs, lambda own: _removed(spark, own, length, with_text))
+
+
+def _removed(spark: SparkSession, docs: DataFrame, length: int, with_text: bool) -> DataFrame:
     whole = _whole(spark, docs)
     groups, occurrences = _groups_and_occurrences(spark, docs, whole, length)
     later = groups.join(occurrences, ["k1", "k2"]).withColumn("start", F.col("low") + F.col("offset")).filter(
@@ -305,7 +315,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, w
         whole = _source(docs).select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha256"), text.alias("kept"))
     else:
         cut = cut.drop("kept")
-    first = whole.groupBy("sha256").agg(F.min("doc_id").alias("first_id"))
+    # Stored, as adaptive execution splits a hot text only in a join of plain shuffles.
+    first = store(spark, whole.groupBy("sha256").agg(F.min("doc_id").alias("first_id")))
     rest = whole.join(spans.select("doc_id"), "doc_id", "left_anti").join(first, "sha256")
     gone = F.coalesce((F.col("n_bytes") >= length) & (F.col("doc_id") > F.col("first_id")), F.lit(False))
     left = {"doc_id": F.col("doc_id"), "n_bytes": F.col("n_bytes"), "n_removed": F.when(gone, F.col("n_bytes")).otherwise(F.lit(0)),

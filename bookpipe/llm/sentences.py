@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bookpipe.llm.rowkeys import separately
 from bookpipe.llm.text import _power, emit, mixed, spans, store, texts, word_hashes
 
 # A span has at least so many consecutive sentences, and goes on until it has so many words.
@@ -104,10 +105,14 @@ def remove_repeated_spans(spark: SparkSession, docs: DataFrame, least: int = SEN
     combined before the shuffle; the join back has a frequent span under one key, which adaptive execution splits.
 
     One row per input row: doc_id, n_sentences, n_removed, kept_sha256 and the rest of the text. Null is an
-    empty text; a text without a complete span stays whole. Rows that repeat a doc_id are one document
-    and are not removed against each other; a null doc_id takes no part. Other columns are ignored; an
-    empty table gives no row.
+    empty text; a text without a complete span stays whole. Equal rows are one document and are not removed
+    against each other; texts that share a doc_id are documents of their own, in the order of their
+    digests. A null doc_id takes no part. Other columns are ignored; an empty table gives no row.
     """
+    return separately(spark, docs, lambda own: _removed(spark, own, least, words))
+
+
+def _removed(spark: SparkSession, docs: DataFrame, least: int, words: int) -> DataFrame:
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = source.filter("doc_id IS NOT NULL").mapInArrow(_runs(least, words), "span long, doc_id long, place long, again boolean")
     repeated = store(spark, rows.groupBy("span").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).filter("n > 1").select("span", "first"))
