@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 from collections.abc import Iterable, Iterator
 from functools import cache
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import bookpipe
 from bookpipe.session import shared_folder
 
 BASE = 0x9E3779B97F4A7C15
@@ -39,19 +35,6 @@ def store(spark: SparkSession, frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once per application."""
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        _shipped.add(context.applicationId)
-        root = Path(bookpipe.__file__).parent
-        folder = tempfile.mkdtemp(prefix="bookpipe-")
-        context.addPyFile(shutil.make_archive(f"{folder}/bookpipe", "zip", root.parent, root.name))
-
-
 def held_out(modulus: int, remainder: int):
     """crc32 of the doc_id as text, modulo ``modulus``, is ``remainder``; a null doc_id counts as the text ''."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus == remainder
