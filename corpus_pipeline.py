@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from bookpipe.llm import decontaminate, neardup, packing, quality
 from bookpipe.llm.queries import KEEP_SCORE, SEQUENCE, new_index, tokenizer
 from bookpipe.llm.rowkeys import ROW, row_keys
-from bookpipe.llm.text import held_out, ship_package, store
+from bookpipe.llm.text import held_out, store
+from bookpipe.session import ship_package
 
 
 def without(spark: SparkSession, docs: DataFrame, found: Callable[[DataFrame], DataFrame]) -> DataFrame:
