@@ -24,6 +24,26 @@ ORACLE: dict[str, str] = {
         reached(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.b) AS component_id, min(r.b) = d.doc_id AS kept
         FROM documents d JOIN reached r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n""",
+    # Every distance q: stretches where words q apart are equal, without those that a divisor of q explains. CRC-32 is spelled out, bit by bit.
+    "op11_periodic_runs": """
+        WITH h AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+                xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda c, b:
+                    list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, k: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) AS h FROM documents),
+        g AS (SELECT doc_id, words, h, len(words) AS n, CASE WHEN len(words) > 0 THEN (h // 10) % len(words) END AS a FROM h),
+        p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM g),
+        w AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE words END AS words FROM p),
+        t AS (SELECT doc_id, n, unnest(words) AS word, unnest(range(n)) AS i FROM w),
+        e AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+        s AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM (
+                SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e) GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+        r AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s b WHERE b.doc_id = s.doc_id AND b.q < s.q AND s.q % b.q = 0 AND b.start <= s.start AND b.start + b.length >= s.start + s.length)),
+        a AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS listed,
+                list({'l': length, 's': -start, 'q': -q} ORDER BY length DESC, start, q)[1] AS best FROM r GROUP BY doc_id),
+        k AS (SELECT t.doc_id, string_agg(t.word, ' ' ORDER BY t.i) AS kept FROM t
+              WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = t.doc_id AND t.i >= r.start + r.q AND t.i < r.start + r.length) GROUP BY t.doc_id)
+        SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, -best.s AS start, best.l AS length, -best.q AS period, 1000 * best.l // -best.q AS exponent_milli,
+               sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+        FROM documents d LEFT JOIN a USING (doc_id) LEFT JOIN k USING (doc_id)""",
     # Sources in the order in which rising water reaches their caps; all from the first one on that stays below share the rest.
     "op12_source_mixing": """
         WITH d AS (SELECT doc_id, source, md5('mixture:' || doc_id) AS key,
