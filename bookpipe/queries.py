@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -227,8 +229,9 @@ def source_allowlist(spark, folder):
     }
     for name, rows in contents.items():
         fx.write_raw(rows, f"{landing}/{name}")
-    counts = non_empty_report({entity.source: read_raw(spark, f"{landing}/{entity.source}", entity)
-                               for entity in ENTITIES.values()})
+    read = inheritable_thread_target(spark)(lambda entity: read_raw(spark, f"{landing}/{entity.source}", entity))
+    with ThreadPoolExecutor(len(ENTITIES)) as pool:
+        counts = non_empty_report(dict(zip((entity.source for entity in ENTITIES.values()), pool.map(read, ENTITIES.values()), strict=True)))
     counts = counts.select(F.col("table_name").alias("source"), "row_count")
     return landing_report(spark, landing).join(F.broadcast(counts), "source", "left").select(
         "source", "selected", F.coalesce("row_count", F.lit(0)).alias("row_count"))
