@@ -49,10 +49,19 @@ def warehouse_table(spark: SparkSession, layers: Layers, entity: Entity) -> Vers
 
 
 def create_tables(spark: SparkSession, layers: Layers) -> None:
-    """Register the warehouse and analytics tables that lie in the folders; those that do not are empty and typed."""
+    """Register the warehouse and analytics tables that lie in the folders; those that do not are empty and typed.
+
+    What lies there in the layout of earlier releases, one folder per table and one per day, is taken over.
+    """
     for entity in ENTITIES.values():
-        warehouse_table(spark, layers, entity).register()
-    known = _days(spark, layers.analytics).latest()[1]
+        table = warehouse_table(spark, layers, entity)
+        if not table.current().number and (old := _current(spark, table.table)) is not None:
+            table.replace(spark.read.schema(table.columns).parquet(f"{table.home}/{old}"), "taken")
+        table.register()
+    number, known = _days(spark, layers.analytics).latest()
+    if not number and (old := _old_days(spark, layers.analytics)):
+        _days(spark, layers.analytics).change(lambda later: old | later)
+        known = old
     for name, layout in ANALYTICS.items():
         table = f"{layers.analytics}.{name}"
         if not spark.catalog.tableExists(table):
@@ -61,6 +70,18 @@ def create_tables(spark: SparkSession, layers: Layers) -> None:
         _place(spark, table, known.get(name, {}))
 
 
+def _old_days(spark: SparkSession, database: str) -> dict[str, dict[str, str]]:
+    """Days of the analytics tables that lie in partition folders: table -> day -> folder."""
+    home = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark, f"{database}."))
+    files = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, dict[str, str]] = {}
+    for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(home, "*/ds=*")) or []:
+        name, day = status.getPath().getParent().getName(), status.getPath().getName()
+        if name in ANALYTICS:
+            found.setdefault(name, {})[day.removeprefix("ds=")] = f"{name}/{day}"
+    return found
+
+
 def _folder(spark: SparkSession, table: str) -> str:
     """Where the database of a table keeps its tables."""
     return spark.catalog.getDatabase(table.split(".")[0]).locationUri.rstrip("/")

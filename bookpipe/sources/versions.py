@@ -1,6 +1,6 @@
 """Warehouse tables in parts, of which a new version shares those that it does not change.
 
-A table's rows lie in parts: spans of days for tables with a record date, buckets of the key for the others. A version says which folder
+A table's rows lie in parts: spans of days for tables with a record date, spans of the key for the others. A version says which folder
 holds each part. An upsert writes the parts that lose or gain rows, and the next version takes all other folders from the one before it. Beside
 the rows lies an index: for each key the number of its rows, sums of their hashes, and their days, bucketed and sorted by key. What a night brings is compared with
 the index, so that neither the rows nor a shuffle of what is stored are needed to find the keys that have changed and the parts that hold them.
@@ -18,16 +18,19 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from bookpipe.operators.upsert import survivors
 from bookpipe.schemas import RECORD_DATE, TS
 from bookpipe.sources.commits import KEPT_SECONDS, Commits
 
 PART = "part"
-# Rows that a part is meant to have when its table is first filled, and times as many at which key buckets are divided anew.
+# Rows that a part is meant to have, and times as many, on average, at which a table is divided anew.
 ROWS_PER_PART, GROWTH = 4_000_000, 8
-MOST_BUCKETS = 100_000
+# Parts that a table is divided into at most, if its keys are far apart.
+MOST_PARTS = 10_000
+# Partitions that are added to the catalog by one statement.
+ADDED = 1_000
 # Keys that an index bucket is meant to have, and index tables from which on they are merged into one.
 KEYS_PER_BUCKET, LEAST_BUCKETS, GENERATIONS = 2_000_000, 8, 6
 # The day of rows without a date.
@@ -40,9 +43,10 @@ _registering = threading.Lock()
 
 @dataclass(frozen=True)
 class Version:
-    """``parts``: part -> [folder, rows]. ``span``: days of a part or number of key buckets. ``index``: folders, oldest first."""
+    """``parts``: part -> [folder, rows]. ``origin``, ``span``: part 0 begins at this day or key, and each has so many. ``index``: folders, oldest first."""
 
     number: int = 0
+    origin: int = 0
     span: int = 0
     parts: dict[str, list] = field(default_factory=dict)
     index: list[str] = field(default_factory=list)
@@ -79,11 +83,11 @@ class VersionedTable:
         """The catalog table of a version, created where this session does not have it."""
         name = f"{self.database}.{self.name}__v{version.number}"
         if not self.spark.catalog.tableExists(name):
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({self._columns()}, {PART} int) USING parquet PARTITIONED BY ({PART}) "
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({self._columns()}, {PART} bigint) USING parquet PARTITIONED BY ({PART}) "
                            f"LOCATION '{self.home}/_versions/{self.name}/none'")
-            added = " ".join(f"PARTITION ({PART} = {part}) LOCATION '{self.home}/{folder}'" for part, (folder, _) in version.parts.items())
-            if added:
-                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+            added = [f"PARTITION ({PART} = {part}) LOCATION '{self.home}/{folder}'" for part, (folder, _) in version.parts.items()]
+            for n in range(0, len(added), ADDED):
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added[n : n + ADDED])}")
         return name
 
     def register(self) -> None:
@@ -108,40 +112,45 @@ class VersionedTable:
         """Rows of the parts that may hold dates from ``low`` to ``high``, written as YYYY-MM-DD, with or without a time."""
         version = self.current()
         first, last = ((date.fromisoformat(day[:10]) - date(1970, 1, 1)).days for day in (low, high))
-        return self.read(version, [part for part in version.parts if int(part) * version.span <= last and (int(part) + 1) * version.span > first])
+        low, high = ((day - version.origin) // version.span if version.span else 0 for day in (first, last))
+        return self.read(version, [part for part in version.parts if low <= int(part) <= high])
 
     # Parts
 
     def _day(self) -> Column:
         return F.coalesce(F.unix_date(RECORD_DATE), F.lit(NO_DAY))
 
-    def _part_of_day(self, day: Column, span: int) -> Column:
-        return F.floor(day / F.lit(span)).cast("int")
-
-    def _part(self, span: int) -> Column:
-        if self.dated:
-            return self._part_of_day(self._day(), span)
-        return F.pmod(F.xxhash64(self.key), F.lit(span)).cast("int")
-
-    def _span(self, rows: DataFrame) -> int:
-        """Days of a part, or buckets, with which parts get about ``ROWS_PER_PART`` rows."""
-        if not self.dated:
-            return max(1, min(MOST_BUCKETS, -(-rows.count() // ROWS_PER_PART)))
-        known = rows.agg(F.count(F.lit(1)), F.min(F.unix_date(RECORD_DATE)), F.max(F.unix_date(RECORD_DATE))).first()
-        days = known[2] - known[1] + 1 if known[1] is not None else 1
-        return max(1, days * ROWS_PER_PART // known[0]) if known[0] else 1
-
-    def _write(self, rows: DataFrame, span: int, run: str) -> dict[str, list]:
+    @staticmethod
+    def _part_of(place: Column, origin: int, span: int) -> Column:
+        """The part of a day or key, in whole numbers that no key overflows."""
+        after = place.cast("decimal(20,0)") - F.lit(origin).cast("decimal(20,0)")
+        span_ = F.lit(span).cast("decimal(20,0)")
+        return F.floor((after - F.pmod(after, span_)) / span_).cast("long")
+
+    def _part(self, origin: int, span: int) -> Column:
+        return self._part_of(self._day() if self.dated else F.coalesce(F.col(self.key), F.lit(origin)), origin, span)
+
+    def _division(self, rows: DataFrame) -> tuple[int, int]:
+        """Origin and span with which parts get about ``ROWS_PER_PART`` rows, if days or keys are spread evenly between the outermost hundredths."""
+        place = F.unix_date(RECORD_DATE) if self.dated else F.col(self.key)
+        n, low, high, inner = rows.agg(F.count(place), F.min(place), F.max(place), F.percentile_approx(place, [0.01, 0.99])).first()
+        if not n:
+            return 0, 1
+        span = max(1, (inner[1] - inner[0] + 1) * ROWS_PER_PART // n, (high - low) // MOST_PARTS)
+        # Spans of days lie alike in all tables.
+        return (0 if self.dated else low), min(span, 10**18)
+
+    def _write(self, rows: DataFrame, origin: int, span: int, run: str) -> dict[str, list]:
         """Write rows in parts, sorted within files, and say which parts there are.
 
         Ranges of part, order and key's hash are a function of the rows alone, so a task that is run again writes the same. A part of any size is
         spread over tasks, and a task holds few parts.
         """
         folder = f"{self.name}__{run}"
-        parts = rows.withColumn(PART, self._part(span))
+        parts = rows.withColumn(PART, self._part(origin, span))
         parts = parts.repartitionByRange(PART, self.order, F.xxhash64(self.key)).sortWithinPartitions(PART, self.order)
         parts.write.mode("overwrite").partitionBy(PART).parquet(f"{self.home}/{folder}")
-        layout = StructType([*self.columns.fields, StructField(PART, IntegerType())])
+        layout = StructType([*self.columns.fields, StructField(PART, LongType())])
         counts = self.spark.read.schema(layout).parquet(f"{self.home}/{folder}").groupBy(PART).count().collect()
         return {str(row[0]): [f"{folder}/{PART}={row[0]}", row[1]] for row in counts}
 
@@ -209,19 +218,16 @@ class VersionedTable:
         if not n and keyless.isEmpty():
             return None
         keys = changed.select(F.col("key").alias(self.key))
-        span, fresh = base.span or self._span(rows), rows
+        fresh = rows
         if base.index:
             fresh = rows.join(F.broadcast(keys) if n <= few else keys, self.key, "left_semi").select(rows.columns).unionByName(keyless)
-        regrouped = not self.dated and base.rows > GROWTH * ROWS_PER_PART * span and span < MOST_BUCKETS
-        if regrouped:
-            span = min(MOST_BUCKETS, -(-base.rows // ROWS_PER_PART))
-        if regrouped or not base.parts:
-            touched = set(base.parts)
-        else:
-            part = self._part(span)
+        origin, span, touched = base.origin, base.span, set(base.parts)
+        divided = base.rows <= GROWTH * ROWS_PER_PART * len(base.parts) or span == 1
+        if base.parts and divided:
+            part = self._part(origin, span)
             if self.dated:
                 days = changed.select(F.explode(F.concat("days", F.coalesce("old_days", F.array().cast("array<int>")))).alias("day"))
-                found = days.select(self._part_of_day(F.col("day"), span).alias(PART))
+                found = days.select(self._part_of(F.col("day"), origin, span).alias(PART))
             else:
                 found = keys.select(part.alias(PART))
             # One row per part.
@@ -230,20 +236,22 @@ class VersionedTable:
         if reread := sorted(touched & set(base.parts)):
             replaced = changed.where("known").select(F.col("key").alias(self.key))
             merged = survivors(self.read(base, reread), replaced, self.key, n <= few).unionByName(fresh)
-        parts = {part: stored for part, stored in base.parts.items() if part not in touched} | self._write(merged, span, run)
+        if not (base.parts and divided):
+            origin, span = self._division(merged)
+        parts = {part: stored for part, stored in base.parts.items() if part not in touched} | self._write(merged, origin, span, run)
         index, buckets = self._indexed(base, changed, n, run)
-        return Version(base.number + 1, span, parts, index, buckets)
+        return Version(base.number + 1, origin, span, parts, index, buckets)
 
     def replace(self, rows: DataFrame, run: str) -> None:
         """Make these rows the table, whatever it holds. They are worked out twice, for the size of the parts and for the parts."""
         rows = rows.select(self.columns.names)
         while True:
-            number, span = self.current().number, self._span(rows)
-            parts = self._write(rows, span, run)
-            version = Version(number + 1, span, parts)
+            number, (origin, span) = self.current().number, self._division(rows)
+            parts = self._write(rows, origin, span, run)
+            version = Version(number + 1, origin, span, parts)
             written = self.spark.read.schema(self.columns).parquet(f"{self.home}/{self.name}__{run}")
             index, buckets = self._indexed(Version(number), self._marks(written), version.rows, run)
-            if self._commit(Version(number + 1, span, parts, index, buckets)):
+            if self._commit(Version(number + 1, origin, span, parts, index, buckets)):
                 return self.register()
 
     def upsert(self, rows: DataFrame, run: str, scratch: str, few: int, ignored: Sequence[str] = ()) -> bool:

@@ -128,8 +128,33 @@ def test_many_nights_equal_a_dictionary(spark, database, tmp_path, monkeypatch):
         upsert(people, users(spark, rows), tmp_path)
         names |= dict(rows)
         assert content(spark, people) == Counter(names.items())
-    # More keys than the first buckets were meant for.
-    assert people.current().span > 3
+    # More keys than the first parts were meant for; parts hold keys that follow each other.
+    version = people.current()
+    assert len(version.parts) > 8 and max(rows for _, rows in version.parts.values()) < 30
+    ranges = sorted(people.read(version, [part]).agg(F.min("user_id"), F.max("user_id")).first()[:] for part in list(version.parts)[:6])
+    assert all(a[1] < b[0] for a, b in zip(ranges[:-1], ranges[1:], strict=True))
+
+
+def test_keys_at_the_ends_of_their_type(spark, database, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "ROWS_PER_PART", 2)
+    table = open_users(spark, database)
+    rows = [(-(2**63), "least"), (2**63 - 1, "greatest"), (0, "zero"), *((k, f"n{k}") for k in range(10**12, 10**12 + 40))]
+    upsert(table, users(spark, rows[2:]), tmp_path)
+    upsert(table, users(spark, rows[:2]), tmp_path)
+    assert content(spark, table) == Counter(rows)
+    assert upsert(table, users(spark, [(2**63 - 1, "changed")]), tmp_path) and not upsert(table, users(spark, rows[:1]), tmp_path)
+
+
+def test_a_table_that_began_small_is_divided_anew(spark, database, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "ROWS_PER_PART", 4)
+    table = open_reviews(spark, database)
+    expected = {}
+    for night, size in enumerate((1, 60, 61, 62)):
+        rows = [(k, f"t{k}", 1 + k % 30) for k in range(size)]
+        upsert(table, reviews(spark, rows), tmp_path)
+        expected |= {row[0]: row for row in rows}
+        assert content(spark, table) == Counter(expected.values())
+    assert len(table.current().parts) > 5
 
 
 def test_null_keys_are_added(spark, database, tmp_path):
@@ -275,6 +300,21 @@ def test_another_session_finds_the_versions(spark, database, tmp_path):
     assert not upsert(table, reviews(other, [(1, "a", 1)]), tmp_path)
 
 
+def test_the_layout_of_earlier_releases_is_taken_over(spark, tmp_path):
+    run = uuid.uuid4().hex[:8]
+    layers = Layers(f"s_{run}", f"w_{run}", f"a_{run}")
+    create_databases(spark, layers.all, str(tmp_path))
+    warehouse, analytics = tmp_path / layers.warehouse, tmp_path / layers.analytics
+    reviews(spark, [(1, "a", 1), (2, "b", 2)]).write.parquet(str(warehouse / "reviews__20240101"))
+    (warehouse / "_current_reviews").write_text("reviews__20240101")
+    spark.createDataFrame([(7, 3)], "author_id long, review_count long").write.parquet(str(analytics / "popular_authors_review_count" / f"ds={DAY}"))
+    for _ in range(2):
+        create_tables(spark, layers)
+        assert spark.table(f"{layers.warehouse}.reviews").count() == 2 and spark.table(f"{layers.warehouse}.users").count() == 0
+        assert [(row.author_id, str(row.ds)) for row in spark.table(f"{layers.analytics}.popular_authors_review_count").collect()] == [(7, DAY)]
+    assert not upsert(VersionedTable(spark, f"{layers.warehouse}.reviews", REVIEWS.warehouse, "review_id", True), reviews(spark, [(1, "a", 1)]), tmp_path)
+
+
 # Days of the analytics tables
 
 def test_a_day_is_published_by_one_commit(spark, tmp_path):
