@@ -34,6 +34,9 @@ _STAYS_OPEN = rf'^[^"]*+(?:""[^"]*+)*+(?:\z|",{_FIELDS}{_QUOTED}\z)'
 CLOSES, SWAPS, KEEPS, OPENS = range(4)
 # Lines at an edge of a split that are kept with its marks. Where they are longer, the text is read once more for them.
 EDGE_BYTES = 1 << 20
+# A file that cannot be split, of this length or more, has its records dealt to other tasks before they are parsed.
+UNSPLIT_BYTES = 64 << 20
+UNSPLIT = r"\.(gz|gzip|deflate|snappy|lz4|zst)$"
 NONE = -1
 
 MARKS = pa.schema([
@@ -291,7 +294,8 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     of its own, so that a stray quote spoils its line only, and no more than a line of it is held in memory.
 
     The files are looked through when this is called, and read again when the result is. They must be the same then, and be divided in the same way,
-    or the second reading fails. A compressed file is a single split, of which a task holds a batch of lines at a time.
+    or the second reading fails. A compressed file is a single split, of which a task holds a batch of lines at a time. If there are large ones, the records
+    are dealt out anew, so that parsing and what follows is not left to the tasks that unpack them.
     """
     ship_package(spark)
     folder = shared_folder(spark)
@@ -313,6 +317,9 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
             F.bool_or("first").alias("first"), F.bool_or("windows").alias("windows"),
             F.array_join(F.transform(ordered, lambda part: part["value"]), "").alias("value"))
         whole = whole.unionByName(joined.select(*PIECES.names[:2], F.lit(None).cast("long").alias("split"), *PIECES.names[3:]))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    if not files.where(F.col("path").rlike(UNSPLIT) & (F.col("length") >= UNSPLIT_BYTES)).isEmpty():
+        whole = whole.hint("rebalance")
     ended = F.when(F.col("windows"), F.regexp_replace("value", "\r+\n", "\n")).otherwise(F.col("value"))
     return whole.select("first", "windows", F.rtrim(ended, F.lit("\n")).alias("value"))
 

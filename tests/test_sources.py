@@ -1,6 +1,7 @@
 """Raw CSV, the processed zone and the landing zone, on hand-made rows."""
 
 import gzip
+import random
 from collections import Counter
 from datetime import datetime
 from pathlib import Path
@@ -157,6 +158,22 @@ def test_compressed_source(spark, tmp_path):
     assert got == {-1: "x\ny", **{i: t or None for i, t in enumerate(NASTY * 40)}}
 
 
+def test_records_of_large_compressed_files_are_dealt_out(spark, tmp_path, monkeypatch):
+    path, texts = tmp_path / "reviews.csv.gz", {i: f"{random.Random(i).randbytes(150).hex()}\n{i}" for i in range(3000)}
+    path.write_bytes(gzip.compress(csv_text([("review_id", "review_text"), *texts.items()]).encode()))
+    assert read_raw(spark, str(path), REVIEWS).rdd.getNumPartitions() == 1
+    monkeypatch.setattr("bookpipe.sources.records.UNSPLIT_BYTES", 1)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        df = read_raw(spark, str(path), REVIEWS)
+        assert "REBALANCE" in executed(df)
+        assert {row.review_id: row.review_text for row in df.collect()} == texts
+        assert df.rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set(merging, "true")
+
+
 def test_other_splits_at_the_second_reading_are_refused(spark, tmp_path, small_splits):
     path = tmp_path / "author.csv"
     path.write_text("author_id,name\n" + '1,"a\nb"\n' * 500)
