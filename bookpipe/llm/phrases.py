@@ -171,7 +171,7 @@ def _blocks_of(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[Bloc
 def _hash_counts(rows: DataFrame, shortest: int, longest: int, new: Filter | None = None, old: Filter | None = None) -> DataFrame:
     """(hash, f): how often phrases of ``shortest`` to ``longest`` words occur, by 64-bit hashes.
 
-    With filters, those of three words or more only if both parts are held by ``new``, and not both by ``old``.
+    With filters, those of two words or more only if both parts are held by ``new``, and not both by ``old``.
     """
     shared = rows.sparkSession.sparkContext.broadcast((new, old))
 
@@ -181,7 +181,7 @@ def _hash_counts(rows: DataFrame, shortest: int, longest: int, new: Filter | Non
             for n, _, hashes, *parts in block.phrases(longest):
                 if n < shortest:
                     continue
-                if now is not None and n > 2:
+                if now is not None and n > 1:
                     held = now.holds(parts[0]) & now.holds(parts[1])
                     if before is not None:
                         held &= ~(before.holds(parts[0]) & before.holds(parts[1]))
@@ -193,14 +193,13 @@ def _hash_counts(rows: DataFrame, shortest: int, longest: int, new: Filter | Non
 
 
 def _exact_counts(rows: DataFrame, longest: int, possible: Filter) -> DataFrame:
-    """(lang, words, phrase, f): how often each word occurs, and each longer phrase that the filter holds."""
+    """(lang, words, phrase, f): how often each phrase that the filter holds occurs."""
     shared = rows.sparkSession.sparkContext.broadcast(possible)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks_of(batches, longest):
             for n, starts, hashes, *_ in block.phrases(longest):
-                if n > 1:
-                    starts = starts[shared.value.holds(hashes)]
+                starts = starts[shared.value.holds(hashes)]
                 if len(starts):
                     phrases, counts = block.counted(starts, n)
                     lang, words = (pa.repeat(pa.scalar(v, f.type), len(phrases)) for v, f in zip((block.lang, n), COUNTS, strict=False))
@@ -243,27 +242,32 @@ def _outside(hashes: DataFrame, known: Filter) -> DataFrame:
 def frequent_phrases(spark: SparkSession, docs: DataFrame, least: int = 10, longest: int = 3) -> DataFrame:
     """(lang, words, phrase, f): every phrase of 1 to ``longest`` words that occurs ``least`` times in a language, counted exactly.
 
-    ``docs`` has lang and text, neither null. A sample of one document in 16 proposes phrases that it holds twice. A full pass counts
-    the proposed phrases and their negative border: all pairs of words, and the longer phrases whose two parts were both proposed. What
-    is frequent there without having been proposed is a failure of the sample: it is proposed too, and another pass counts the phrases
+    ``docs`` has lang and text, neither null. A first pass finds the frequent words. A sample of one document in 16 proposes the longer phrases that it holds
+    twice. A full pass counts the proposed phrases and their negative border: all pairs of frequent words, and the longer phrases whose two parts were both
+    proposed. What is frequent there without having been proposed is a failure of the sample: it is proposed too, and another pass counts the phrases
     that have joined the border by it. When nothing fails any more, no phrase outside of the border can be frequent. A failure can only fail phrases that are
     longer, so there are less than ``longest`` such passes.
 
     In these passes phrases are counted by 64-bit hashes. Equal hashes of different phrases can only make a count greater, so they lose nothing. A last pass
-    counts the words, and of the phrases those that were frequent by their hashes, by the phrases themselves.
+    counts the words and phrases that were frequent by their hashes, by the phrases themselves.
 
     Tasks know phrases by a Bloom filter of 32 MB at most. One that it wrongly holds is counted in vain; none is missed. With too many phrases for the filter,
     more are counted than needed, by as many tasks.
     """
     rows = docs.select("lang", "text")
+    words = store(spark, _hash_counts(rows, 1, 1).filter(F.col("f") >= least).select("hash"))
+    frequent = _filter(words, filter_bits(words.count()))
     sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE_ONE_IN)) == 0)
-    proposed = store(spark, _hash_counts(sample, 2, max(2, longest - 1)).filter(F.col("f") >= SAMPLE_LEAST).select("hash"))
-    bits = filter_bits(proposed.count())
-    known, before, possible = _filter(proposed, bits), None, None
+    proposed = store(spark, _hash_counts(sample, 2, max(2, longest - 1), None if longest > 3 else frequent).filter(F.col("f") >= SAMPLE_LEAST).select("hash"))
+    both = words.unionByName(proposed)
+    bits = filter_bits(both.count())
+    known, before, possible = _filter(both, bits), None, words
     # The k-th pass closes the phrases of k + 1 words, so the next one need not count them again.
     for shortest in range(2, longest + 1):
         counted = store(spark, _hash_counts(rows, shortest, longest, known, before).filter(F.col("f") >= least).select("hash"))
-        possible = counted if possible is None else possible.unionByName(counted)
+        possible = possible.unionByName(counted)
+        if shortest == longest:
+            break
         failed = store(spark, _outside(counted, known))
         if failed.isEmpty():
             break

@@ -81,7 +81,8 @@ def test_what_the_sample_misses_is_found_by_more_passes(spark, monkeypatch):
     got = {(r.lang, r.phrase): r.f for r in found.collect()}
     expected = {(lang, p): c for lang, f in brute_counts(rows, 3).items() for p, c in f.items() if c >= 6}
     assert got == expected and found.count() == len(expected)
-    assert len(passes) == 3
+    # The words, the sample, the pairs, the triples.
+    assert len(passes) == 4
 
 
 def phrases_input(spark, rows):
