@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bookpipe.llm.text import MIX, emit, mixed, store, texts
+from bookpipe.llm.text import MIX, emit, hash_spans, mixed, spans, store, texts
 
 # Bytes that end a piece, and the mark that stands for them between words.
 SEPARATORS, MARK = b".,;:!?\n\x0b\x0c\r", b"."
@@ -56,16 +57,6 @@ def _combined(hashes: np.ndarray, following: np.ndarray) -> np.ndarray:
     return mixed(hashes * MIX + following)
 
 
-def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
-    seed = xxhash.xxh64_intdigest(lang.encode())
-    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
-
-
-def _tokens(text: bytes) -> list[bytes]:
-    """Words in order, with a mark where a piece ends. No word is a mark, as that byte separates."""
-    return text.translate(_TABLE).replace(MARK, b" . ").split(b" ")
-
-
 _TABLE = bytes.maketrans(SEPARATORS + b"\t" + bytes(range(0x41, 0x5B)), MARK * len(SEPARATORS) + b" " + bytes(range(0x61, 0x7B)))
 
 
@@ -81,83 +72,92 @@ def _blocks(text: bytes) -> Iterator[bytes]:
     yield text[start:]
 
 
-def gathered(rows: Iterable[tuple[str, bytes]], longest: int) -> Iterator[tuple[str, list[bytes], int]]:
-    """(language, tokens, how many of them are known already): texts put together by language, or blocks of long ones.
+def gathered(rows: Iterable[tuple[str, bytes]], longest: int) -> Iterator[tuple[str, bytes, int]]:
+    """(language, text, how many of its words are known already): texts put together by language, or blocks of long ones.
 
-    Behind a block of a long text its last words are given once more, so that no phrase across the cut is lost.
+    A-Z are lower-cased, a mark stands where a piece ends, and all else between words is blanks. A block of a long text begins with the last
+    words of the one before, so that no phrase across the cut is lost.
     """
     waiting: dict[str, tuple[list[bytes], int]] = {}
     for lang, text in rows:
         if len(text) > BLOCK_BYTES:
-            carried: list[bytes] = []
+            carried, known = b"", 0
             for block in _blocks(text):
-                tokens = carried + [t for t in _tokens(block) if t]
-                yield lang, tokens, len(carried)
-                carried = tokens[len(tokens) - longest + 1 :] if longest > 1 else []
+                marked = carried + block.translate(_TABLE)
+                yield lang, marked, known
+                starts, _ = spans(np.frombuffer(marked.replace(MARK, b" "), np.uint8))
+                known = min(longest - 1, len(starts))
+                carried = marked[starts[-known] :] if known else b""
             continue
         parts, size = waiting.get(lang, ([], 0))
         parts.append(text)
         waiting[lang] = parts, size + len(text)
         if size + len(text) >= BLOCK_BYTES:
-            yield lang, [t for t in _tokens(MARK.join(waiting.pop(lang)[0])) if t], 0
+            yield lang, MARK.join(waiting.pop(lang)[0]).translate(_TABLE), 0
     for lang, (parts, _) in waiting.items():
-        yield lang, [t for t in _tokens(MARK.join(parts)) if t], 0
+        yield lang, MARK.join(parts).translate(_TABLE), 0
 
 
 class Block:
-    """Tokens of one language as numbers, and the phrases among them."""
-
-    def __init__(self, lang: str, tokens: list[bytes], known: int):
-        self.lang = lang
-        coded = pa.array(tokens, pa.binary()).dictionary_encode()
-        self.dictionary: pa.Array = coded.dictionary
-        self.words: list[bytes] = coded.dictionary.to_pylist()
-        self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.known = known
-        self.hashes = word_hashes(lang, self.words)
-        marks = np.array([w == MARK for w in self.words], bool)
-        self.is_word = ~marks[self.ids] if len(self.words) else np.zeros(0, bool)
+    """Words of one language, by their hashes, and the phrases among them."""
+
+    def __init__(self, lang: str, marked: bytes, known: int):
+        self.lang, self.known = lang, known
+        self.text = marked.replace(MARK, b" ")
+        data = np.frombuffer(self.text, np.uint8)
+        starts, ends = spans(data)
+        self.hashes = mixed(hash_spans(data, starts, ends) ^ np.uint64(xxhash.xxh64_intdigest(lang.encode())))
+        self.piece = np.searchsorted(np.flatnonzero(np.frombuffer(marked, np.uint8) == MARK[0]), starts)
+
+    @cached_property
+    def coded(self) -> tuple[np.ndarray, pa.Array]:
+        """The words as numbers of distinct ones."""
+        coded = pa.array(self.text.split(), pa.binary()).dictionary_encode()
+        return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
     def phrases(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """For each length: (length, starts, hashes) of the phrases that lie in a piece and end behind the known tokens.
+        """For each length: (length, starts, hashes) of the phrases that lie in a piece and end behind the known words.
 
         Then the hashes of their two parts, without the last word and without the first one; of single words these say nothing.
         """
-        starts = np.flatnonzero(self.is_word)
-        hashes = self.hashes[self.ids[starts]]
+        starts, hashes, rest = np.arange(len(self.hashes)), self.hashes, self.hashes
         shorter = hashes
         for n in range(1, longest + 1):
             if n > 1:
-                by_place = np.zeros(len(self.ids), np.uint64)
-                by_place[starts] = shorter = hashes
-                inside = starts + n - 1 < len(self.ids)
-                inside[inside] = self.is_word[starts[inside] + n - 1]
-                starts, shorter = starts[inside], hashes[inside]
-                hashes = _combined(shorter, self.hashes[self.ids[starts + n - 1]])
+                rest = np.zeros(len(self.hashes) + 1, np.uint64)
+                rest[starts] = hashes
+                inside = starts[: np.searchsorted(starts, len(self.hashes) - n + 1)]
+                whole = self.piece[inside] == self.piece[inside + n - 1]
+                starts, shorter = inside[whole], hashes[: len(inside)][whole]
+                hashes = _combined(shorter, self.hashes[starts + n - 1])
+                rest = rest[starts + 1]
             new = starts + n > self.known
-            rest = by_place[starts[new] + 1] if n > 1 else hashes[new]
-            yield n, starts[new], hashes[new], shorter[new], rest
+            if new.all():
+                yield n, starts, hashes, shorter, rest
+            else:
+                yield n, starts[new], hashes[new], shorter[new], rest[new]
 
     def counted(self, starts: np.ndarray, n: int) -> tuple[pa.Array, np.ndarray]:
         """The distinct phrases of ``n`` words at these places, and how often each is there."""
-        size = max(1, len(self.words))
+        ids, words = self.coded
+        size = max(1, len(words))
         if n == 1:
-            counts = np.bincount(self.ids[starts], minlength=size)
+            counts = np.bincount(ids[starts], minlength=size)
             codes = np.flatnonzero(counts)
-            return self.dictionary.take(pa.array(codes)), counts[codes]
-        codes = self.ids[starts]
+            return words.take(pa.array(codes)), counts[codes]
+        codes = ids[starts]
         for k in range(1, n):
             if size**n >= 1 << 62:
                 # Numbers of the distinct beginnings stay small.
                 _, codes = np.unique(codes, return_inverse=True)
-            codes = codes * size + self.ids[starts + k]
+            codes = codes * size + ids[starts + k]
         if size**n < 1 << 62:
             codes, counts = np.unique(codes, return_counts=True)
             columns = [codes // size ** (n - 1 - k) % size for k in range(n)]
         else:
             _, first, counts = np.unique(codes, return_index=True, return_counts=True)
-            columns = [self.ids[starts[first] + k] for k in range(n)]
-        return pc.binary_join_element_wise(*[self.dictionary.take(pa.array(c)) for c in columns], b" "), counts
+            columns = [ids[starts[first] + k] for k in range(n)]
+        return pc.binary_join_element_wise(*[words.take(pa.array(c)) for c in columns], b" "), counts
 
 
 def _blocks_of(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[Block]:

@@ -87,13 +87,17 @@ def spans(data: np.ndarray, ascii_space: bool = True) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(text: bytes, ascii_space: bool = True, fold: bool = True) -> np.ndarray:
-    """A 64-bit hash of each word, A-Z lower-cased unless ``fold`` is false.
+    """A 64-bit hash of each word, A-Z lower-cased unless ``fold`` is false."""
+    data = np.frombuffer(text.lower() if fold else text, np.uint8)
+    return hash_spans(data, *spans(data, ascii_space))
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes between each start and end, in order.
 
     A word's polynomial is a difference of prefix sums; they are taken block by block, so memory
     beyond the result does not grow with a text of ordinary words.
     """
-    data = np.frombuffer(text.lower() if fold else text, np.uint8)
-    starts, ends = spans(data, ascii_space)
     out = np.empty(len(starts), np.uint64)
     cuts = np.searchsorted(starts, np.arange(0, len(data) + BLOCK, BLOCK))
     for i, j in zip(cuts[:-1], cuts[1:], strict=True):

@@ -7,7 +7,8 @@ import pyarrow as pa
 import pytest
 
 from bookpipe.llm import phrases
-from bookpipe.llm.phrases import Block, Filter, collocations, frequent_phrases, gathered, word_hashes
+from bookpipe.llm.phrases import Block, Filter, collocations, frequent_phrases, gathered
+from bookpipe.llm.text import word_hashes
 
 
 def brute_counts(rows, longest):
@@ -112,11 +113,11 @@ def test_long_texts_are_counted_in_blocks(spark, monkeypatch):
 
 
 def test_more_words_than_numbers_hold():
-    block = Block("en", [b"w%d" % (i % 7) for i in range(100)], 0)
+    block = Block("en", b" ".join(b"w%d" % (i % 7) for i in range(100)), 0)
     starts = next(s for n, s, *_ in block.phrases(4) if n == 4)
     few = block.counted(starts, 4)
-    block.dictionary = pa.concat_arrays([block.dictionary, pa.array([b"unused"] * 70_000, pa.binary())])
-    block.words += [b"unused"] * 70_000
+    ids, words = block.coded
+    block.coded = ids, pa.concat_arrays([words, pa.array([b"unused"] * 70_000, pa.binary())])
     many = block.counted(starts, 4)
     assert dict(zip(few[0].to_pylist(), few[1].tolist(), strict=True)) == dict(zip(many[0].to_pylist(), many[1].tolist(), strict=True))
 
@@ -141,16 +142,16 @@ def test_exact_arithmetic(spark):
 
 
 def test_hashes_and_filter():
-    block = Block("en", [b"x", b"y", b"z", b".", b"x", b"y"], 0)
+    block = Block("en", b"x y z . x  y", 0)
     by_length = {n: (starts.tolist(), hashes, *parts) for n, starts, hashes, *parts in block.phrases(3)}
-    assert by_length[2][0] == [0, 1, 4] and by_length[3][0] == [0]
+    assert by_length[2][0] == [0, 1, 3] and by_length[3][0] == [0]
     pairs = by_length[2][1]
     assert pairs[0] == pairs[2] != pairs[1]
     assert by_length[3][2].tolist() == pairs[:1].tolist() and by_length[3][3].tolist() == pairs[1:2].tolist()
-    assert word_hashes("en", [b"x"]) != word_hashes("de", [b"x"])
-    put = word_hashes("en", [b"p%d" % i for i in range(1000)])
+    assert Block("de", b"x", 0).hashes != block.hashes[0] == Block("en", b" x", 0).hashes
+    put = word_hashes(b" ".join(b"p%d" % i for i in range(1000)))
     slots = np.zeros(1 << 10, np.uint64)
     for at in phrases._bits(put, 16):
         np.bitwise_or.at(slots, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
     known = Filter(16, slots)
-    assert known.holds(put).all() and known.holds(word_hashes("en", [b"q%d" % i for i in range(1000)])).mean() < 0.01
+    assert known.holds(put).all() and known.holds(word_hashes(b" ".join(b"q%d" % i for i in range(1000)))).mean() < 0.01
