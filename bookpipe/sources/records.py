@@ -48,6 +48,27 @@ MARKS_TYPE = ("file long, split long, end0 tinyint, end1 tinyint, start0 long, s
 PIECES_TYPE = "file long, owner long, split long, first boolean, windows boolean, value string"
 
 
+def _opens(line: Column) -> Column:
+    """Whether a line, by itself, leaves a quoted value open."""
+    return F.contains(line, F.lit('"')) & line.rlike(_OPENS)
+
+
+def plain(spark: SparkSession, path: str) -> bool:
+    """Whether every line of the files is a record, and one that Spark's reader of lines sees as it is.
+
+    That is: no quoted value holds a line break, no line has a carriage return, and no line has blanks alone, which that reader would leave out.
+    """
+    line = F.col("value")
+    other = _opens(line) | F.contains(line, F.lit("\r")) | line.rlike(r"^[\x00-\x20]+\z")
+    return not spark.read.text(path, lineSep="\n").agg(F.coalesce(F.bool_or(other), F.lit(False))).first()[0]
+
+
+def unsplit(spark: SparkSession, path: str) -> bool:
+    """Whether there are large files that cannot be split."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return not files.where(F.col("path").rlike(UNSPLIT) & (F.col("length") >= UNSPLIT_BYTES)).isEmpty()
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, split, code, value): what each line does to the state, and its text with the line end."""
     line = F.rtrim(F.col("value"), F.lit("\r"))
@@ -317,8 +338,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
             F.bool_or("first").alias("first"), F.bool_or("windows").alias("windows"),
             F.array_join(F.transform(ordered, lambda part: part["value"]), "").alias("value"))
         whole = whole.unionByName(joined.select(*PIECES.names[:2], F.lit(None).cast("long").alias("split"), *PIECES.names[3:]))
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    if not files.where(F.col("path").rlike(UNSPLIT) & (F.col("length") >= UNSPLIT_BYTES)).isEmpty():
+    if unsplit(spark, path):
         whole = whole.hint("rebalance")
     ended = F.when(F.col("windows"), F.regexp_replace("value", "\r+\n", "\n")).otherwise(F.col("value"))
     return whole.select("first", "windows", F.rtrim(ended, F.lit("\n")).alias("value"))

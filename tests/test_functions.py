@@ -82,3 +82,21 @@ def test_cut_to_millis(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == [m and m.replace(microsecond=m.microsecond // 1000 * 1000) for m in moments]
+
+
+def test_posted_dates_in_the_usual_form_and_beside_it(spark):
+    texts = ["Wed Nov 20 10:31:35 -0800 2013", "Wed Feb 29 23:59:59 +0000 2012", "Wed Feb 30 10:31:35 -0800 2013", "Wed Nov 20 24:00:00 -0800 2013",
+             "Wed Nov 20 10:31:60 -0800 2013", "Wed Nov 20 10:31:35 -0800 0013", " Wed  Nov 2 1:3:5 -0800 2013 more", "Wed Nox 20 10:31:35 -0800 2013", "", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.x for r in rows.select("i", parse_posted_date(F.col("t")).cast("string").alias("x")).collect()}
+    assert got == {0: "2013-11-20 10:31:35", 1: "2012-02-29 23:59:59", 2: None, 3: None, 4: None, 5: "0013-11-20 10:31:35",
+                   6: "2013-11-02 01:03:05", 7: None, 8: None, 9: None}
+
+
+def test_milliseconds_are_cut_without_decimals(spark):
+    moments = ["1969-12-31 23:59:59.999999", "0001-01-01 00:00:00.000001", "9999-12-31 23:59:59.999999", "2024-03-31 02:30:00.1234", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(moments)], "i int, t string").select("i", F.col("t").cast("timestamp_ntz").alias("t"))
+    cut = rows.select("i", cut_to_millis(F.col("t")).cast("string").alias("x"))
+    assert "decimal" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.i: r.x for r in cut.collect()} == {0: "1969-12-31 23:59:59.999", 1: "0001-01-01 00:00:00", 2: "9999-12-31 23:59:59.999",
+                                                 3: "2024-03-31 02:30:00.123", 4: None}

@@ -321,3 +321,18 @@ def test_landing_report_of_relative_and_qualified_folders(spark, tmp_path, monke
     for landing in (str(tmp_path / "land it"), f"file:{tmp_path}/land it/", f"file://{tmp_path}/land it"):
         found = {row.source: row.selected for row in landing_report(spark, landing).collect()}
         assert len(found) == 31 and [name for name, selected in found.items() if selected] == ["book.csv"]
+
+
+def test_files_without_line_breaks_in_values_are_read_by_the_reader_of_lines(spark, tmp_path, small_splits):
+    texts = [text for text in NASTY if "\n" not in text and text.strip()]
+    path = tmp_path / "reviews.csv"
+    path.write_text(csv_text([("review_id", "review_text", "spoiler_state"), *((i, text, 'q"q') for i, text in enumerate(texts))]) + "\n\n7,short\n")
+    small_splits(100)
+    df = read_raw(spark, str(path), REVIEWS)
+    assert "FileScan csv" in executed(df) and "MapInArrow" not in executed(df)
+    assert bag(df) == bag(read_raw(spark, str(path), REVIEWS, large=False)) and df.count() == len(texts) + 1
+    # Blanks alone are a record, and a carriage return may end a line.
+    for more in (b"  \n", b"8,x,y\r\n", b'8,"x\ny",z\n'):
+        path.write_bytes(b"review_id,review_text,spoiler_state\n1,a,b\n" + more)
+        df = read_raw(spark, str(path), REVIEWS)
+        assert "FileScan csv" not in executed(df) and df.count() == 2

@@ -450,3 +450,22 @@ def test_processed_csv_folders_do_not_pile_up(spark, zones, tmp_path):
 def test_layouts_are_kept(spark, database):
     table = open_users(spark, database)
     assert spark.table(table.table).schema == StructType(USERS.warehouse.fields)
+
+
+def test_marks_are_grouped_by_hash_with_all_days(spark, database):
+    table = open_reviews(spark, database)
+    marks = table._marks(reviews(spark, [(1, "a", 1), (2, "a", 1), (2, "b", 5), (3, "a", 1), (3, "b", 3), (3, "c", 4)]))
+    assert "ObjectHashAggregate" not in plan_of(marks) and "SortAggregate" not in plan_of(marks)
+    first = (datetime(2024, 1, 1) - datetime(1970, 1, 1)).days
+    days = {row.key: [day - first for day in row.days] for row in marks.collect()}
+    assert days == {1: [0], 2: [0, 4], 3: [0, 1, 2, 3]}
+    dateless = reviews(spark, [(1, "a", 1)]).unionByName(reviews(spark, [(1, "b", 1), (2, "c", 1)]).withColumn("record_date", F.lit(None).cast("date")))
+    assert {row.key: row.days for row in table._marks(dateless).collect()} == {1: [first, versions.NO_DAY], 2: [versions.NO_DAY]}
+
+
+def test_parts_of_near_and_far_keys(spark):
+    keys = [-(1 << 63), -(1 << 61) - 1, -8, -7, -1, 0, 6, 7, (1 << 61) + 1, (1 << 63) - 1]
+    rows = spark.createDataFrame([(key,) for key in keys], "key long")
+    for origin, span in ((0, 7), (-3, 7), ((1 << 62), 5), (5, 10**18)):
+        got = {row.key: row.part for row in rows.select("key", versions.VersionedTable._part_of(F.col("key"), origin, span).alias("part")).collect()}
+        assert got == {key: (key - origin) // span for key in keys if -(1 << 63) <= (key - origin) // span < 1 << 63}
