@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from bookpipe.llm.text import emit, store, texts
 
-# Words that the exchange places, words that get the best of these classes after it, and words whose
-# counts go to every task. All three are the most frequent ones; the rest are looked up by a join.
+# Words that the exchange places, words that get the best of these classes in matrices after it, and words that go
+# to every task. All three are the most frequent ones. The rest get the best class by grouping, and are looked up by joins.
 EXCHANGED, CLASSED, HEAD = 512, 8_192, 100_000
 CLASSES, SWEEPS, DISCOUNT = 32, 8, 0.75
 # No word holds a blank, so a line feed can stand for the end of a text.
@@ -23,11 +23,15 @@ END = b"\n"
 FLUSH = 200_000
 
 COUNTED = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+PLACED = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("class", pa.int32())])
+SLOTS = pa.schema([("word", pa.binary()), ("slot", pa.int32()), ("n", pa.int64())])
+STEPS = pa.schema([("word", pa.binary()), ("other", pa.binary()), ("slot", pa.int32()), ("n", pa.int64())])
 PAIRED = pa.schema([("side", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())])
 SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()),
-                    ("base", pa.float64()), ("score", pa.float64()), ("tail", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))])
+                    ("base", pa.float64()), ("score", pa.float64()),
+                    ("tail", pa.list_(pa.struct([("word", pa.binary()), ("at", pa.int32()), ("before", pa.int32()), ("after", pa.int32())])))])
 SCORED_TYPE = ("row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, "
-               "tail array<struct<word: binary, n: long>>")
+               "tail array<struct<word: binary, at: int, before: int, after: int>>")
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -92,6 +96,107 @@ def _matrices(docs: DataFrame, codes: dict[bytes, int], sides: list[tuple[np.nda
     return out
 
 
+def _slots(codes: dict[bytes, int], label: np.ndarray, k: int):
+    """Count the classes before (0 to k-1) and after (k to 2k-1) each word that has no code, in parts of bounded size."""
+    end = label[codes[END]]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: dict[bytes, int] = {}
+        keys: list[np.ndarray] = []
+        sums, held = (np.zeros(0, np.int64), np.zeros(0, np.int64)), 0
+
+        def merged():
+            found, n = np.unique(np.concatenate(keys), return_counts=True)
+            both, place = np.unique(np.concatenate((sums[0], found)), return_inverse=True)
+            total = np.zeros(len(both), np.int64)
+            np.add.at(total, place, np.concatenate((sums[1], n)))
+            keys.clear()
+            return both, total
+
+        def rows():
+            words = pa.array(list(ids), pa.binary()).take(pa.array(sums[0] // (2 * k)))
+            return pa.RecordBatch.from_arrays([words, pa.array(sums[0] % (2 * k), pa.int32()), pa.array(sums[1])], schema=SLOTS)
+
+        for batch in batches:
+            for text in texts(batch):
+                words = tokens(text)
+                found = np.array([codes.get(w, -1) for w in words])
+                at = np.flatnonzero(found < 0)
+                if len(at):
+                    classes = label[found]
+                    word = np.array([ids.setdefault(words[i], len(ids)) for i in at.tolist()], np.int64) * (2 * k)
+                    keys += [word + np.concatenate(([end], classes[:-1]))[at], word + k + classes[at + 1]]
+                    held += 2 * len(at)
+                if held >= 2 * FLUSH or len(ids) >= FLUSH:
+                    sums, held = merged() if keys else sums, 0
+                    if len(ids) >= FLUSH or len(sums[0]) >= 4 * FLUSH:
+                        yield rows()
+                        ids, sums = {}, (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if keys:
+            sums = merged()
+        if len(sums[0]):
+            yield rows()
+    return run
+
+
+def _best(weights: np.ndarray, k: int):
+    """The class of each word that its slots make likeliest, and how often it occurs. Weights are whole numbers, so sums do not depend on their order."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for low in range(0, whole.num_rows, 1_000):
+                batch = whole.slice(low, 1_000)
+                lists = batch.column("slots")
+                starts = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))[:-1]
+                slot, n = (lists.flatten().field(name).to_numpy() for name in ("slot", "n"))
+                values = np.add.reduceat(weights[slot] * n[:, None], starts)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("word"), pa.array(np.add.reduceat(np.where(slot < k, n, 0), starts)),
+                    pa.array(values.argmax(1), pa.int32())], schema=PLACED)
+    return run
+
+
+def _steps(shared, k: int):
+    """Count neighbours: (null, null, a * k + b) of classes; (word, null, class before, or k + class after) of a word that tasks do not know; (word, next word, null) of two."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, classes = shared.value
+        total, counts, end = np.zeros(k * k, np.int64), Counter(), classes[0]
+        for batch in batches:
+            for text in texts(batch):
+                words = tokens(text)
+                found = np.array([codes.get(w, -1) for w in words])
+                label = np.where(found >= 0, classes[found], -1)
+                before = np.concatenate(([end], label[:-1]))
+                total += np.bincount((before * k + label)[(before >= 0) & (label >= 0)], minlength=len(total))
+                for i in np.flatnonzero(label < 0).tolist():
+                    if before[i] >= 0:
+                        counts[words[i], None, int(before[i])] += 1
+                    counts[(words[i], None, k + int(label[i + 1])) if label[i + 1] >= 0 else (words[i], words[i + 1], None)] += 1
+                if len(counts) >= FLUSH:
+                    yield emit(STEPS, [*zip(*counts, strict=True), list(counts.values())])
+                    counts.clear()
+        if counts:
+            yield emit(STEPS, [*zip(*counts, strict=True), list(counts.values())])
+        seen = np.flatnonzero(total)
+        if len(seen):
+            yield emit(STEPS, [[None] * len(seen), [None] * len(seen), seen.astype(np.int32), total[seen]])
+    return run
+
+
+def _transitions(spark: SparkSession, source: DataFrame, head: dict[bytes, int], classes: np.ndarray, placed: DataFrame, k: int) -> np.ndarray:
+    """How often a class follows another one, over all neighbours."""
+    rows = store(spark, source.mapInArrow(_steps(spark.sparkContext.broadcast((head, classes)), k), "word binary, other binary, slot int, n long"))
+    out, place = np.zeros((k, k), np.int64), placed.select("word", "class")
+    n = F.sum("n").alias("n")
+    for slot, times in rows.where("word IS NULL").groupBy("slot").agg(n).collect():
+        out[slot // k, slot % k] += times
+    for c, slot, times in rows.where("word IS NOT NULL AND other IS NULL").join(place, "word").groupBy("class", "slot").agg(n).collect():
+        out[(slot, c) if slot < k else (c, slot - k)] += times
+    both = rows.where("other IS NOT NULL").join(place, "word").select("class", "other", "n")
+    for c, d, times in both.join(place.toDF("other", "next"), "other").groupBy("class", "next").agg(n).collect():
+        out[c, d] += times
+    return out
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
 
@@ -152,6 +257,7 @@ class ClassModel:
     classes: np.ndarray  # by number; ``rest`` without a class of its own
     log_step: np.ndarray  # log10 P(class | class before)
     log_emit: np.ndarray  # log10 P(word | class), by number
+    room: np.ndarray  # tokens of each class that are left to its words by discounting
     rest_tokens: int
     rest_types: int
 
@@ -168,34 +274,48 @@ class ClassModel:
         return np.log10(np.where(count > 0, count - DISCOUNT, DISCOUNT * self.rest_types + 1) / (self.rest_tokens + 1))
 
 
-def class_model(counts: list[tuple[bytes, int]], train_tokens: int, types: int, classes: np.ndarray, transitions: np.ndarray) -> ClassModel:
-    """Smooth transitions by discounting towards the classes' shares; emission is a word's share of its class."""
+def class_model(counts: list[tuple[bytes, int]], train_tokens: int, types: int, classes: np.ndarray, transitions: np.ndarray,
+                more: np.ndarray | None = None) -> ClassModel:
+    """Smooth transitions by discounting towards the classes' shares; emission is a word's share of its class.
+
+    ``more`` has the tokens and types by class of words that are not in ``counts``. Discounting the words of a class frees a share of the
+    steps into it, which are steps into the rest: a word that was not seen is there.
+    """
     numbers = np.array([n for _, n in counts], np.int64)
     rest = len(transitions) - 2
     inside = classes != rest
-    rest_tokens, rest_types = train_tokens - int(numbers[inside].sum()), types - int(inside.sum())
+    more = np.zeros((2, len(transitions)), np.int64) if more is None else more
+    mass = np.bincount(classes, numbers, minlength=len(transitions)) + more[0]
+    kinds = np.bincount(classes[numbers > 0], minlength=len(transitions)) + more[1]
+    rest_tokens, rest_types = train_tokens - int(np.delete(mass, rest).sum()), types - int(np.delete(kinds, rest).sum())
     into = transitions.sum(0)
     share = (into + 1) / (into.sum() + len(into))
     total = transitions.sum(1, keepdims=True)
     seen = (transitions > 0).sum(1, keepdims=True)
     step = np.where(total > 0, (np.maximum(transitions - DISCOUNT, 0) + DISCOUNT * seen * share) / np.maximum(total, 1), share)
-    mass = np.bincount(classes, numbers, minlength=len(transitions))
-    model = ClassModel(train_tokens, types, {w: i for i, (w, _) in enumerate(counts)}, numbers, classes, np.log10(step), np.zeros(0), rest_tokens, rest_types)
-    emission = np.where(inside, np.log10(np.maximum(numbers, 1) / np.maximum(mass[classes], 1)), model.emit_rest(numbers))
+    free = DISCOUNT * kinds / np.maximum(mass, 1)
+    free[rest] = 0
+    freed = step * free
+    step = step - freed
+    step[:, rest] += freed.sum(1)
+    room = np.maximum(mass - DISCOUNT * kinds, DISCOUNT)
+    model = ClassModel(train_tokens, types, {w: i for i, (w, _) in enumerate(counts)}, numbers, classes, np.log10(step), np.zeros(0), room,
+                       rest_tokens, rest_types)
+    emission = np.where(inside, np.log10(np.maximum(numbers - DISCOUNT, 1 - DISCOUNT) / room[classes]), model.emit_rest(numbers))
     return ClassModel(**{**model.__dict__, "log_emit": emission})
 
 
 def learn(spark: SparkSession, docs: DataFrame) -> tuple[ClassModel, DataFrame]:
-    """Model and all word counts (word, n) of the texts of ``docs``. Without rows nothing is known."""
+    """Model and (word, n, class) of the words that no matrix has placed, of the texts of ``docs``. Without rows nothing is known."""
     source = docs.select(F.col("text").cast("string").alias("text"))
     counts = store(spark, source.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     train_tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = [(bytes(r.word), r.n) for r in counts.filter(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(HEAD).collect()]
+    first = [(bytes(r.word), r.n) for r in counts.filter(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(min(CLASSED, HEAD)).collect()]
     ends = counts.filter(F.col("word") == F.lit(END)).select("n").first()
-    head = [(END, ends[0] if ends else 0), *head]
+    first = [(END, ends[0] if ends else 0), *first]
     # Number 0 is the end. Exchange: words 1 to EXCHANGED, then the rest, then the end.
-    m = min(EXCHANGED, len(head) - 1)
-    codes = {w: i for i, (w, _) in enumerate(head[: CLASSED + 1])}
+    m = min(EXCHANGED, len(first) - 1)
+    codes = {w: i for i, (w, _) in enumerate(first)}
     c = len(codes)
     place = np.full(c + 1, m, np.int64)
     place[: m + 1] = [m + 1, *range(m)]
@@ -203,48 +323,72 @@ def learn(spark: SparkSession, docs: DataFrame) -> tuple[ClassModel, DataFrame]:
     rest, end, k = CLASSES, CLASSES + 1, CLASSES + 2
     label = np.full(c + 1, rest, np.int64)
     label[: m + 1] = [end, *found[:m]]
-    if c > m + 1:
-        # Later words: the class that makes the classes of their neighbours likeliest.
-        n = c - m - 1
-        later = np.full(c + 1, -1, np.int64)
-        later[m + 1 : c] = np.arange(n)
-        known, after, before = _matrices(source, codes, [(label, label), (label, later), (later, label)], [(k, k), (k, n), (n, k)])
-        smooth = known + 0.5
-        step = np.log(smooth / smooth.sum(1, keepdims=True))[:CLASSES]
-        back = np.log(smooth / smooth.sum(0, keepdims=True))[:, :CLASSES]
+    # Later words: the class that makes the classes of their neighbours likeliest.
+    n, exchanged = c - m - 1, label.copy()
+    later = np.full(c + 1, -1, np.int64)
+    later[m + 1 : c] = np.arange(n)
+    sides, shapes = [(label, label)], [(k, k)]
+    if n:
+        sides, shapes = [*sides, (label, later), (later, label)], [*shapes, (k, n), (n, k)]
+    known, *around = _matrices(source, codes, sides, shapes)
+    smooth = known + 0.5
+    step = np.log(smooth / smooth.sum(1, keepdims=True))[:CLASSES]
+    back = np.log(smooth / smooth.sum(0, keepdims=True))[:, :CLASSES]
+    if n:
+        after, before = around
         label[m + 1 : c] = (before @ step.T + after.T @ back).argmax(1)
-    known = _matrices(source, codes, [(label, label)], [(k, k)])[0]
-    classes = np.concatenate((label[:c], np.full(len(head) - c, rest, np.int64)))
-    return class_model(head, train_tokens, types, classes, known), counts
-
-
-def score_text(model: ClassModel, text: bytes) -> tuple[int, int, float, float, list[tuple[bytes, int]]]:
-    """(tokens, known, base, score, tail): sums over the head words, and the other words, which the counts decide."""
+    # The same for all others, whose number is not bounded: their neighbours are grouped by word.
+    weights = np.rint(np.vstack((back, step.T)) * (1 << 20)).astype(np.int64)
+    slots = source.mapInArrow(_slots(codes, exchanged, k), "word binary, slot int, n long").repartition("word").groupBy("word", "slot").agg(F.sum("n").alias("n"))
+    placed = store(spark, slots.groupBy("word").agg(F.collect_list(F.struct("slot", "n")).alias("slots")).mapInArrow(
+        _best(weights, k), "word binary, n long, class int"))
+    head, classes = list(first), label[:c].tolist()
+    if len(head) <= HEAD:
+        for r in placed.orderBy(F.desc("n"), "word").limit(HEAD + 1 - len(head)).collect():
+            head.append((bytes(r.word), r.n))
+            classes.append(r[2])
+    classes = np.array(classes, np.int64)
+    more = np.zeros((2, k), np.int64)
+    for label_, tokens_, types_ in placed.groupBy("class").agg(F.sum("n"), F.count("*")).collect():
+        more[:, label_] = tokens_, types_
+    numbers = np.array([x for _, x in head[c:]], np.int64)
+    more -= np.array([np.bincount(classes[c:], numbers, minlength=k), np.bincount(classes[c:], minlength=k)]).astype(np.int64)
+    known = _transitions(spark, source, {w: i for i, (w, _) in enumerate(head)}, classes, placed, k)
+    return class_model(head, train_tokens, types, classes, known, more), placed
+
+
+def score_text(model: ClassModel, text: bytes) -> tuple[int, int, float, float, list[tuple[bytes, int, int, int]]]:
+    """(tokens, known, base, score, tail): sums over the head words and the steps between them.
+
+    The tail has the other words with their places and the classes before and after, -1 where that is another such word.
+    """
     words = tokens(text)
     code = model.head.get
     ids = np.array([code(w, -1) for w in words])
-    classes = np.where(ids >= 0, model.classes[ids], model.rest)
+    classes = np.where(ids >= 0, model.classes[ids], -1)
     before = np.concatenate(([model.classes[0]], classes[:-1]))
     inside = ids[ids >= 0]
     counts = model.counts[inside]
-    base, score = model.base(counts).sum(), model.log_step[before, classes].sum() + model.log_emit[inside[counts > 0]].sum()
+    near = (before >= 0) & (classes >= 0)
+    base, score = model.base(counts).sum(), model.log_step[before[near], classes[near]].sum() + model.log_emit[inside[counts > 0]].sum()
     unseen = int((counts == 0).sum())  # the end, if there was no training text
-    tail = Counter(words[i] for i in np.flatnonzero(ids < 0).tolist())
-    return len(words), len(inside) - unseen, float(base), float(score + unseen * model.emit_rest(0)), list(tail.items())
+    at = np.flatnonzero(ids < 0)
+    tail = list(zip([words[i] for i in at.tolist()], at.tolist(), before[at].tolist(), classes[at + 1].tolist(), strict=True))
+    return len(words), len(inside) - unseen, float(base), float(score + unseen * model.emit_rest(0)), tail
 
 
 def _score(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, row = shared.value, TaskContext.get().partitionId() << 40
         for batch in batches:
-            out: list[tuple] = []
+            out, held = [], 0
             for doc_id, held_out, text in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), texts(batch), strict=True):
                 *sums, tail = score_text(model, text)
-                out.append((row, doc_id, held_out, *sums, [{"word": w, "n": n} for w, n in tail]))
-                row += 1
-                if len(out) >= 1_000:
+                out.append((row, doc_id, held_out, *sums, tail))
+                row, held = row + 1, held + len(tail)
+                if len(out) >= 1_000 or held >= FLUSH:
                     yield emit(SCORED, zip(*out, strict=True))
-                    out = []
+                    out, held = [], 0
             if out:
                 yield emit(SCORED, zip(*out, strict=True))
     return run
@@ -253,24 +397,38 @@ def _score(shared):
 def score(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
     """Learn from the rows that are not ``held_out`` and score every whole text.
 
-    The classes come from an exchange over the most frequent words; a text's probability is the product
-    of class transitions and word emissions. Rarer words are one class, whose words' counts are found by
-    a join; unseen words together are one type with the mass that discounting frees.
+    The classes come from an exchange over the most frequent words; each other word gets the one that its neighbours make likeliest. A
+    text's probability is the product of class transitions and word emissions. The counts and classes of rarer words are found by a join;
+    unseen words together are one type, in a class of its own, with the mass that discounting frees.
 
     One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
     unigrams) and score, both log10. Null is an empty text, which is its end alone. Repeated rows are
     scored each; a doc_id may be null. Other columns are ignored; an empty table gives no row.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
-    model, counts = learn(spark, source.filter(~F.col("held_out")))
+    model, placed = learn(spark, source.filter(~F.col("held_out")))
     rows = store(spark, source.mapInArrow(_score(spark.sparkContext.broadcast(model)), SCORED_TYPE))
-    tail = rows.select("row", F.explode("tail").alias("t")).select("row", "t.word", F.col("t.n").alias("times"))
-    n = F.coalesce(F.col("n"), F.lit(0))
+    tail = rows.select("row", F.explode("tail").alias("t")).select("row", "t.*")
+    k = len(model.log_step)
+    n, place = F.coalesce(F.col("n"), F.lit(0)), F.coalesce(F.col("class"), F.lit(model.rest))
+    steps, room = F.lit(model.log_step.ravel().tolist()), F.lit(model.room.tolist())
+
+    def step(a: Column, b: Column) -> Column:
+        return F.element_at(steps, a * k + b + 1)
+
     base = F.log10((n + 1) / F.lit(float(model.train_tokens + model.types + 1)))
-    emission = F.log10(F.when(n > 0, n - DISCOUNT).otherwise(F.lit(DISCOUNT * model.rest_types + 1)) / F.lit(float(model.rest_tokens + 1)))
-    sums = tail.join(counts, "word", "left").groupBy("row").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(F.lit(0))).alias("tail_known"), F.sum(F.col("times") * base).alias("tail_base"),
-        F.sum(F.col("times") * emission).alias("tail_score"))
+    emission = F.when(n > 0, F.log10((n - DISCOUNT) / F.element_at(room, place + 1))).otherwise(F.lit(float(model.emit_rest(0))))
+    beside = F.when(F.col("before") >= 0, step(F.col("before"), place)).otherwise(0.0) + F.when(F.col("after") >= 0, step(place, F.col("after"))).otherwise(0.0)
+    # Steps between two such words are found from their places.
+    alone = (F.col("before") >= 0) & (F.col("after") >= 0)
+    sums = tail.join(placed, "word", "left").groupBy("row").agg(
+        F.count_if(n > 0).alias("tail_known"), F.sum(base).alias("tail_base"), F.sum(emission + beside).alias("tail_score"),
+        F.array_sort(F.collect_list(F.when(~alone, F.struct("at", place.alias("class"))))).alias("near"))
+    inner = F.aggregate(
+        F.zip_with(F.slice("near", 1, F.greatest(F.size("near") - 1, F.lit(0))), F.slice("near", 2, F.greatest(F.size("near") - 1, F.lit(0))),
+                   lambda x, y: F.when(y["at"] == x["at"] + 1, step(x["class"], y["class"])).otherwise(0.0)),
+        F.lit(0.0), lambda total, x: total + x)
+    sums = sums.select("row", "tail_known", "tail_base", (F.col("tail_score") + inner).alias("tail_score"))
     more = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("tail_known", "tail_base", "tail_score")}
     return rows.drop("tail").join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + more["tail_known"]).alias("n_known"), F.lit(int(model.train_tokens)).cast("long").alias("train_tokens"),

@@ -182,3 +182,23 @@ def test_exchange_finds_planted_classes():
         last = word
     label = scoring.exchange(pairs, fixed=1, classes=3)
     assert label[-1] == 3 and all(len({label[w] for w in range(k, words, kinds)}) == 1 for k in range(kinds)) and len(set(label[:words])) == 3
+
+
+def test_words_beyond_the_matrices_get_classes_too(spark, monkeypatch):
+    """Scores do not depend on which words the tasks know or which are placed by matrices."""
+    from bookpipe.llm.text import held_out
+    r = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{int(j)}" for j in r.zipf(1.4, 60) % 70)) for i in range(80)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(scoring, "EXCHANGED", 8)
+    found = []
+    for classed, head in ((1_000, 1_000), (10, 1_000), (10, 20), (8, 8)):
+        monkeypatch.setattr(scoring, "CLASSED", classed)
+        monkeypatch.setattr(scoring, "HEAD", head)
+        found.append({x.doc_id: (x.n_known, x.score) for x in scoring.score(spark, frame, held_out(7, 2)).collect()})
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        assert all(other[i][0] == found[0][i][0] and other[i][1] == pytest.approx(found[0][i][1], rel=1e-9) for i in other)
+    _, placed = scoring.learn(spark, frame)
+    words = {w for _, text in rows for w in text.split()}
+    assert placed.count() == len(words) - 8 and placed.filter(f"class NOT BETWEEN 0 AND {scoring.CLASSES - 1}").isEmpty()
