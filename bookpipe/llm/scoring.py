@@ -2,199 +2,274 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bookpipe.llm.text import emit, store, texts
+from bookpipe.llm.text import emit, store
 
-# Words that the exchange places, words that get the best of these classes in matrices after it, and words that go
-# to every task. All three are the most frequent ones. The rest get the best class by grouping, and are looked up by joins.
+# Words that the exchange places, words whose neighbours each task counts in a matrix, and words that go
+# to every task. All three are the most frequent ones. The rest, whose number is not bounded, are grouped by word.
 EXCHANGED, CLASSED, HEAD = 512, 8_192, 100_000
 CLASSES, SWEEPS, DISCOUNT = 32, 8, 0.75
 # No word holds a blank, so a line feed can stand for the end of a text.
 END = b"\n"
-FLUSH = 200_000
+# Bytes of text, and tokens, that a task works on at once (more if a text is longer); counts that it holds; rows of a matrix that are summed together.
+BYTES, FLUSH, ROWS = 1 << 23, 1 << 20, 256
 
 COUNTED = pa.schema([("word", pa.binary()), ("n", pa.int64())])
-PLACED = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("class", pa.int32())])
-SLOTS = pa.schema([("word", pa.binary()), ("slot", pa.int32()), ("n", pa.int64())])
-STEPS = pa.schema([("word", pa.binary()), ("other", pa.binary()), ("slot", pa.int32()), ("n", pa.int64())])
-PAIRED = pa.schema([("side", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())])
+CODED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("ids", pa.binary()), ("tail", pa.binary())])
+CODED_TYPE = "row long, doc_id long, held_out boolean, ids binary, tail binary"
+SUMS = pa.schema([("block", pa.int64()), ("cells", pa.binary()), ("n", pa.binary())])
+SUMS_TYPE = "block long, cells binary, n binary"
+CHOSEN = pa.schema([("code", pa.int64()), ("class", pa.int32())])
+MET_TYPE = "word binary, row long, at int, held_out boolean, before int, after int"
+PLACED_TYPE = "word binary, n long, class int, row long, at int, held_out boolean, before int, after int"
 SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()),
-                    ("base", pa.float64()), ("score", pa.float64()),
-                    ("tail", pa.list_(pa.struct([("word", pa.binary()), ("at", pa.int32()), ("before", pa.int32()), ("after", pa.int32())])))])
-SCORED_TYPE = ("row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, "
-               "tail array<struct<word: binary, at: int, before: int, after: int>>")
+                    ("base", pa.float64()), ("score", pa.float64())])
+SCORED_TYPE = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double"
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words between ASCII blanks with A-Z lower-cased, then the end."""
-    words = text.lower().split()
-    words.append(END)
-    return words
+def _ranges(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``most`` units; the units of row i end at ``ends[i]``."""
+    cuts = np.flatnonzero(np.diff((ends - 1) // most)) + 1
+    yield from zip([0, *cuts.tolist()], [*cuts.tolist(), len(ends)], strict=True)
+
+
+def _words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words between ASCII blanks of all texts, with A-Z lower-cased, and where those of each text end. Null is an empty text."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(column.fill_null("")))
+    flat, ends = parts.flatten(), np.cumsum(parts.value_lengths().to_numpy(), dtype=np.int64)
+    full = pc.greater(pc.binary_length(flat), 0)  # blanks at the ends of a text leave empty words
+    if not pc.all(full, min_count=0).as_py():
+        ends = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False), dtype=np.int64)))[ends]
+        flat = flat.filter(full)
+    return flat, ends
+
+
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray]]:
+    """Rows of bounded size with their words."""
+    for batch in batches:
+        if batch.num_rows:
+            sizes = pc.binary_length(batch.column("text").fill_null("")).to_numpy()
+            for low, high in _ranges(np.cumsum(sizes, dtype=np.int64), BYTES):
+                part = batch.slice(low, high - low)
+                yield part, *_words(part.column("text"))
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of this task's words, in parts of bounded size."""
-    counts: Counter[bytes] = Counter()
+    """Counts of this task's words and ends, in parts of bounded size."""
+    held, size, ends = [], 0, 0
+
+    def rows():
+        table = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+        for batch in table.combine_chunks().to_batches():
+            yield emit(COUNTED, [batch.column("word").cast(pa.binary()), batch.column("n_sum")])
+
+    for part, flat, _ in _texts(batches):
+        found = pc.value_counts(flat)
+        held.append(pa.table({"word": found.field(0), "n": found.field(1)}))
+        size, ends = size + len(found), ends + part.num_rows
+        if size >= FLUSH:
+            yield from rows()
+            held, size = [], 0
+    if size:
+        yield from rows()
+    if ends:
+        yield emit(COUNTED, [[END], [ends]])
+
+
+def _code(shared):
+    """Each text as the numbers of its words, -1 for those that ``shared`` does not have, then the end's 0; and these other words, joined by blanks."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, row = pa.array(shared.value, pa.binary()).cast(pa.string(), safe=False), TaskContext.get().partitionId() << 40
+        for part, flat, ends in _texts(batches):
+            known = head if flat.type == head.type else head.cast(flat.type, safe=False)
+            code = pc.index_in(flat, value_set=known).fill_null(-1).to_numpy()
+            other = code < 0
+            places = np.concatenate(([0], np.cumsum(other)))[np.concatenate(([0], ends))]
+            tail = pc.binary_join(pa.ListArray.from_arrays(pa.array(places, pa.int32()), flat.filter(pa.array(other))), pa.scalar(" ", flat.type))
+            ids = np.insert(code.astype(np.int32), ends, 0)
+            places = np.concatenate(([0], 4 * (ends + np.arange(1, len(ends) + 1)))).astype(np.int32)
+            blobs = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(places), pa.py_buffer(ids)])
+            rows = np.arange(row, row + len(ends))
+            row += len(ends)
+            yield emit(CODED, [rows, part.column("doc_id"), part.column("held_out"), blobs, tail.cast(pa.binary())])
+    return run
+
+
+def _coded(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows of bounded size with the numbers of their words, one text after another, and where each text ends."""
     for batch in batches:
-        for text in texts(batch):
-            counts.update(tokens(text))
-            if len(counts) >= FLUSH:
-                yield emit(COUNTED, [list(counts), list(counts.values())])
-                counts.clear()
-    if counts:
-        yield emit(COUNTED, [list(counts), list(counts.values())])
+        if batch.num_rows:
+            column = batch.column("ids").cast(pa.large_binary())
+            places = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset) // 4
+            ids = np.frombuffer(column.buffers()[2], np.int32, places[-1])
+            for low, high in _ranges(places[1:] - places[0], FLUSH):
+                yield batch.slice(low, high - low), ids[places[low] : places[high]], places[low + 1 : high + 1] - places[low]
 
 
-def _pairs(codes: dict[bytes, int], rest: int, sides: list[tuple[np.ndarray, np.ndarray]]):
-    """Count (left[a], right[b]) over neighbours a, b, for each pair of sides.
+# Sums over cells of matrices: a task sends a row for each block of cells that it has met.
 
-    ``codes`` numbers the words, others are ``rest``. A value of -1 is not counted. A text begins after an end.
-    """
-    shapes = [(int(left.max()) + 1, int(right.max()) + 1) for left, right in sides]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = [np.zeros(rows * columns, np.int64) for rows, columns in shapes]
-        code, end = codes.get, codes[END]
-        held = [end]
+def _blocks(cells: np.ndarray, n: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+    """Counts of distinct cells in ascending order, by block."""
+    block = cells // width
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(cells)] if len(cells) else [0]
+    rows = [(int(block[i]), (cells[i:j] - block[i] * width).astype(np.int32).tobytes(), n[i:j].astype(np.int64).tobytes())
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+    if rows:
+        yield emit(SUMS, zip(*rows, strict=True))
 
-        def add():
-            ids = np.array(held)
-            for total, (left, right), (_, columns) in zip(totals, sides, shapes, strict=True):
-                a, b = left[ids[:-1]], right[ids[1:]]
-                total += np.bincount((a * columns + b)[(a >= 0) & (b >= 0)], minlength=len(total))
-            del held[:-1]
 
+def _sums(width: int, finish: Callable):
+    """Add up the rows of each block. ``finish`` makes batches of a block's number and its sums."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            for text in texts(batch):
-                held.extend([code(w, rest) for w in tokens(text)])  # its end precedes the next text
-                if len(held) >= FLUSH:
-                    add()
-        add()
-        for side, (total, (_, columns)) in enumerate(zip(totals, shapes, strict=True)):
-            found = np.flatnonzero(total)
-            if len(found):
-                yield emit(PAIRED, [np.full(len(found), side, np.int32), (found // columns).astype(np.int32), (found % columns).astype(np.int32), total[found]])
+            for block, cells, n in zip(*(batch.column(name).to_pylist() for name in SUMS.names), strict=True):
+                total = totals.setdefault(block, np.zeros(width, np.int64))
+                total[np.frombuffer(cells, np.int32)] += np.frombuffer(n, np.int64)
+        for block, total in totals.items():
+            yield from finish(block, total)
     return run
 
 
-def _matrices(docs: DataFrame, codes: dict[bytes, int], sides: list[tuple[np.ndarray, np.ndarray]], shapes: list[tuple[int, int]]) -> list[np.ndarray]:
-    """Sums of the pair counts of all tasks; their number is bounded by the shapes."""
-    run = _pairs(codes, len(codes), sides)
-    rows = docs.mapInArrow(run, "side int, a int, b int, n long").groupBy("side", "a", "b").agg(F.sum("n").alias("n")).toPandas()
-    out = [np.zeros(shape, np.int64) for shape in shapes]
-    for side, found in rows.groupby("side"):
-        out[side][found["a"].to_numpy(int), found["b"].to_numpy(int)] = found["n"].to_numpy(np.int64)
-    return out
+def _matrix(training: DataFrame, label: np.ndarray, k: int) -> np.ndarray:
+    """How often ``label`` b follows a, over all neighbours; -1 is not counted. ``label`` is by number, last for other words. A text begins after an end."""
+    width = ROWS * k
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(k * k, np.int64)
+        for _, ids, _ in _coded(batches):
+            right = label[ids]
+            left = np.concatenate((label[:1], right[:-1]))
+            pairs = left * k + right
+            total += np.bincount(pairs if label.min() >= 0 else pairs[(left >= 0) & (right >= 0)], minlength=k * k)
+        cells = np.flatnonzero(total)
+        yield from _blocks(cells, total[cells], width)
+
+    def whole(block: int, total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        cells = np.flatnonzero(total)
+        yield from _blocks(cells + block * width, total[cells], width)
 
+    out = np.zeros(-(-k // ROWS) * width, np.int64)
+    for block, cells, n in training.mapInArrow(run, SUMS_TYPE).repartition("block").mapInArrow(_sums(width, whole), SUMS_TYPE).collect():
+        out[np.frombuffer(cells, np.int32) + block * width] = np.frombuffer(n, np.int64)
+    return out[: k * k].reshape(k, k)
 
-def _slots(codes: dict[bytes, int], label: np.ndarray, k: int):
-    """Count the classes before (0 to k-1) and after (k to 2k-1) each word that has no code, in parts of bounded size."""
-    end = label[codes[END]]
+
+def _chosen(training: DataFrame, label: np.ndarray, weights: np.ndarray, low: int, k: int) -> np.ndarray:
+    """The class of each word from number ``low`` on that the classes before (slots 0 to k-1) and after it (k to 2k-1) make likeliest.
+
+    Neighbours of the most frequent words are counted in a matrix, those of later ones are sorted, some at a time.
+    """
+    size, width, high = 2 * k, ROWS * 2 * k, max(low, min(CLASSED + 1, len(label) - 1))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: dict[bytes, int] = {}
-        keys: list[np.ndarray] = []
-        sums, held = (np.zeros(0, np.int64), np.zeros(0, np.int64)), 0
-
-        def merged():
-            found, n = np.unique(np.concatenate(keys), return_counts=True)
-            both, place = np.unique(np.concatenate((sums[0], found)), return_inverse=True)
-            total = np.zeros(len(both), np.int64)
-            np.add.at(total, place, np.concatenate((sums[1], n)))
-            keys.clear()
-            return both, total
+        total, keys, held = np.zeros((high - low) * size, np.int64), [], 0
 
         def rows():
-            words = pa.array(list(ids), pa.binary()).take(pa.array(sums[0] // (2 * k)))
-            return pa.RecordBatch.from_arrays([words, pa.array(sums[0] % (2 * k), pa.int32()), pa.array(sums[1])], schema=SLOTS)
+            yield from _blocks(*np.unique(np.concatenate(keys), return_counts=True), width)
+
+        for _, ids, _ in _coded(batches):
+            classes = label[ids]
+            at = np.flatnonzero(ids >= low)  # no text's end, so that a word follows
+            code = ids[at].astype(np.int64) - low
+            both = np.concatenate((code * size + classes[at - 1] * (at > 0) + classes[-1] * (at == 0), code * size + k + classes[at + 1]))
+            first = both < len(total)
+            total += np.bincount(both[first], minlength=len(total))
+            keys.append(both[~first])
+            held += len(keys[-1])
+            if held >= 4 * FLUSH:
+                yield from rows()
+                keys, held = [], 0
+        if held:
+            yield from rows()
+        cells = np.flatnonzero(total)
+        yield from _blocks(cells, total[cells], width)
+
+    def best(block: int, total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        slots = total.reshape(ROWS, size)
+        met = np.flatnonzero(slots.any(1))
+        yield emit(CHOSEN, [met + block * ROWS + low, (slots[met] @ weights).argmax(1)])
+
+    out = np.zeros(len(label) - 1 - low, np.int64)
+    if len(out):
+        for code, choice in training.mapInArrow(run, SUMS_TYPE).repartition("block").mapInArrow(_sums(width, best), "code long, class int").collect():
+            out[code - low] = choice
+    return out
 
-        for batch in batches:
-            for text in texts(batch):
-                words = tokens(text)
-                found = np.array([codes.get(w, -1) for w in words])
-                at = np.flatnonzero(found < 0)
-                if len(at):
-                    classes = label[found]
-                    word = np.array([ids.setdefault(words[i], len(ids)) for i in at.tolist()], np.int64) * (2 * k)
-                    keys += [word + np.concatenate(([end], classes[:-1]))[at], word + k + classes[at + 1]]
-                    held += 2 * len(at)
-                if held >= 2 * FLUSH or len(ids) >= FLUSH:
-                    sums, held = merged() if keys else sums, 0
-                    if len(ids) >= FLUSH or len(sums[0]) >= 4 * FLUSH:
-                        yield rows()
-                        ids, sums = {}, (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        if keys:
-            sums = merged()
-        if len(sums[0]):
-            yield rows()
-    return run
 
+# Words that have no number
 
-def _best(weights: np.ndarray, k: int):
-    """The class of each word that its slots make likeliest, and how often it occurs. Weights are whole numbers, so sums do not depend on their order."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for low in range(0, whole.num_rows, 1_000):
-                batch = whole.slice(low, 1_000)
-                lists = batch.column("slots")
-                starts = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))[:-1]
-                slot, n = (lists.flatten().field(name).to_numpy() for name in ("slot", "n"))
-                values = np.add.reduceat(weights[slot] * n[:, None], starts)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("word"), pa.array(np.add.reduceat(np.where(slot < k, n, 0), starts)),
-                    pa.array(values.argmax(1), pa.int32())], schema=PLACED)
-    return run
 
+def _met(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each place of a word without a number, with the numbers of the words before and after."""
+    for part, ids, ends in _coded(batches):
+        at = np.flatnonzero(ids < 0)
+        if len(at):
+            flat, _ = _words(part.column("tail").cast(pa.string(), safe=False))
+            text = np.searchsorted(ends, at, "right")
+            before = np.where(at > 0, ids[at - 1], 0)
+            yield pa.RecordBatch.from_arrays([
+                flat.cast(pa.binary()), part.column("row").take(pa.array(text)), pa.array((at - np.concatenate(([0], ends))[text]).astype(np.int32)),
+                part.column("held_out").take(pa.array(text)), pa.array(before.astype(np.int32)), pa.array(ids[at + 1])],
+                names=["word", "row", "at", "held_out", "before", "after"])
 
-def _steps(shared, k: int):
-    """Count neighbours: (null, null, a * k + b) of classes; (word, null, class before, or k + class after) of a word that tasks do not know; (word, next word, null) of two."""
+
+def _place(shared, k: int):
+    """Give each word, whose places follow each other, how often it is in training texts and the class that its neighbours there make likeliest.
+
+    A word stands at the first of its places only. Neighbours become classes, -1 for a word without a number. Weights are whole numbers, so sums
+    do not depend on their order. The places of a word are held at once: it is rarer than each word that has a number.
+    """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, classes = shared.value
-        total, counts, end = np.zeros(k * k, np.int64), Counter(), classes[0]
+        label, weights, classes, rest = shared.value
+        held: pa.Table | None = None
+
+        def rows(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            before, after = (table.column(name).to_numpy() for name in ("before", "after"))
+            taught = ~table.column("held_out").to_numpy()
+            n = np.add.reduceat(taught.astype(np.int64), starts)
+            values = np.add.reduceat((weights[label[before]] + weights[k + label[after]]) * taught[:, None], starts)
+            sizes = np.diff(np.append(starts, table.num_rows))
+            later = np.ones(table.num_rows, bool)
+            later[starts] = False
+            word = table.column("word").take(pa.array(np.arange(len(later)), mask=later))
+            out = pa.table([word, pa.array(np.repeat(n, sizes)), pa.array(np.repeat(np.where(n > 0, values.argmax(1), rest), sizes).astype(np.int32)),
+                            table.column("row"), table.column("at"), table.column("held_out"), pa.array(classes[before]), pa.array(classes[after])],
+                           names=["word", "n", "class", "row", "at", "held_out", "before", "after"])
+            yield from out.combine_chunks().to_batches()
+
         for batch in batches:
-            for text in texts(batch):
-                words = tokens(text)
-                found = np.array([codes.get(w, -1) for w in words])
-                label = np.where(found >= 0, classes[found], -1)
-                before = np.concatenate(([end], label[:-1]))
-                total += np.bincount((before * k + label)[(before >= 0) & (label >= 0)], minlength=len(total))
-                for i in np.flatnonzero(label < 0).tolist():
-                    if before[i] >= 0:
-                        counts[words[i], None, int(before[i])] += 1
-                    counts[(words[i], None, k + int(label[i + 1])) if label[i + 1] >= 0 else (words[i], words[i + 1], None)] += 1
-                if len(counts) >= FLUSH:
-                    yield emit(STEPS, [*zip(*counts, strict=True), list(counts.values())])
-                    counts.clear()
-        if counts:
-            yield emit(STEPS, [*zip(*counts, strict=True), list(counts.values())])
-        seen = np.flatnonzero(total)
-        if len(seen):
-            yield emit(STEPS, [[None] * len(seen), [None] * len(seen), seen.astype(np.int32), total[seen]])
+            if batch.num_rows:
+                parts = [pa.Table.from_batches([batch])]
+                table = pa.concat_tables([held, *parts] if held is not None else parts).combine_chunks()
+                word = table.column("word").combine_chunks()
+                starts = np.append(0, 1 + np.flatnonzero(pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)))
+                held = table.slice(starts[-1])
+                if starts[-1]:
+                    yield from rows(table.slice(0, starts[-1]), starts[:-1])
+        if held is not None:
+            yield from rows(held.combine_chunks(), np.zeros(1, np.int64))
     return run
 
 
-def _transitions(spark: SparkSession, source: DataFrame, head: dict[bytes, int], classes: np.ndarray, placed: DataFrame, k: int) -> np.ndarray:
-    """How often a class follows another one, over all neighbours."""
-    rows = store(spark, source.mapInArrow(_steps(spark.sparkContext.broadcast((head, classes)), k), "word binary, other binary, slot int, n long"))
-    out, place = np.zeros((k, k), np.int64), placed.select("word", "class")
-    n = F.sum("n").alias("n")
-    for slot, times in rows.where("word IS NULL").groupBy("slot").agg(n).collect():
-        out[slot // k, slot % k] += times
-    for c, slot, times in rows.where("word IS NOT NULL AND other IS NULL").join(place, "word").groupBy("class", "slot").agg(n).collect():
-        out[(slot, c) if slot < k else (c, slot - k)] += times
-    both = rows.where("other IS NOT NULL").join(place, "word").select("class", "other", "n")
-    for c, d, times in both.join(place.toDF("other", "next"), "other").groupBy("class", "next").agg(n).collect():
-        out[c, d] += times
-    return out
+def _others(spark: SparkSession, coded: DataFrame, label: np.ndarray, weights: np.ndarray, classes: np.ndarray, k: int) -> DataFrame:
+    """Every place of a word without a number: n, class, the class before (of any word) and after (-1 for such a word); ``word`` at one place of each word."""
+    shared = spark.sparkContext.broadcast((label, weights, np.append(classes, -1).astype(np.int32), CLASSES))
+    met = coded.where("tail <> X''").select("row", "held_out", "ids", "tail").mapInArrow(_met, MET_TYPE)
+    # In full order, so that a task that is run again finds the same first place.
+    placed = met.repartition("word").sortWithinPartitions("word", "row", "at").mapInArrow(_place(shared, k), PLACED_TYPE)
+    last = F.lag("class").over(Window.partitionBy("row").orderBy("at"))
+    return store(spark, placed.withColumn("before", F.when(F.col("before") >= 0, F.col("before")).otherwise(last)))
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -252,7 +327,6 @@ class ClassModel:
 
     train_tokens: int
     types: int
-    head: dict[bytes, int]  # word to number
     counts: np.ndarray  # by number
     classes: np.ndarray  # by number; ``rest`` without a class of its own
     log_step: np.ndarray  # log10 P(class | class before)
@@ -299,98 +373,91 @@ def class_model(counts: list[tuple[bytes, int]], train_tokens: int, types: int,
     step = step - freed
     step[:, rest] += freed.sum(1)
     room = np.maximum(mass - DISCOUNT * kinds, DISCOUNT)
-    model = ClassModel(train_tokens, types, {w: i for i, (w, _) in enumerate(counts)}, numbers, classes, np.log10(step), np.zeros(0), room,
+    model = ClassModel(train_tokens, types, numbers, classes, np.log10(step), np.zeros(0), room,
                        rest_tokens, rest_types)
     emission = np.where(inside, np.log10(np.maximum(numbers - DISCOUNT, 1 - DISCOUNT) / room[classes]), model.emit_rest(numbers))
     return ClassModel(**{**model.__dict__, "log_emit": emission})
 
 
-def learn(spark: SparkSession, docs: DataFrame) -> tuple[ClassModel, DataFrame]:
-    """Model and (word, n, class) of the words that no matrix has placed, of the texts of ``docs``. Without rows nothing is known."""
-    source = docs.select(F.col("text").cast("string").alias("text"))
-    counts = store(spark, source.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+@dataclass(frozen=True)
+class Fit:
+    """A model, the texts as numbers of words, and the places of the words without a number."""
+
+    model: ClassModel
+    coded: DataFrame
+    others: DataFrame
+
+
+def _frequent(counts: DataFrame) -> DataFrame:
+    """The ``HEAD`` most frequent words. Only words about as frequent as the last of them are sorted, as each task may send that many to the driver."""
+    size, found, least = F.floor(F.log2("n") * 8), 0, 0
+    for least, words in sorted(counts.groupBy(size.alias("size")).count().collect(), reverse=True):
+        found += words
+        if found >= HEAD:
+            break
+    return counts.filter(size >= least).orderBy(F.desc("n"), "word").limit(HEAD)
+
+
+def fit(spark: SparkSession, source: DataFrame) -> Fit:
+    """Learn from the rows (doc_id, text, held_out) that are not held out. Words get their numbers once, in all rows."""
+    counts = store(spark, source.filter(~F.col("held_out")).select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     train_tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    first = [(bytes(r.word), r.n) for r in counts.filter(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(min(CLASSED, HEAD)).collect()]
     ends = counts.filter(F.col("word") == F.lit(END)).select("n").first()
-    first = [(END, ends[0] if ends else 0), *first]
-    # Number 0 is the end. Exchange: words 1 to EXCHANGED, then the rest, then the end.
-    m = min(EXCHANGED, len(first) - 1)
-    codes = {w: i for i, (w, _) in enumerate(first)}
-    c = len(codes)
-    place = np.full(c + 1, m, np.int64)
+    # Number 0 is the end.
+    head = [(END, ends[0] if ends else 0), *((bytes(r.word), r.n) for r in _frequent(counts.filter(F.col("word") != F.lit(END))).collect())]
+    coded = store(spark, source.mapInArrow(_code(spark.sparkContext.broadcast([w for w, _ in head])), CODED_TYPE))
+    training = coded.filter(~F.col("held_out")).select("ids")
+    # Exchange: words 1 to EXCHANGED, then the rest, then the end.
+    m = min(EXCHANGED, CLASSED, len(head) - 1)
+    place = np.full(len(head) + 1, m, np.int64)
     place[: m + 1] = [m + 1, *range(m)]
-    found = exchange(_matrices(source, codes, [(place, place)], [(m + 2, m + 2)])[0], fixed=2)
+    pairs = _matrix(training, place, m + 2)
+    found = exchange(pairs, fixed=2)
     rest, end, k = CLASSES, CLASSES + 1, CLASSES + 2
-    label = np.full(c + 1, rest, np.int64)
-    label[: m + 1] = [end, *found[:m]]
-    # Later words: the class that makes the classes of their neighbours likeliest.
-    n, exchanged = c - m - 1, label.copy()
-    later = np.full(c + 1, -1, np.int64)
-    later[m + 1 : c] = np.arange(n)
-    sides, shapes = [(label, label)], [(k, k)]
-    if n:
-        sides, shapes = [*sides, (label, later), (later, label)], [*shapes, (k, n), (n, k)]
-    known, *around = _matrices(source, codes, sides, shapes)
-    smooth = known + 0.5
+    label = found[place]
+    # Other words: the class that makes the classes of their neighbours likeliest.
+    member = np.zeros((m + 2, k), np.int64)
+    member[np.arange(m + 2), found] = 1
+    smooth = member.T @ pairs @ member + 0.5
     step = np.log(smooth / smooth.sum(1, keepdims=True))[:CLASSES]
     back = np.log(smooth / smooth.sum(0, keepdims=True))[:, :CLASSES]
-    if n:
-        after, before = around
-        label[m + 1 : c] = (before @ step.T + after.T @ back).argmax(1)
-    # The same for all others, whose number is not bounded: their neighbours are grouped by word.
     weights = np.rint(np.vstack((back, step.T)) * (1 << 20)).astype(np.int64)
-    slots = source.mapInArrow(_slots(codes, exchanged, k), "word binary, slot int, n long").repartition("word").groupBy("word", "slot").agg(F.sum("n").alias("n"))
-    placed = store(spark, slots.groupBy("word").agg(F.collect_list(F.struct("slot", "n")).alias("slots")).mapInArrow(
-        _best(weights, k), "word binary, n long, class int"))
-    head, classes = list(first), label[:c].tolist()
-    if len(head) <= HEAD:
-        for r in placed.orderBy(F.desc("n"), "word").limit(HEAD + 1 - len(head)).collect():
-            head.append((bytes(r.word), r.n))
-            classes.append(r[2])
-    classes = np.array(classes, np.int64)
-    more = np.zeros((2, k), np.int64)
-    for label_, tokens_, types_ in placed.groupBy("class").agg(F.sum("n"), F.count("*")).collect():
-        more[:, label_] = tokens_, types_
-    numbers = np.array([x for _, x in head[c:]], np.int64)
-    more -= np.array([np.bincount(classes[c:], numbers, minlength=k), np.bincount(classes[c:], minlength=k)]).astype(np.int64)
-    known = _transitions(spark, source, {w: i for i, (w, _) in enumerate(head)}, classes, placed, k)
-    return class_model(head, train_tokens, types, classes, known, more), placed
-
-
-def score_text(model: ClassModel, text: bytes) -> tuple[int, int, float, float, list[tuple[bytes, int, int, int]]]:
-    """(tokens, known, base, score, tail): sums over the head words and the steps between them.
-
-    The tail has the other words with their places and the classes before and after, -1 where that is another such word.
-    """
-    words = tokens(text)
-    code = model.head.get
-    ids = np.array([code(w, -1) for w in words])
-    classes = np.where(ids >= 0, model.classes[ids], -1)
-    before = np.concatenate(([model.classes[0]], classes[:-1]))
-    inside = ids[ids >= 0]
-    counts = model.counts[inside]
-    near = (before >= 0) & (classes >= 0)
-    base, score = model.base(counts).sum(), model.log_step[before[near], classes[near]].sum() + model.log_emit[inside[counts > 0]].sum()
-    unseen = int((counts == 0).sum())  # the end, if there was no training text
-    at = np.flatnonzero(ids < 0)
-    tail = list(zip([words[i] for i in at.tolist()], at.tolist(), before[at].tolist(), classes[at + 1].tolist(), strict=True))
-    return len(words), len(inside) - unseen, float(base), float(score + unseen * model.emit_rest(0)), tail
+    classes = np.concatenate(([end], found[:m], _chosen(training, label, weights, m + 1, k)))
+    others = _others(spark, coded, label, weights, classes, k)
+    known, n = _matrix(training, np.append(classes, -1), k), F.count("*")
+    taught, more = others.where("NOT held_out"), np.zeros((2, k), np.int64)
+    for a, b, times in taught.groupBy("before", "class").agg(n).collect() + taught.where("after >= 0").groupBy("class", "after").agg(n).collect():
+        known[a, b] += times
+    for c, tokens_, types_ in others.where("word IS NOT NULL AND n > 0").groupBy("class").agg(F.sum("n"), n).collect():
+        more[:, c] = tokens_, types_
+    return Fit(class_model(head, train_tokens, types, classes, known, more), coded, others)
+
+
+def learn(spark: SparkSession, docs: DataFrame) -> tuple[ClassModel, DataFrame]:
+    """Model and (word, n, class) of the words without a number, of the texts of ``docs``. Without rows nothing is known."""
+    found = fit(spark, docs.select(F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(False).alias("held_out")))
+    return found.model, found.others.where("word IS NOT NULL AND n > 0").select("word", "n", "class")
 
 
 def _score(shared):
+    """Sums over the words that have a number and the steps between them."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, row = shared.value, TaskContext.get().partitionId() << 40
-        for batch in batches:
-            out, held = [], 0
-            for doc_id, held_out, text in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), texts(batch), strict=True):
-                *sums, tail = score_text(model, text)
-                out.append((row, doc_id, held_out, *sums, tail))
-                row, held = row + 1, held + len(tail)
-                if len(out) >= 1_000 or held >= FLUSH:
-                    yield emit(SCORED, zip(*out, strict=True))
-                    out, held = [], 0
-            if out:
-                yield emit(SCORED, zip(*out, strict=True))
+        model = shared.value
+        k, unseen = len(model.log_step), model.emit_rest(0)
+        # By number, last for words without one, which add nothing here.
+        known = np.append(model.counts > 0, False).astype(np.int64)  # the end is unseen, if there was no training text
+        base = np.append(model.base(model.counts), 0.0)
+        emission = np.append(np.where(model.counts > 0, model.log_emit, unseen), 0.0)
+        classes = np.append(model.classes, k)
+        steps = np.zeros((k + 1, k + 1))
+        steps[:k, :k] = model.log_step
+        steps = steps.ravel()
+        for part, ids, ends in _coded(batches):
+            starts = np.concatenate(([0], ends[:-1]))
+            right = classes[ids]
+            left = np.concatenate((classes[:1], right[:-1]))
+            sums = (np.add.reduceat(x, starts) for x in (known[ids], base[ids], emission[ids] + steps[left * (k + 1) + right]))
+            yield emit(SCORED, [*(part.column(name) for name in ("row", "doc_id", "held_out")), ends - starts, *sums])
     return run
 
 
@@ -398,19 +465,18 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
     """Learn from the rows that are not ``held_out`` and score every whole text.
 
     The classes come from an exchange over the most frequent words; each other word gets the one that its neighbours make likeliest. A
-    text's probability is the product of class transitions and word emissions. The counts and classes of rarer words are found by a join;
-    unseen words together are one type, in a class of its own, with the mass that discounting frees.
+    text's probability is the product of class transitions and word emissions. Texts become numbers of frequent words once; the counts and
+    classes of rarer words are found by grouping their places by word. Unseen words together are one type, in a class of its own, with the
+    mass that discounting frees.
 
     One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
     unigrams) and score, both log10. Null is an empty text, which is its end alone. Repeated rows are
     scored each; a doc_id may be null. Other columns are ignored; an empty table gives no row.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
-    model, placed = learn(spark, source.filter(~F.col("held_out")))
-    rows = store(spark, source.mapInArrow(_score(spark.sparkContext.broadcast(model)), SCORED_TYPE))
-    tail = rows.select("row", F.explode("tail").alias("t")).select("row", "t.*")
-    k = len(model.log_step)
-    n, place = F.coalesce(F.col("n"), F.lit(0)), F.coalesce(F.col("class"), F.lit(model.rest))
+    found = fit(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out")))
+    model, k = found.model, len(found.model.log_step)
+    rows = found.coded.drop("tail").mapInArrow(_score(spark.sparkContext.broadcast(model)), SCORED_TYPE)
+    n, place = F.col("n"), F.col("class")
     steps, room = F.lit(model.log_step.ravel().tolist()), F.lit(model.room.tolist())
 
     def step(a: Column, b: Column) -> Column:
@@ -418,18 +484,10 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
 
     base = F.log10((n + 1) / F.lit(float(model.train_tokens + model.types + 1)))
     emission = F.when(n > 0, F.log10((n - DISCOUNT) / F.element_at(room, place + 1))).otherwise(F.lit(float(model.emit_rest(0))))
-    beside = F.when(F.col("before") >= 0, step(F.col("before"), place)).otherwise(0.0) + F.when(F.col("after") >= 0, step(place, F.col("after"))).otherwise(0.0)
-    # Steps between two such words are found from their places.
-    alone = (F.col("before") >= 0) & (F.col("after") >= 0)
-    sums = tail.join(placed, "word", "left").groupBy("row").agg(
-        F.count_if(n > 0).alias("tail_known"), F.sum(base).alias("tail_base"), F.sum(emission + beside).alias("tail_score"),
-        F.array_sort(F.collect_list(F.when(~alone, F.struct("at", place.alias("class"))))).alias("near"))
-    inner = F.aggregate(
-        F.zip_with(F.slice("near", 1, F.greatest(F.size("near") - 1, F.lit(0))), F.slice("near", 2, F.greatest(F.size("near") - 1, F.lit(0))),
-                   lambda x, y: F.when(y["at"] == x["at"] + 1, step(x["class"], y["class"])).otherwise(0.0)),
-        F.lit(0.0), lambda total, x: total + x)
-    sums = sums.select("row", "tail_known", "tail_base", (F.col("tail_score") + inner).alias("tail_score"))
-    more = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("tail_known", "tail_base", "tail_score")}
-    return rows.drop("tail").join(sums, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + more["tail_known"]).alias("n_known"), F.lit(int(model.train_tokens)).cast("long").alias("train_tokens"),
-        (F.col("base") + more["tail_base"]).alias("base_score"), (F.col("score") + more["tail_score"]).alias("score"))
+    beside = step(F.col("before"), place) + F.when(F.col("after") >= 0, step(place, F.col("after"))).otherwise(0.0)
+    sums = found.others.groupBy("row").agg(
+        F.count_if(n > 0).alias("other_known"), F.sum(base).alias("other_base"), F.sum(emission + beside).alias("other_score"))
+    more = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("other_known", "other_base", "other_score")}
+    return rows.join(sums, "row", "left").select(
+        "doc_id", "held_out", "n_tokens", (F.col("known") + more["other_known"]).alias("n_known"), F.lit(int(model.train_tokens)).cast("long").alias("train_tokens"),
+        (F.col("base") + more["other_base"]).alias("base_score"), (F.col("score") + more["other_score"]).alias("score"))

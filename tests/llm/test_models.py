@@ -202,3 +202,53 @@ def test_words_beyond_the_matrices_get_classes_too(spark, monkeypatch):
     _, placed = scoring.learn(spark, frame)
     words = {w for _, text in rows for w in text.split()}
     assert placed.count() == len(words) - 8 and placed.filter(f"class NOT BETWEEN 0 AND {scoring.CLASSES - 1}").isEmpty()
+
+
+def test_texts_are_split_twice_only(spark):
+    """Once to count the words, once to give them numbers; all other steps work on these."""
+    from pyspark.sql import functions as F
+
+    from bookpipe.llm.text import held_out
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def passed(text):
+        seen.add(1)
+        return text
+
+    frame = spark.createDataFrame([(i, f"the cat w{i} sat") for i in range(50)], "doc_id long, text string").repartition(2)
+    assert scoring.score(spark, frame.withColumn("text", passed("text")), held_out(7, 2)).count() == 50
+    assert 50 < seen.value <= 100
+
+
+def test_words_and_numbers_of_texts(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(scoring, "BYTES", 40)
+    monkeypatch.setattr(scoring, "FLUSH", 5)
+    r = random.Random(4)
+    texts = ["".join(r.choice("aBb\u00c4\u00a0\x1c\x85 \t\n\x0b\x0c\r") for _ in range(r.randrange(60))) for _ in range(60)] + [None, "", " ", "x" * 90]
+    texts += ["" if t is None else t for t in texts]
+    split = [[*(t or "").encode().lower().split(), scoring.END] for t in texts]
+    batch = pa.record_batch({"text": pa.array(texts), "doc_id": pa.array(range(len(texts))), "held_out": pa.array([False] * len(texts))})
+    counts = Counter()
+    for part in scoring._count([batch.slice(0, 7), batch.slice(7), batch.slice(0, 0)]):
+        for word, n in zip(*(column.to_pylist() for column in part.columns), strict=True):
+            counts[word] += n
+    assert counts == Counter(w for words in split for w in words)
+
+    class Shared:
+        value = [scoring.END, b"a", b"b", "\u00c4".encode()]
+
+    monkeypatch.setattr(scoring.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 3})())
+    found = [row for part in scoring._code(Shared)([batch.slice(0, 7), batch.slice(7)]) for row in part.to_pylist()]
+    assert [x["row"] for x in found] == [(3 << 40) + i for i in range(len(texts))] and [x["doc_id"] for x in found] == [*range(len(texts))]
+    assert [np.frombuffer(x["ids"], np.int32).tolist() for x in found] == [[Shared.value.index(w) if w in Shared.value else -1 for w in words] for words in split]
+    assert [x["tail"].split() for x in found] == [[w for w in words if w not in Shared.value] for words in split]
+
+
+def test_only_frequent_words_are_sorted(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "HEAD", 5)
+    counts = spark.createDataFrame([(b"w%d" % i, 1 + i // 2) for i in range(40)], "word binary, n long")
+    found = [(bytes(x.word), x.n) for x in scoring._frequent(counts).collect()]
+    assert found == [(b"w38", 20), (b"w39", 20), (b"w36", 19), (b"w37", 19), (b"w34", 18)]
+    assert scoring._frequent(counts.limit(0)).isEmpty() and scoring._frequent(counts.where("n < 3")).count() == 4
