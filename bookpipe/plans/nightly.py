@@ -20,7 +20,7 @@ from bookpipe.operators.timewindow import day_bounds
 from bookpipe.plans.analytics import SUBJECTS, Subject, best, popular_by_average, popular_by_count
 from bookpipe.plans.clean import clean
 from bookpipe.plans.journal import Journal, dead_runs, take_over
-from bookpipe.schemas import ENTITIES, RECORD_DATE, TS, Entity
+from bookpipe.schemas import CODEC, ENTITIES, RECORD_DATE, TS, Entity
 from bookpipe.sources.commits import Files
 from bookpipe.sources.processed import read_processed_csv, write_processed, write_processed_csv
 from bookpipe.sources.raw import landing_report, listing, read_raw
@@ -72,7 +72,7 @@ def process(spark: SparkSession, zones: Zones, entity: Entity, source: Row | Non
         working = zones.folder("working", entity)
         raw = read_raw(spark, f"{zones.landing.rstrip('/')}/{entity.source}", entity)
         timed = TS in raw.columns
-        with_load_time(raw).write.mode("overwrite").parquet(working)
+        with_load_time(raw).write.mode("overwrite").option("compression", CODEC).parquet(working)
         rows = clean(spark.read.parquet(working), entity, stored=True)
     else:
         rows = spark.createDataFrame([], entity.staging)

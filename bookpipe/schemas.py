@@ -15,6 +15,8 @@ TS = "record_create_timestamp"
 # Storage-only column of warehouse reviews, the day of TS. Parquet skips row groups by a date but, as
 # of Spark 4.1, not by a zone-free timestamp.
 RECORD_DATE = "record_date"
+# Of all parquet files that a batch writes, whatever the session's default is.
+CODEC = "zstd"
 
 _TYPES = {
     "BIGINT": LongType(), "INT": IntegerType(), "SMALLINT": ShortType(), "DOUBLE": DoubleType(),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from bookpipe.functions.dates import cut_to_millis
+from bookpipe.schemas import CODEC
 
 # The exchange format of the processed zone.
 MILLIS = "yyyy-MM-dd HH:mm:ss.SSS"
@@ -44,5 +45,5 @@ def write_processed(df: DataFrame, path: str) -> None:
         cut_to_millis(F.col(field.name)).alias(field.name)
         if isinstance(field.dataType, TimestampNTZType) else F.col(field.name)
         for field in df.schema
-    ]).write.mode("overwrite").parquet(path)
+    ]).write.mode("overwrite").option("compression", CODEC).parquet(path)
 

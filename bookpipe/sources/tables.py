@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 from bookpipe.operators.align import align
 from bookpipe.schemas import ANALYTICS, ENTITIES, Entity
 from bookpipe.sources.commits import KEPT_SECONDS, Commits
-from bookpipe.sources.versions import VersionedTable
+from bookpipe.sources.versions import VersionedTable, point_view
 
 KEPT = timedelta(seconds=KEPT_SECONDS)
 
@@ -131,7 +131,7 @@ def _switch(spark: SparkSession, table: str, stored: str) -> None:
     database, name = table.split(".")
     before = _current(spark, table)
     _point(spark, table, stored.split(".")[1])
-    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {stored}")
+    point_view(spark, table, f"SELECT * FROM {stored}")
     files, path = _pointer(spark, table)
     pattern = spark._jvm.org.apache.hadoop.fs.Path(path.getParent(), f"{name}__*")
     for status in files.globStatus(pattern):
@@ -151,7 +151,7 @@ def publish(df: DataFrame, table: str) -> DataFrame:
 
 def publish_folder(spark: SparkSession, folder: str, table: str) -> None:
     """Make the parquet files of a folder the table, without a copy. Of the older folders beside it, the last one stays."""
-    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM parquet.`{folder}`")
+    point_view(spark, table, f"SELECT * FROM parquet.`{folder}`")
     remove_older(spark, folder)
 
 

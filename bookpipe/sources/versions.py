@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from bookpipe.operators.upsert import survivors
-from bookpipe.schemas import RECORD_DATE, TS
+from bookpipe.schemas import CODEC, RECORD_DATE, TS
 from bookpipe.sources.commits import KEPT_SECONDS, Commits
 
 PART = "part"
@@ -38,7 +38,13 @@ NO_DAY = -1_000_000
 INDEX_TYPE = "key long, n long, high long, low long, days array<int>"
 MARKS = ("n", "high", "low")
 
-_registering = threading.Lock()
+_registering, _pointing = threading.Lock(), threading.Lock()
+
+
+def point_view(spark: SparkSession, name: str, query: str) -> None:
+    """Make the query the view. Spark's CREATE OR REPLACE drops the view first, so that other threads would not find it for a moment."""
+    with _pointing:
+        spark.sql(f"{'ALTER' if spark.catalog.tableExists(name) else 'CREATE'} VIEW {name} AS {query}")
 
 
 @dataclass(frozen=True)
@@ -95,7 +101,7 @@ class VersionedTable:
         with _registering:
             version = self.current()
             names = ", ".join(f"`{f.name}`" for f in self.columns)
-            self.spark.sql(f"CREATE OR REPLACE VIEW {self.table} AS SELECT {names} FROM {self._stored(version)}")
+            point_view(self.spark, self.table, f"SELECT {names} FROM {self._stored(version)}")
             for known in self.spark.catalog.listTables(self.database, f"{self.name}__v*"):
                 if int(known.name.rsplit("__v", 1)[1]) < version.number - 1:
                     self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{known.name}")
@@ -150,28 +156,33 @@ class VersionedTable:
         spread over tasks, and a task holds few parts.
         """
         folder = f"{self.name}__{run}"
-        parts = rows.withColumn(PART, self._part(origin, span))
-        parts = parts.repartitionByRange(PART, self.order, F.xxhash64(self.key)).sortWithinPartitions(PART, self.order)
-        parts.write.mode("overwrite").partitionBy(PART).parquet(f"{self.home}/{folder}")
+        part = self._part(origin, span)
+        parts = rows.repartitionByRange(part, self.order, F.xxhash64(self.key)).withColumn(PART, part).sortWithinPartitions(PART, self.order)
+        parts.write.mode("overwrite").option("compression", CODEC).partitionBy(PART).parquet(f"{self.home}/{folder}")
         layout = StructType([*self.columns.fields, StructField(PART, LongType())])
         counts = self.spark.read.schema(layout).parquet(f"{self.home}/{folder}").groupBy(PART).count().collect()
         return {str(row[0]): [f"{folder}/{PART}={row[0]}", row[1]] for row in counts}
 
     # Index
 
-    def _marks(self, rows: DataFrame, ignored: Sequence[str] = ()) -> DataFrame:
-        """An index row for each key. Rows are compared by sums of hashes; the hash passes over nulls, so which columns are null is hashed too."""
+    def _marks(self, rows: DataFrame, ignored: Sequence[str] = (), buckets: int = 0) -> DataFrame:
+        """An index row for each key. Rows are compared by sums of hashes; the hash passes over nulls, so which columns are null is hashed too.
+
+        With ``buckets`` the rows' hashes are dealt into these before they are grouped, so that nothing moves again when an index is written.
+        """
         names = [name for name in self.columns.names if name not in ignored]
         row = F.xxhash64(F.lit(",".join(names)), *names, *[F.isnull(name) for name in names])
-        marks = [F.count(F.lit(1)).alias("n"), F.sum(F.shiftright(row, 32)).alias("high"), F.sum(row.bitwiseAND(0xFFFFFFFF)).alias("low")]
+        hashed = rows.where(F.col(self.key).isNotNull()).select(
+            F.col(self.key).cast("long").alias("key"), row.alias("row"), *([F.unix_date(RECORD_DATE).alias("day")] if self.dated else []))
+        if buckets:
+            hashed = hashed.repartition(buckets, "key")
+        marks = [F.count(F.lit(1)).alias("n"), F.sum(F.shiftright("row", 32)).alias("high"), F.sum(F.col("row").bitwiseAND(0xFFFFFFFF)).alias("low")]
         days = F.lit(None).cast("array<int>")
         if self.dated:
             # Numbers only, which are grouped by hash; sets of days would be sorted by key.
-            day = F.unix_date(RECORD_DATE)
-            marks += [F.count(day).alias("dated"), F.min(day).alias("first"), F.max(day).alias("last")]
+            marks += [F.count("day").alias("dated"), F.min("day").alias("first"), F.max("day").alias("last")]
             days = self._days()
-        grouped = rows.where(F.col(self.key).isNotNull()).groupBy(F.col(self.key).cast("long").alias("key")).agg(*marks)
-        return grouped.select("key", *MARKS, days.alias("days"))
+        return hashed.groupBy("key").agg(*marks).select("key", *MARKS, days.alias("days"))
 
     @staticmethod
     def _days() -> Column:
@@ -184,7 +195,7 @@ class VersionedTable:
     def _generation(self, folder: str, buckets: int) -> str:
         name = f"{self.database}.{self.name}__index_{folder.rsplit('/', 1)[1].replace('-', '_')}"
         if not self.spark.catalog.tableExists(name):
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({INDEX_TYPE}) USING parquet CLUSTERED BY (key) SORTED BY (key) "
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({INDEX_TYPE}) USING parquet OPTIONS (compression '{CODEC}') CLUSTERED BY (key) SORTED BY (key) "
                            f"INTO {buckets} BUCKETS LOCATION '{self.home}/{folder}'")
         return name
 
@@ -224,13 +235,24 @@ class VersionedTable:
         rows.repartition(buckets, "key").write.insertInto(self._generation(folder, buckets), overwrite=True)
         return [*before, folder], buckets
 
+    def _first_index(self, rows: DataFrame, run: str, ignored: Sequence[str] = ()) -> tuple[list[str], int]:
+        """The index of a table that has none, of all rows. Their hashes are shuffled once, into its buckets."""
+        folder, buckets = f"_index/{self.name}/{run}", max(LEAST_BUCKETS, -(-rows.count() // KEYS_PER_BUCKET))
+        self._marks(rows, ignored, buckets).write.insertInto(self._generation(folder, buckets), overwrite=True)
+        return [folder], buckets
+
     # Changes
 
     def _next(self, base: Version, rows: DataFrame, run: str, scratch: str, few: int, ignored: Sequence[str]) -> Version | None:
         """The version that follows ``base`` by an upsert of the rows, written but not committed; None if it would be the same."""
         spark, keyless = self.spark, rows.where(F.col(self.key).isNull())
-        self.changed_keys(base, rows, ignored).write.mode("overwrite").parquet(scratch)
-        changed = spark.read.parquet(scratch)
+        if base.index:
+            self.changed_keys(base, rows, ignored).write.mode("overwrite").option("compression", CODEC).parquet(scratch)
+            changed = spark.read.parquet(scratch)
+        else:
+            index, buckets = self._first_index(rows, run, ignored)
+            changed = spark.table(self._generation(index[0], buckets)).withColumns({
+                "known": F.lit(False), "old_days": F.lit(None).cast("array<int>")})
         n = changed.count()
         if not n and keyless.isEmpty():
             return None
@@ -256,7 +278,8 @@ class VersionedTable:
         if not (base.parts and divided):
             origin, span = self._division(merged)
         parts = {part: stored for part, stored in base.parts.items() if part not in touched} | self._write(merged, origin, span, run)
-        index, buckets = self._indexed(base, changed, n, run)
+        if base.index:
+            index, buckets = self._indexed(base, changed, n, run)
         return Version(base.number + 1, origin, span, parts, index, buckets)
 
     def replace(self, rows: DataFrame, run: str) -> None:
@@ -265,9 +288,8 @@ class VersionedTable:
         while True:
             number, (origin, span) = self.current().number, self._division(rows)
             parts = self._write(rows, origin, span, run)
-            version = Version(number + 1, origin, span, parts)
             written = self.spark.read.schema(self.columns).parquet(f"{self.home}/{self.name}__{run}")
-            index, buckets = self._indexed(Version(number), self._marks(written), version.rows, run)
+            index, buckets = self._first_index(written, run)
             if self._commit(Version(number + 1, origin, span, parts, index, buckets)):
                 return self.register()
 

@@ -74,6 +74,25 @@ def test_latest_stored_moves_no_wide_rows(spark, sf_dir):
     assert "hashpartitioning" not in text
 
 
+def test_only_rows_of_hashes_that_superseded_keys_have_move(spark, monkeypatch):
+    """Of keys that are too many to be broadcast, a fifth of all here."""
+    from bookpipe.operators.latest import latest as plain
+
+    older = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    rows = spark.range(0, 2_000, 1, 4).select((F.col("id") % 1_600).alias("k"), (older + F.make_dt_interval(secs=F.col("id"))).alias(TS), F.col("id").alias("v"))
+    odd = spark.createDataFrame([(None, 1), (5, None)], "k long, v long").select("k", F.when(F.col("k").isNull(), older).alias(TS), "v")
+    ties = rows.where("k > 1500").unionByName(rows.where("k < 40"))
+    rows = rows.unionByName(odd).unionByName(ties)
+    expected = sorted((r.k, r.v) for r in plain(rows, "k").collect())
+    found = latest_stored(rows, "k", broadcast_keys=10)
+    assert sorted((r.k, r.v) for r in found.collect()) == expected and found.columns == rows.columns
+    text = plan(found)
+    # Rows of the other keys stay where they lie; the rest is joined by key.
+    assert "LeftAnti" in text and "bit_get" in text.lower() or "getbit" in text.lower()
+    monkeypatch.setattr("bookpipe.operators.latest.SLOTS", 1)
+    assert sorted((r.k, r.v) for r in latest_stored(rows, "k", broadcast_keys=10).collect()) == expected
+
+
 def test_settled_keys_reach_the_dimension_scan(spark, sf_dir):
     df = popular_by_count(fx.activity(spark, sf_dir), fx.active_dimension(spark, sf_dir), AUTHORS,
                           "2024-01-10 00:00:00", "2024-01-11 00:00:00", settled=True)
@@ -102,6 +121,15 @@ def test_a_hot_tied_key_is_split(spark, tiny_skew):
     assert "skew=true" in plan(df)
 
 
+def test_a_hot_superseded_key_is_split(spark, tiny_skew):
+    rows = skewed(spark)
+    older = rows.where("k > 40000").withColumn(TS, F.col(TS) - F.make_dt_interval(days=F.lit(400)))
+    first = spark.range(1).select(F.lit(7).cast("long").alias("k"), F.lit("2020-01-01 00:00:00").cast("timestamp_ntz").alias(TS), F.lit("x").alias("payload"))
+    df = latest_stored(rows.unionByName(older).unionByName(first), "k", broadcast_keys=1)
+    assert len(df.collect()) == 40_000
+    assert "skew=true" in plan(df)
+
+
 def test_a_hot_target_key_is_split(spark, tiny_skew):
     staged = spark.range(2000).select((F.col("id") * 3 + 1000).alias("k"))
     df = survivors(skewed(spark), staged, "k")

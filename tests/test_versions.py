@@ -469,3 +469,49 @@ def test_parts_of_near_and_far_keys(spark):
     for origin, span in ((0, 7), (-3, 7), ((1 << 62), 5), (5, 10**18)):
         got = {row.key: row.part for row in rows.select("key", versions.VersionedTable._part_of(F.col("key"), origin, span).alias("part")).collect()}
         assert got == {key: (key - origin) // span for key in keys if -(1 << 63) <= (key - origin) // span < 1 << 63}
+
+
+def test_the_first_index_is_written_by_one_shuffle(spark, database, tmp_path):
+    """The hashes of the rows are dealt into the buckets and grouped there; no changed keys are written beside the index."""
+    table = open_reviews(spark, database)
+    plan = plan_of(table._marks(reviews(spark, [(1, "x", 1)]), buckets=8))
+    assert len(re.findall(r"\bExchange hashpartitioning", plan)) == 1
+    rows = [(1, "a", 1), (2, "a", 1), (2, "b", 5), (3, None, None), (None, "n", 2)]
+    scratch = tmp_path / "scratch"
+    assert table.upsert(reviews(spark, rows), "first", str(scratch), FEW) and not scratch.exists()
+    version = table.current()
+    stored = spark.table(table._generation(version.index[0], version.buckets))
+    fields = ("key", "n", "high", "low", "days")
+    assert sorted(map(tuple, stored.select(*fields).collect())) == sorted(map(tuple, table._marks(reviews(spark, rows)).select(*fields).collect()))
+    assert content(spark, table) == Counter((k, t, d) for k, t, d in rows)
+    # The same rows change nothing; another text does.
+    assert not upsert(table, reviews(spark, rows[:-1]), tmp_path)
+    assert upsert(table, reviews(spark, [(1, "z", 1)]), tmp_path) and content(spark, table)[1, "z", 1] == 1
+
+
+def test_a_view_is_there_while_it_is_pointed_elsewhere(spark, database):
+    name, errors, done = f"{database}.moving", [], threading.Event()
+    versions.point_view(spark, name, "SELECT 0 AS a")
+
+    def read():
+        while not done.is_set():
+            try:
+                spark.table(name)
+            except Exception as error:  # noqa: BLE001
+                errors.append(error)
+
+    def point(first):
+        try:
+            for n in range(first, first + 40):
+                versions.point_view(spark, name, f"SELECT {n} AS a, {n} AS b")
+        except Exception as error:  # noqa: BLE001
+            errors.append(error)
+
+    reader, *writers = [threading.Thread(target=read), *(threading.Thread(target=point, args=(n,)) for n in (100, 200))]
+    for thread in (reader, *writers):
+        thread.start()
+    for thread in writers:
+        thread.join()
+    done.set()
+    reader.join()
+    assert not errors and spark.table(name).first().b in (139, 239)
